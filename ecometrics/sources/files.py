@@ -11,6 +11,7 @@ from ecometrics.functions.text import trimmed
 from ecometrics.sources.schemas import Source
 
 REJECTED = "_rejected_line"
+PYTHON_LITERALS = {"None": "null", "True": "true", "False": "false"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -21,12 +22,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return reader.schema(schema).csv(path)
 
 
-def read_source(spark: SparkSession, path: str, source: Source, key: str | None = None) -> tuple[DataFrame, DataFrame]:
+def read_source(
+    spark: SparkSession, path: str, source: Source, key: str | None = None, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected lines) of a source file, all columns as text."""
     schema = T.StructType([*source.schema.fields, T.StructField(REJECTED, T.StringType())])
     # Without column pruning every line is held against the whole schema, whatever is selected later.
     lines = (
-        spark.read.option("header", True)
+        spark.read.option("header", header)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", REJECTED)
@@ -66,8 +69,8 @@ def read_json_glob(
 
 
 def file_date() -> Column:
-    """The date at the end of the name of the file a row comes from."""
-    return parsed_day(F.regexp_extract(F.input_file_name(), r"_(\d{4}-\d{2}-\d{2})\.json[^/]*$", 1))
+    """The date in the name of the file (or folder of part files) a row comes from."""
+    return parsed_day(F.regexp_extract(F.input_file_name(), r"_(\d{4}-\d{2}-\d{2})\.json", 1))
 
 
 def read_symbols(spark: SparkSession, path: str) -> DataFrame:
@@ -77,7 +80,11 @@ def read_symbols(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_quoted_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Lines holding records in single quotes, as rows of ``schema``."""
+    """Lines holding records in Python notation (single quotes, None), as rows of ``schema``."""
     lines = spark.read.text(path)
-    parsed = F.from_json("value", schema, {"allowSingleQuotes": "true"})
+    text = F.col("value")
+    for word, literal in PYTHON_LITERALS.items():
+        text = F.regexp_replace(text, rf"([:\[,]\s*){word}(?=\s*[,}}\]])", rf"$1{literal}")
+    options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+    parsed = F.from_json(text, schema, options)
     return lines.filter(F.trim("value") != "").select(parsed.alias("record")).select("record.*")

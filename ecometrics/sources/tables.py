@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ecometrics.operators.joins import not_yet_in
 from ecometrics.session import settle
 
 
+def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Gather the rows of a folder, so that not every task writes a file into every folder.
+
+    Rebalancing lets adaptive execution split a hot folder over several tasks.
+    """
+    return df.hint("rebalance", *[F.col(name) for name in partition_by]) if partition_by else df
+
+
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Truncate and replace the table at ``path``; publishing twice leaves one copy."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
 
@@ -31,7 +41,7 @@ def accumulate(fresh: DataFrame, path: str, key: str, schema: T.StructType) -> D
 
 
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
-    df.write.mode("overwrite").partitionBy(*partition_by).json(path)
+    balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).json(path)
     return path
 
 
@@ -43,5 +53,7 @@ def count_loaded(tables: Mapping[str, DataFrame]) -> dict[str, int]:
     return {name: df.count() for name, df in tables.items()}
 
 
-def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+def literal_table(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:
+    """A few inline rows.  They travel as Arrow, which tells Catalyst their size."""
+    values = [dict(zip(columns, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(values))

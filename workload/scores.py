@@ -303,6 +303,6 @@ def merged_sections(star):
        ON step = CAST(floor(p_size / 20.0) AS BIGINT)"""
 )
 def literal_table_lookup(star):
-    tiers = literal_table(star.spark, [(0, "low"), (1, "middle"), (2, "high")], "step bigint, tier string")
+    tiers = literal_table(star.spark, [(0, "low"), (1, "middle"), (2, "high")], ["step", "tier"])
     stepped = star.part.withColumn("step", F.floor(F.col("p_size") / 20.0))
     return enrich(stepped, tiers, ["step"], ["tier"]).select("p_partkey", "tier")
