@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ecometrics.plans.build import Models
+from ecometrics.plans.build import LAYERS, Models
 from workload.registry import Star, query, steady, steady_sql
 from workload.star import BASE_SQL, raw_sql, raw_tables
 
@@ -15,8 +15,10 @@ BLANKS = "E' \\t\\n\\r'"
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def models(star: Star, **options) -> Models:
-    return Models(raw_tables(star), loaded_at=F.lit(LOADED_AT), as_of=F.lit(AS_OF).cast("date"), **options)
+def models(star: Star, only: str | None = None, **options) -> Models:
+    """All models, or just a staging model with its raw table."""
+    wanted = ["raw_" + only.removeprefix("stg_")] if only else None
+    return Models(raw_tables(star, wanted), loaded_at=F.lit(LOADED_AT), as_of=F.lit(AS_OF).cast("date"), **options)
 
 
 def sql_text(c: str) -> str:
@@ -247,7 +249,8 @@ def _register(name: str, columns: tuple[str, ...] = (), extra: str = "") -> None
 
     @query(from_models(selected, name), name=name)
     def build(star: Star) -> DataFrame:
-        return steady(models(star)[name], *columns)
+        only = name if name in LAYERS["staging"] else None
+        return steady(models(star, only)[name], *columns)
 
 
 for plain in (

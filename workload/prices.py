@@ -92,14 +92,14 @@ def return_histogram(star):
     SERIES_SQL
     + f""" SELECT {steady_sql('index_price', 'short_price')} FROM (SELECT key, date,
       greatest(0.1, 50.0::DOUBLE * product(1 + coalesce(change, 0)) OVER w) AS index_price,
-      greatest(0.1, 1e6::DOUBLE * product(1 - coalesce(change, 0)) OVER w) AS short_price
+      greatest(0.1, 1e6::DOUBLE * product(1 - coalesce(change, 0) / 10 * 4) OVER w) AS short_price
       FROM (SELECT key, date, daily_return / 100.0::DOUBLE AS change FROM returns)
       WINDOW w AS (PARTITION BY key ORDER BY date ROWS UNBOUNDED PRECEDING))"""
 )
 def compounded_index(star):
     """The index follows the prices; the short one holds losses beyond 100 percent and hits the floor."""
     changes = s.with_returns(order_series(star)).withColumn("change", F.col("daily_return") / 100.0)
-    indexed = changes.withColumn("loss", -F.col("change")).select(
+    indexed = changes.withColumn("loss", F.col("change") / 10 * -4).select(
         "key",
         "date",
         s.compounded("change", 50.0).alias("index_price"),

@@ -9,6 +9,21 @@ from pyspark.sql import functions as F
 
 from ecometrics.session import tune
 
+# The tables; a declared schema spares a pass over the file footers per read.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -21,9 +36,9 @@ class Star:
         self._folder = folder
 
     def __getattr__(self, table: str) -> DataFrame:
-        if table.startswith("_"):
+        if table not in TABLES:
             raise AttributeError(table)
-        return self.spark.read.parquet(f"{self._folder}/{table}.parquet")
+        return self.spark.read.schema(TABLES[table]).parquet(f"{self._folder}/{table}.parquet")
 
 
 def query(sql: str | None = None, name: str | None = None):

@@ -16,20 +16,20 @@ from ecometrics.session import settle
 from ecometrics.sources.tables import literal_table
 from workload import models
 from workload.registry import query, steady, steady_sql
-from workload.star import BASE_SQL, QUANTITY, REVENUE, customer_base, supplier_base
+from workload.star import BASE_SQL, QUANTITY, REVENUE_CENTS, customer_base, supplier_base
 
 POSITIVE = models.sql_positive
 
 
 @query(
     f"""WITH {BASE_SQL}
-    SELECT c_custkey, n_name, qty, revenue::DOUBLE AS revenue, coalesce(revenue::DOUBLE, c_acctbal) AS worth,
-           {POSITIVE('revenue::DOUBLE', 'qty')} AS revenue_per_unit,
+    SELECT c_custkey, n_name, qty, revenue AS revenue, coalesce(revenue, c_acctbal) AS worth,
+           {POSITIVE('revenue', 'qty')} AS revenue_per_unit,
            CASE WHEN qty > 0 THEN qty * 1000000.0::DOUBLE END AS qty_scaled
     FROM customer LEFT JOIN customer_base ON k = c_custkey AND k % 4 <> 0 LEFT JOIN nation ON n_nationkey = c_nationkey"""
 )
 def customer_metrics(star):
-    measured = customer_base(star).filter(F.col("k") % 4 != 0).withColumn("revenue", F.col("revenue").cast("double"))
+    measured = customer_base(star).filter(F.col("k") % 4 != 0)
     known = enrich(star.customer, measured, {"c_custkey": "k"}, ["qty", "revenue"])
     placed = enrich(known, star.nation, {"c_nationkey": "n_nationkey"}, ["n_name"])
     return filled(placed, "worth", "revenue", "c_acctbal").select(
@@ -67,11 +67,11 @@ def relative_to_benchmark(star):
 
 @query(
     f"""WITH {BASE_SQL} SELECT k, CASE WHEN qty = 0 THEN 100.0 ELSE 100.0::DOUBLE * (1.0::DOUBLE - qty / top_qty) END::DOUBLE AS inverse_score,
-      100.0::DOUBLE * (revenue::DOUBLE / top_revenue) AS share_score
+      100.0::DOUBLE * (revenue / top_revenue) AS share_score
     FROM supplier_base, (SELECT max(qty)::DOUBLE AS top_qty, max(revenue)::DOUBLE AS top_revenue FROM supplier_base)"""
 )
 def scores_against_highest(star):
-    base = supplier_base(star).select("k", "qty", F.col("revenue").cast("double").alias("revenue"))
+    base = supplier_base(star).select("k", "qty", "revenue")
     base = settle(base)
     return base.select(
         "k",
@@ -138,12 +138,12 @@ def region_groups(star):
 
 ASSETS_SQL = f"""assets AS (
   SELECT 'Cryptocurrency' AS asset_type, name AS asset_name, 'C' || k AS asset_symbol, cents / 100.0::DOUBLE AS current_price,
-         revenue::DOUBLE AS market_cap, CASE WHEN k % 11 = 0 THEN 0 WHEN k % 13 <> 0 THEN qty / 1000.0::DOUBLE END AS co2_emissions_mt,
+         revenue AS market_cap, CASE WHEN k % 11 = 0 THEN 0 WHEN k % 13 <> 0 THEN qty / 1000.0::DOUBLE END AS co2_emissions_mt,
          qty / 10.0::DOUBLE AS energy_consumption, qty / 7.0::DOUBLE AS environmental_score, segment AS asset_subtype,
          CAST(NULL AS VARCHAR) AS region, CAST(NULL AS BIGINT) AS year_founded, 'Digital Asset' AS main_focus
   FROM customer_base
   UNION ALL
-  SELECT 'Stock', name, 'S' || k, cents / 100.0::DOUBLE, revenue::DOUBLE, qty / 100.0::DOUBLE, qty / 1000.0::DOUBLE,
+  SELECT 'Stock', name, 'S' || k, cents / 100.0::DOUBLE, revenue, qty / 100.0::DOUBLE, qty / 1000.0::DOUBLE,
          (k % 50)::DOUBLE, n_name, n_name, 1900 + k % 120, 'Focus ' || k % 9
   FROM supplier_base JOIN nation ON n_nationkey = nation),
 star_overview AS (
@@ -157,7 +157,7 @@ OVERVIEW_SQL = f"WITH {BASE_SQL}, {ASSETS_SQL}"
 
 def overview(star):
     """Customers and suppliers as one table of assets, of the shape of the investment overview."""
-    price, cap = (F.col("cents") / 100.0).alias("current_price"), F.col("revenue").cast("double").alias("market_cap")
+    price, cap = (F.col("cents") / 100.0).alias("current_price"), F.col("revenue").alias("market_cap")
     emissions = F.when(F.col("k") % 11 == 0, 0.0).when(F.col("k") % 13 != 0, F.col("qty") / 1000.0)
     coins = customer_base(star).select(
         F.lit(marts.CRYPTO).alias("asset_type"),
@@ -239,23 +239,23 @@ def impact_comparison(star):
 
 @query(
     f"""SELECT coalesce(l_returnflag, l_linestatus, 'all') AS grain, count(*) AS n,
-      CAST(sum({REVENUE}) AS DOUBLE) / nullif(CAST(sum({QUANTITY}) AS BIGINT), 0) AS price_per_unit
+      CAST(sum({REVENUE_CENTS}) AS DOUBLE) / 100 / nullif(CAST(sum({QUANTITY}) AS BIGINT), 0) AS price_per_unit
     FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), (l_linestatus), ())"""
 )
 def revenue_by_grain(star):
     lines = star.lineitem.select(
-        "l_returnflag", "l_linestatus", F.expr(REVENUE).alias("revenue"), F.expr(QUANTITY).alias("quantity")
+        "l_returnflag", "l_linestatus", F.expr(REVENUE_CENTS).alias("cents"), F.expr(QUANTITY).alias("quantity")
     )
     return multi_grain(
-        lines.withColumn("revenue", F.col("revenue").cast("decimal(18,4)")),
+        lines,
         grains=["l_returnflag", "l_linestatus"],
         label="grain",
         total_label="all",
         count="n",
         means={},
-        sums={"revenue": "revenue", "quantity": "quantity"},
+        sums={"cents": "cents", "quantity": "quantity"},
         ratios={},
-    ).select("grain", "n", m.divided(F.col("revenue").cast("double"), F.col("quantity")).alias("price_per_unit"))
+    ).select("grain", "n", m.divided(F.col("cents") / 100.0, F.col("quantity")).alias("price_per_unit"))
 
 
 LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")

@@ -8,14 +8,16 @@ both start from the same input.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ecometrics.session import settle
 from workload.registry import Star
 
-REVENUE = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
+# Whole cents per line: their sum is exact in any order and fits a long up to 10^12 lines of one key.
+REVENUE_CENTS = "CAST(floor(l_extendedprice * (1 - l_discount) * 100 + 0.5) AS BIGINT)"
 QUANTITY = "CAST(l_quantity AS BIGINT)"
 
 BASE_SQL = f"""
@@ -23,14 +25,14 @@ customer_base AS (
   SELECT c_custkey AS k, c_name AS name, c_nationkey AS nation, c_mktsegment AS segment,
          CAST(round(c_acctbal * 100) AS BIGINT) AS cents, qty, revenue
   FROM customer LEFT JOIN (
-    SELECT o_custkey, CAST(sum({QUANTITY}) AS BIGINT) AS qty, sum({REVENUE}) AS revenue
+    SELECT o_custkey, CAST(sum({QUANTITY}) AS BIGINT) AS qty, CAST(sum({REVENUE_CENTS}) AS DOUBLE) / 100 AS revenue
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey) ON o_custkey = c_custkey
 ),
 supplier_base AS (
   SELECT s_suppkey AS k, s_name AS name, s_nationkey AS nation,
          CAST(round(s_acctbal * 100) AS BIGINT) AS cents, qty, revenue
   FROM supplier LEFT JOIN (
-    SELECT l_suppkey, CAST(sum({QUANTITY}) AS BIGINT) AS qty, sum({REVENUE}) AS revenue
+    SELECT l_suppkey, CAST(sum({QUANTITY}) AS BIGINT) AS qty, CAST(sum({REVENUE_CENTS}) AS DOUBLE) / 100 AS revenue
     FROM lineitem GROUP BY l_suppkey) ON l_suppkey = s_suppkey
 )"""
 
@@ -38,10 +40,10 @@ supplier_base AS (
 def customer_base(star: Star) -> DataFrame:
     """Lines are folded per order before they meet the orders, and again per customer."""
     per_order = star.lineitem.groupBy("l_orderkey").agg(
-        F.sum(F.expr(QUANTITY)).alias("qty"), F.sum(F.expr(REVENUE)).alias("revenue")
+        F.sum(F.expr(QUANTITY)).alias("qty"), F.sum(F.expr(REVENUE_CENTS)).alias("revenue_cents")
     )
     owned = per_order.join(star.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    per_customer = owned.groupBy("o_custkey").agg(F.sum("qty").alias("qty"), F.sum("revenue").alias("revenue"))
+    per_customer = owned.groupBy("o_custkey").agg(F.sum("qty").alias("qty"), F.sum("revenue_cents").alias("revenue_cents"))
     return star.customer.join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left").select(
         F.col("c_custkey").alias("k"),
         F.col("c_name").alias("name"),
@@ -49,13 +51,13 @@ def customer_base(star: Star) -> DataFrame:
         F.col("c_mktsegment").alias("segment"),
         F.round(F.col("c_acctbal") * 100).cast("bigint").alias("cents"),
         "qty",
-        "revenue",
+        (F.col("revenue_cents") / 100.0).alias("revenue"),
     )
 
 
 def supplier_base(star: Star) -> DataFrame:
     per_supplier = star.lineitem.groupBy("l_suppkey").agg(
-        F.sum(F.expr(QUANTITY)).alias("qty"), F.sum(F.expr(REVENUE)).alias("revenue")
+        F.sum(F.expr(QUANTITY)).alias("qty"), F.sum(F.expr(REVENUE_CENTS)).alias("revenue_cents")
     )
     return star.supplier.join(per_supplier, F.col("s_suppkey") == F.col("l_suppkey"), "left").select(
         F.col("s_suppkey").alias("k"),
@@ -63,7 +65,7 @@ def supplier_base(star: Star) -> DataFrame:
         F.col("s_nationkey").alias("nation"),
         F.round(F.col("s_acctbal") * 100).cast("bigint").alias("cents"),
         "qty",
-        "revenue",
+        (F.col("revenue_cents") / 100.0).alias("revenue"),
     )
 
 
@@ -73,7 +75,7 @@ def string(number: str) -> str:
 
 def money(cents: str) -> str:
     """Cents as text with two decimals."""
-    whole = string(f"CAST(floor(abs({cents}) / 100.0) AS BIGINT)")
+    whole = string(f"CAST(floor(abs({cents}) / CAST(100 AS DOUBLE)) AS BIGINT)")
     return f"(CASE WHEN {cents} < 0 THEN '-' ELSE '' END || {whole} || '.' || lpad({string(f'abs({cents}) % 100')}, 2, '0'))"
 
 
@@ -171,12 +173,21 @@ def raw_columns(thousands: Callable[[str], str]) -> dict[str, tuple[str, str, st
     }
 
 
-def raw_tables(star: Star) -> dict[str, DataFrame]:
-    bases = {"customer_base": customer_base(star), "supplier_base": supplier_base(star)}
+def raw_tables(star: Star, wanted: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    """The six raw tables.  Up to three of them share a base, which is therefore written once."""
+    written: dict[str, DataFrame] = {}
+
+    def base_table(name: str) -> DataFrame:
+        if name not in written:
+            written[name] = settle({"customer_base": customer_base, "supplier_base": supplier_base}[name](star), name)
+        return written[name]
+
     tables = {}
     for name, (base, kept, twice, columns) in raw_columns(lambda n: f"format_number({n}, 0)").items():
+        if wanted is not None and name not in wanted:
+            continue
         copies = f"CASE WHEN {twice} THEN array(0, 1) ELSE array(0) END" if twice else "array(0)"
-        rows = bases[base].filter(kept).withColumn("copy", F.explode(F.expr(copies)))
+        rows = base_table(base).filter(kept).withColumn("copy", F.explode(F.expr(copies)))
         tables[name] = rows.selectExpr(*[f"{e} AS {column}" for column, e in columns.items()])
     return tables
 
