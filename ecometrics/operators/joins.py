@@ -2,8 +2,10 @@
 
 None of these joins carries a broadcast hint.  A side that was written with
 ``settle`` has a known size, so Catalyst broadcasts it below the configured
-threshold and shuffles it beyond; hot keys of shuffled joins are split by
-adaptive execution (see ``session.RUNTIME_SETTINGS``).
+threshold and shuffles it beyond.  Hot keys of shuffled joins are split by
+adaptive execution (see ``session.RUNTIME_SETTINGS``), on both sides of an
+inner join but only on the detail side of a left join; ``enrich_repeated`` is
+for sides that may hold very many rows of one key.
 """
 
 from __future__ import annotations
@@ -43,6 +45,38 @@ def enrich(
     return joined.drop(*[KEY_PREFIX + str(i) for i in range(len(pairs))])
 
 
+def enrich_repeated(
+    detail: DataFrame,
+    side: DataFrame,
+    on: Mapping[str, str] | Sequence[str],
+    columns: Mapping[str, str] | Sequence[str],
+    normalise=None,
+    rows_per_key: int = 1_000_000,
+) -> DataFrame:
+    """``enrich`` for a side whose key is not unique: a detail row meets all rows of its key.
+
+    The rows of the most frequent key are counted first.  Up to
+    ``rows_per_key`` a plain left join does.  Beyond, the matches come from an
+    inner join, whose hot keys can be split on either side, and the detail
+    rows without a match are added from an anti join against the distinct
+    keys.
+    """
+    pairs = dict(on) if isinstance(on, Mapping) else {name: name for name in on}
+    taken = dict(columns) if isinstance(columns, Mapping) else {name: name for name in columns}
+    prepare = normalise or (lambda column: column)
+    keys = [prepare(F.col(right)).alias(KEY_PREFIX + str(i)) for i, right in enumerate(pairs.values())]
+    names = [KEY_PREFIX + str(i) for i in range(len(pairs))]
+    known = side.select(*keys).dropna()
+    heaviest = known.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if (heaviest or 0) <= rows_per_key:
+        return enrich(detail, side, pairs, taken, normalise)
+    met = enrich(detail, side, pairs, taken, normalise, how="inner")
+    distinct = known.distinct()
+    matches = [prepare(detail[left]) == distinct[name] for left, name in zip(pairs, names, strict=True)]
+    alone = detail.join(distinct, reduce(Column.__and__, matches), "left_anti")
+    return met.unionByName(alone, allowMissingColumns=True).select(met.columns)
+
+
 def not_yet_in(candidates: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Candidates whose key does not occur in ``done``."""
     return candidates.join(done.select(key), key, "left_anti")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ecometrics.operators import quality
 from ecometrics.plans import intermediate, marts, staging
 from ecometrics.session import settle
-from ecometrics.sources.tables import publish
+from ecometrics.sources.tables import publish, read_table
 
 LAYERS = {
     "staging": (
@@ -135,5 +135,10 @@ class Models:
         return reduce(DataFrame.unionByName, results).select("model", "check", "column", "failures")
 
     def publish(self, root: str) -> dict[str, str]:
-        """Write every model below the folder of its layer; returns the paths."""
-        return {name: publish(self[name], f"{root}/{layer}/{name}") for name, layer in LAYER_OF.items()}
+        """Write every model below the folder of its layer; later models start from the written ones."""
+        paths = {}
+        for name, layer in LAYER_OF.items():
+            df = self._built.get(name) or self._plan(name)
+            paths[name] = publish(df, f"{root}/{layer}/{name}")
+            self._built[name] = read_table(df.sparkSession, paths[name])
+        return paths

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from ecometrics.functions import measures as m
 from ecometrics.functions.bands import impact_band
 from ecometrics.functions.text import join_key
-from ecometrics.operators.joins import enrich
+from ecometrics.operators.joins import enrich_repeated
 
 
 def int_crypto_metrics(quotes: DataFrame, footprint: DataFrame, prices: DataFrame) -> DataFrame:
     """A quote meets every footprint row of its symbol: duplicated footprints multiply it."""
-    with_footprint = enrich(
+    with_footprint = enrich_repeated(
         quotes,
         footprint,
         ["symbol"],
@@ -26,7 +26,7 @@ def int_crypto_metrics(quotes: DataFrame, footprint: DataFrame, prices: DataFram
         },
         normalise=join_key,
     )
-    priced = enrich(with_footprint, prices, {"coin_name": "coin"}, ["price_usd"], normalise=join_key)
+    priced = enrich_repeated(with_footprint, prices, {"coin_name": "coin"}, ["price_usd"], normalise=join_key)
     return priced.select(
         F.coalesce("coin_name", "footprint_name").alias("coin_name"),
         F.coalesce("symbol", "footprint_symbol").alias("symbol"),
@@ -43,13 +43,14 @@ def int_crypto_metrics(quotes: DataFrame, footprint: DataFrame, prices: DataFram
 
 
 def int_stock_metrics(companies: DataFrame, footprint: DataFrame, financials: DataFrame) -> DataFrame:
-    measured = enrich(
+    measured = enrich_repeated(
         companies,
         footprint,
         ["id"],
         ["electricity_consumption_gwh", "co2_emissions_mt", "electrical_power_gwh"],
     )
-    valued = enrich(measured, financials, ["ticker"], {"market_cap": "feed_cap", "current_price": "current_price"})
+    feed = {"market_cap": "feed_cap", "current_price": "current_price"}
+    valued = enrich_repeated(measured, financials, ["ticker"], feed)
     cap = F.coalesce("market_cap", "feed_cap")
     return valued.select(
         "id",
