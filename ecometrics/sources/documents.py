@@ -20,7 +20,7 @@ PAYLOADS = T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file, for documents that spread over lines."""
-    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "document")
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "document")
 
 
 def explode_documents(df: DataFrame, section: T.DataType, root: str = "stocks") -> DataFrame:
