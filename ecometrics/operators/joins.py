@@ -78,8 +78,8 @@ def enrich_repeated(
 
 
 def not_yet_in(candidates: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """Candidates whose key does not occur in ``done``."""
-    return candidates.join(done.select(key), key, "left_anti")
+    """Candidates whose key does not occur in ``done``; its copies are folded before the shuffle."""
+    return candidates.join(done.select(key).distinct(), key, "left_anti")
 
 
 def filled(df: DataFrame, target: str, *sources: str) -> DataFrame:

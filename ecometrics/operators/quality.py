@@ -52,9 +52,9 @@ def unique(df: DataFrame, column: str) -> DataFrame:
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child rows whose known key has no parent; child keys are folded before they are joined."""
+    """Known child keys without a parent, with how many rows; both sides are folded before they are joined."""
     keys = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return keys.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
+    return keys.join(parent.select(F.col(parent_key).alias(key)).distinct(), key, "left_anti")
 
 
 def relationship(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,16 +44,18 @@ def with_group_stats(df: DataFrame, by: str, value: str) -> DataFrame:
     return enrich(df, settle(group_stats(df, by, value), "group-stats"), [by], list(STATISTICS))
 
 
-def efficiency_metrics(overview: DataFrame, tie: str = "asset_name") -> DataFrame:
+def efficiency_metrics(overview: DataFrame, ties: Sequence[str] = ("asset_name", "asset_symbol")) -> DataFrame:
     """Every asset with known emissions, measured against its class.
 
     The statistics cover all assets of the class, the ranks only the listed
-    ones.  ``overview`` is read twice and should be a written table.
+    ones.  Ranking writes the assets once, listed and unlisted ones apart; the
+    statistics are taken from there.
     """
-    stats = settle(group_stats(overview, "asset_type", "green_efficiency"), "group-stats")
-    listed = overview.filter(F.col("co2_emissions_mt").isNotNull())
-    ranked = rank_within(listed, ["asset_type"], descending("green_efficiency", tie), "efficiency_rank")
-    joined = enrich(ranked, stats, ["asset_type"], list(STATISTICS))
+    marked = overview.withColumn("__listed", F.col("co2_emissions_mt").isNotNull())
+    by = ["asset_type", "__listed"]
+    ranked = rank_within(marked, by, descending("green_efficiency", *ties), "efficiency_rank")
+    stats = settle(group_stats(ranked, "asset_type", "green_efficiency"), "group-stats")
+    joined = enrich(ranked.filter("__listed"), stats, ["asset_type"], list(STATISTICS))
     efficiency, mean = F.col("green_efficiency"), F.col("avg_efficiency")
     return joined.select(
         "asset_type",

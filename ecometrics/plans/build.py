@@ -25,7 +25,7 @@ LAYERS = {
     "intermediate": ("int_crypto_metrics", "int_stock_metrics"),
     "marts_crypto": ("dim_cryptocurrencies", "fact_crypto_environmental"),
     "marts_stock": ("dim_companies", "fact_stock_environmental"),
-    "marts_green_finance": (
+    "marts_overview": (
         "green_investment_overview",
         "carbon_efficiency_metrics",
         "environmental_impact_comparison",

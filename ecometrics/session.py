@@ -22,11 +22,20 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+PARTITION_BYTES = 256 * 1024 * 1024
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the run-time SQL settings the operators count on."""
+
+def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the run-time SQL settings the operators count on.
+
+    With the size of the input given, shuffles start from as many partitions
+    as keep one at ``PARTITION_BYTES``; adaptive execution merges small ones.
+    """
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
+    if input_bytes is not None:
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(current, -(-input_bytes // PARTITION_BYTES))))
     return spark
 
 

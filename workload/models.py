@@ -207,7 +207,7 @@ carbon_efficiency_metrics AS (
            stddev_samp(green_efficiency) AS deviation, count(green_efficiency) AS peers
     FROM {overview} WHERE green_efficiency IS NOT NULL GROUP BY asset_type) t ON t.asset_type = o.asset_type
   WHERE co2_emissions_mt IS NOT NULL
-  WINDOW ranked AS (PARTITION BY o.asset_type ORDER BY green_efficiency DESC NULLS LAST, asset_name NULLS FIRST))"""
+  WINDOW ranked AS (PARTITION BY o.asset_type ORDER BY green_efficiency DESC NULLS LAST, asset_name NULLS FIRST, asset_symbol NULLS FIRST))"""
 
 
 def comparison_sql(overview: str) -> str:

@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ecometrics.operators import series as s
+from ecometrics.operators.joins import enrich
+from ecometrics.operators.screening import peers
 from workload.registry import query, steady, steady_sql
 
-AMOUNT = "CAST(o_totalprice AS DECIMAL(18,2))"
+# Whole cents: sums and means of them are exact in any order.
+AMOUNT = "CAST(round(o_totalprice * 100) AS BIGINT)"
+VALUE = "CAST(round(value * 100) AS BIGINT)"
 SERIES_SQL = f"""WITH series AS (
   SELECT o_orderpriority AS key, CAST(o_orderdate AS DATE) AS date, CAST(sum({AMOUNT}) AS DOUBLE) AS price, count(*) AS volume
   FROM orders GROUP BY 1, 2),
@@ -28,27 +32,27 @@ def daily_series(star):
 
 
 @query(
-    """SELECT event_type AS key, CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS price,
-       count(*) AS volume, CASE WHEN count(*) OVER w = 20 THEN CAST(CAST(avg(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE)) OVER w AS FLOAT) AS DOUBLE) END AS ma20
+    f"""SELECT event_type AS key, CAST(ts AS DATE) AS date, CAST(sum({VALUE}) AS DOUBLE) AS price,
+       count(*) AS volume, CASE WHEN count(*) OVER w = 20 THEN avg(CAST(sum({VALUE}) AS DOUBLE)) OVER w END AS ma20
        FROM events GROUP BY 1, 2 WINDOW w AS (PARTITION BY event_type ORDER BY CAST(ts AS DATE) ROWS 19 PRECEDING)"""
 )
 def event_moving_average(star):
-    total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
+    total = F.sum(F.expr(VALUE)).cast("double")
     events = s.daily_series(star.events, F.col("event_type"), F.col("ts"), total, F.count(F.lit(1)))
-    return steady(events.withColumn("ma20", s.moving_average(20)), "ma20")
+    return events.withColumn("ma20", s.moving_average(20))
 
 
 @query(
     SERIES_SQL
-    + f""" SELECT {steady_sql('ma20', 'ma50')} FROM (SELECT key, date, price,
+    + """ SELECT key, date, price,
       CASE WHEN count(price) OVER (PARTITION BY key ORDER BY date ROWS 19 PRECEDING) = 20
            THEN avg(price) OVER (PARTITION BY key ORDER BY date ROWS 19 PRECEDING) END AS ma20,
       CASE WHEN count(price) OVER (PARTITION BY key ORDER BY date ROWS 49 PRECEDING) = 50
-           THEN avg(price) OVER (PARTITION BY key ORDER BY date ROWS 49 PRECEDING) END AS ma50 FROM series)"""
+           THEN avg(price) OVER (PARTITION BY key ORDER BY date ROWS 49 PRECEDING) END AS ma50 FROM series"""
 )
 def moving_averages(star):
-    averaged = order_series(star).withColumns({"ma20": s.moving_average(20), "ma50": s.moving_average(50)})
-    return steady(averaged.drop("volume"), "ma20", "ma50")
+    averages = {"ma20": s.moving_average(20), "ma50": s.moving_average(50)}
+    return order_series(star).withColumns(averages).drop("volume")
 
 
 @query(SERIES_SQL + " SELECT key, date, daily_return FROM returns")
@@ -182,7 +186,7 @@ def chronological_returns(star):
 
 @query(
     f"""WITH prices AS (SELECT s_nationkey AS focus, l_suppkey AS supplier, CAST(l_shipdate AS DATE) AS date,
-        CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS price
+        CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) AS price
         FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY ALL),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_name, s_suppkey) AS pos FROM supplier),
     pairs AS (SELECT a.s_suppkey AS key, b.s_suppkey AS peer, row_number() OVER (PARTITION BY a.s_suppkey ORDER BY b.pos) AS position
@@ -193,10 +197,7 @@ def chronological_returns(star):
     LEFT JOIN finals o ON o.supplier = key LEFT JOIN finals t ON t.supplier = peer WHERE position <= 3"""
 )
 def peers_rebased(star):
-    from ecometrics.operators.joins import enrich
-    from ecometrics.operators.screening import peers
-
-    total = F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double")
+    total = F.sum(F.expr("CAST(round(l_extendedprice * 100) AS BIGINT)")).cast("double")
     sold = s.daily_series(star.lineitem, F.col("l_suppkey"), F.col("l_shipdate"), total, F.count(F.lit(1)))
     indexed = sold.withColumn("rebased", s.rebased())
     finals = indexed.groupBy(F.col("key").alias("supplier")).agg(F.max_by("rebased", "date").alias("final"))

@@ -216,7 +216,7 @@ STATS = ("avg_efficiency", "stddev_efficiency")
     FROM star_overview GROUP BY asset_type) SELECT {steady_sql(*STATS)} FROM stats"""
 )
 def group_stats(star):
-    return steady(statistics.group_stats(overview(star), "asset_type", "green_efficiency"), *STATS)
+    return steady(statistics.group_stats(overview(star), "asset_type", "green_efficiency", accuracy=100_000), *STATS)
 
 
 @query(
@@ -229,7 +229,7 @@ def group_median(star):
 
 @query(f"{OVERVIEW_SQL}, {models.metrics_sql('star_overview')} SELECT {steady_sql(*models.RELATIVE)} FROM carbon_efficiency_metrics")
 def efficiency_metrics(star):
-    return steady(statistics.efficiency_metrics(settle(overview(star), "overview")), *models.RELATIVE)
+    return steady(statistics.efficiency_metrics(overview(star)), *models.RELATIVE)
 
 
 @query(f"{OVERVIEW_SQL}, {models.comparison_sql('star_overview')} SELECT {steady_sql(*models.TOTALS)} FROM environmental_impact_comparison")
