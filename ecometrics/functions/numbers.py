@@ -16,7 +16,6 @@ from ecometrics.functions.text import as_column, clean_text, trimmed
 DECIMAL_LITERAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER_LITERAL = r"^[+-]?[0-9]+$"
 SCIENTIFIC_LITERAL = r"^[0-9]+\.[0-9]+e[+-][0-9]+$"
-CURRENCY_MARK = r"[$,]"
 NOT_NUMERIC = r"[^0-9.\-e]"
 NOT_DIGIT_OR_POINT = r"[^0-9.]"
 UPPER_EXPONENT = r"(?<=[0-9.])E(?=[+-]?[0-9])"
@@ -36,17 +35,19 @@ def stripped_number(value: Column | str, strict: bool = False) -> Column:
     """Drop everything that cannot belong to a number, then parse.
 
     Only a lower-case exponent mark survives the stripping.  Unless ``strict``,
-    an upper-case one standing inside a number is lowered first.
+    an upper-case one standing inside a number is lowered first.  What is left
+    holds no letter a cast could take for a type suffix or a special value.
     """
     text = as_column(value)
     if not strict:
-        text = F.regexp_replace(text, UPPER_EXPONENT, "e")
-    return plain_number(F.regexp_replace(text, NOT_NUMERIC, ""))
+        lowered = F.regexp_replace(text, UPPER_EXPONENT, "e")
+        text = F.when(F.contains(text, F.lit("E")), lowered).otherwise(text)
+    return F.regexp_replace(text, NOT_NUMERIC, "").try_cast("double")
 
 
 def unsigned_amount(value: Column | str) -> Column:
     """Keep digits and points only; sign and exponent are lost."""
-    return plain_number(F.regexp_replace(as_column(value), NOT_DIGIT_OR_POINT, ""))
+    return F.regexp_replace(as_column(value), NOT_DIGIT_OR_POINT, "").try_cast("double")
 
 
 def suffixed_number(value: Column | str, magnitudes: Mapping[str, float]) -> Column:
@@ -54,7 +55,7 @@ def suffixed_number(value: Column | str, magnitudes: Mapping[str, float]) -> Col
     text = F.lower(as_column(value))
     result = plain_number(text)
     for suffix, factor in magnitudes.items():
-        head = F.regexp_replace(text, suffix + r"\z", "")
+        head = F.left(text, F.length(text) - len(suffix))
         result = F.when(F.endswith(text, F.lit(suffix)), plain_number(head) * F.lit(factor)).otherwise(result)
     return result
 
@@ -64,13 +65,12 @@ def currency_amount(
 ) -> Column:
     """Currency text first, magnitude suffix second: ``$1.5B`` is 1.5."""
     text = as_column(value)
-    return F.when(text.rlike(CURRENCY_MARK), stripped_number(text, strict)).otherwise(
-        suffixed_number(text, magnitudes)
-    )
+    has_mark = F.contains(text, F.lit("$")) | F.contains(text, F.lit(","))
+    return F.when(has_mark, stripped_number(text, strict)).otherwise(suffixed_number(text, magnitudes))
 
 
 def percent_number(value: Column | str) -> Column:
-    return plain_number(F.regexp_replace(as_column(value), "%", ""))
+    return plain_number(F.replace(as_column(value), F.lit("%"), F.lit("")))
 
 
 def is_scientific(value: Column | str) -> Column:
