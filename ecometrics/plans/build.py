@@ -111,8 +111,13 @@ class Models:
         if name == "dim_companies":
             return marts.dim_companies(self["int_stock_metrics"], self.as_of)
         if name == "green_investment_overview":
-            sides = ("dim_cryptocurrencies", "fact_crypto_environmental", "dim_companies", "fact_stock_environmental")
-            return marts.green_investment_overview(*[self[side] for side in sides])
+            coins = self._pairs("int_crypto_metrics", "coin_name", marts.crypto_scores)
+            if coins is None:
+                coins = marts.coin_pairs(self["dim_cryptocurrencies"], self["fact_crypto_environmental"])
+            companies = self._pairs("int_stock_metrics", "id", marts.stock_scores)
+            if companies is None:
+                companies = marts.company_pairs(self["dim_companies"], self["fact_stock_environmental"])
+            return marts.green_investment_overview(coins, companies)
         if name == "carbon_efficiency_metrics":
             return marts.carbon_efficiency_metrics(self["green_investment_overview"], self.loaded_at)
         if name == "environmental_impact_comparison":
@@ -120,6 +125,17 @@ class Models:
         derive: Callable = getattr(marts, name)
         return derive(self["int_crypto_metrics" if "crypto" in name else "int_stock_metrics"])
 
+    def _pairs(self, wide: str, key: str, scores: Callable[[DataFrame], dict[str, Column]]) -> DataFrame | None:
+        """Dimension and fact of an asset without a join, if the key is unique.
+
+        Both come from the same rows, so a join on a unique key would only
+        bring a row back to itself.  The check shuffles the key alone.
+        """
+        table = self[wide]
+        if not quality.duplicates(table, key).isEmpty():
+            return None
+        return table.filter(F.col(key).isNotNull()).withColumns(scores(table))
+
     def check(self) -> DataFrame:
         """(model, check, column, failures) for every declared check."""
         results = []

@@ -46,24 +46,34 @@ def dim_cryptocurrencies(crypto: DataFrame) -> DataFrame:
     )
 
 
-def fact_crypto_environmental(crypto: DataFrame) -> DataFrame:
-    """``crypto`` is read three times (two scalar maxima) and should be a written table."""
+def crypto_scores(crypto: DataFrame) -> dict[str, Column]:
+    """What the fact adds to a coin; two of them hold scalar maxima over ``crypto``."""
     of_benchmark = highest(crypto, "co2_emissions_mt", F.col("symbol") == BENCHMARK_COIN)
     of_all = highest(crypto, "co2_emissions_mt")
     energy = F.col("electricity_consumption_gw")
-    return crypto.select(
+    return {
+        "relative_emissions_to_bitcoin": m.share_of_benchmark(
+            "co2_emissions_mt", F.col("symbol") == BENCHMARK_COIN, of_benchmark
+        ),
+        "market_cap_per_kwh": F.when(energy > 0, m.divided("market_cap", m.scaled(energy, 1e6))),
+        "ecological_score": m.inverse_share_score("co2_emissions_mt", of_all),
+        "ecological_category": b.ecology_band("co2_emissions_mt"),
+    }
+
+
+def fact_crypto_environmental(crypto: DataFrame) -> DataFrame:
+    """``crypto`` is read three times (two scalar maxima) and should be a written table."""
+    return crypto.withColumns(crypto_scores(crypto)).select(
         "coin_name",
         "symbol",
         "electricity_consumption_gw",
         "co2_emissions_mt",
         "co2_emissions_tonnes",
         "market_cap_per_co2",
-        m.share_of_benchmark("co2_emissions_mt", F.col("symbol") == BENCHMARK_COIN, of_benchmark).alias(
-            "relative_emissions_to_bitcoin"
-        ),
-        F.when(energy > 0, m.divided("market_cap", m.scaled(energy, 1e6))).alias("market_cap_per_kwh"),
-        m.inverse_share_score("co2_emissions_mt", of_all).alias("ecological_score"),
-        b.ecology_band("co2_emissions_mt").alias("ecological_category"),
+        "relative_emissions_to_bitcoin",
+        "market_cap_per_kwh",
+        "ecological_score",
+        "ecological_category",
         "environmental_impact_category",
     )
 
@@ -89,10 +99,21 @@ def dim_companies(stock: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def stock_scores(stock: DataFrame) -> dict[str, Column]:
+    """What the fact adds to a company; one of them holds a scalar maximum over ``stock``."""
+    score = F.col("combined_environmental_score")
+    return {
+        "normalized_environmental_score": m.scaled(score, 2),
+        "carbon_intensity_tonnes_per_million": m.intensity_per_million("co2_emissions_mt", "revenue_billions"),
+        "carbon_efficiency_percentile": m.share_of_highest("revenue_per_co2", highest(stock, "revenue_per_co2")),
+        "environmental_performance_category": b.performance_band(score),
+        "carbon_emission_category": b.emission_band("co2_emissions_mt"),
+    }
+
+
 def fact_stock_environmental(stock: DataFrame) -> DataFrame:
     """``stock`` is read twice (one scalar maximum) and should be a written table."""
-    score = F.col("combined_environmental_score")
-    return stock.select(
+    return stock.withColumns(stock_scores(stock)).select(
         "id",
         "company_name",
         "ticker",
@@ -103,35 +124,40 @@ def fact_stock_environmental(stock: DataFrame) -> DataFrame:
         "market_cap_per_co2",
         "revenue_per_gwh",
         "combined_environmental_score",
-        m.scaled(score, 2).alias("normalized_environmental_score"),
-        m.intensity_per_million("co2_emissions_mt", "revenue_billions").alias("carbon_intensity_tonnes_per_million"),
-        m.share_of_highest("revenue_per_co2", highest(stock, "revenue_per_co2")).alias("carbon_efficiency_percentile"),
-        b.performance_band(score).alias("environmental_performance_category"),
-        b.emission_band("co2_emissions_mt").alias("carbon_emission_category"),
+        "normalized_environmental_score",
+        "carbon_intensity_tonnes_per_million",
+        "carbon_efficiency_percentile",
+        "environmental_performance_category",
+        "carbon_emission_category",
+    )
+
+
+def coin_pairs(dim: DataFrame, fact: DataFrame) -> DataFrame:
+    """Dimension and fact by name, which need not be unique: n rows of a name on each side yield n × n."""
+    measured = (
+        "co2_emissions_mt",
+        "electricity_consumption_gw",
+        "market_cap_per_co2",
+        "ecological_score",
+        "ecological_category",
+    )
+    return enrich(dim, fact, ["coin_name"], measured, how="inner")
+
+
+def company_pairs(dim: DataFrame, fact: DataFrame) -> DataFrame:
+    measured = (
+        "co2_emissions_mt",
+        "electricity_consumption_gwh",
+        "market_cap_per_co2",
+        "normalized_environmental_score",
+        "environmental_performance_category",
     )
+    return enrich(dim, fact, ["id"], measured, how="inner")
 
 
-def green_investment_overview(
-    crypto_dim: DataFrame, crypto_fact: DataFrame, stock_dim: DataFrame, stock_fact: DataFrame
-) -> DataFrame:
-    """Both classes in one table.
-
-    Coins meet by name, which need not be unique: a name with n rows on each
-    side yields n × n.  Drop duplicate footprints beforehand to avoid that.
-    """
-    coins = enrich(
-        crypto_dim,
-        crypto_fact,
-        ["coin_name"],
-        [
-            "co2_emissions_mt",
-            "electricity_consumption_gw",
-            "market_cap_per_co2",
-            "ecological_score",
-            "ecological_category",
-        ],
-        how="inner",
-    ).select(
+def green_investment_overview(coins: DataFrame, companies: DataFrame) -> DataFrame:
+    """Both classes in one table, from rows that hold the dimension and the fact of an asset."""
+    coin_assets = coins.select(
         F.lit(CRYPTO).alias("asset_type"),
         F.col("coin_name").alias("asset_name"),
         F.col("symbol").alias("asset_symbol"),
@@ -148,19 +174,7 @@ def green_investment_overview(
         F.lit(None).cast("bigint").alias("year_founded"),
         F.lit("Digital Asset").alias("main_focus"),
     )
-    stocks = enrich(
-        stock_dim,
-        stock_fact,
-        ["id"],
-        [
-            "co2_emissions_mt",
-            "electricity_consumption_gwh",
-            "market_cap_per_co2",
-            "normalized_environmental_score",
-            "environmental_performance_category",
-        ],
-        how="inner",
-    ).select(
+    company_assets = companies.select(
         F.lit(STOCK).alias("asset_type"),
         F.col("company_name").alias("asset_name"),
         F.col("ticker").alias("asset_symbol"),
@@ -177,7 +191,7 @@ def green_investment_overview(
         "year_founded",
         "main_focus",
     )
-    return coins.unionByName(stocks)
+    return coin_assets.unionByName(company_assets)
 
 
 def carbon_efficiency_metrics(overview: DataFrame, analysed_at: Column) -> DataFrame:

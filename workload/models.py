@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ecometrics.plans import marts
 from ecometrics.plans.build import LAYERS, Models
+from ecometrics.session import scratch_path
+from ecometrics.sources.tables import read_table
 from workload.registry import Star, query, steady, steady_sql
 from workload.star import BASE_SQL, raw_sql, raw_tables
 
@@ -333,3 +338,42 @@ def declared_checks(star):
 )
 def int_crypto_metrics_deduplicated(star):
     return models(star, dedupe=True)["int_crypto_metrics"]
+
+
+@query(
+    f"""{PRELUDE} SELECT coin_name, d.symbol, f.ecological_score FROM dim_cryptocurrencies d
+    JOIN fact_crypto_environmental f USING (coin_name)"""
+)
+def dimension_meets_fact_by_name(star):
+    built = models(star)
+    pairs = marts.coin_pairs(built["dim_cryptocurrencies"], built["fact_crypto_environmental"])
+    return pairs.select("coin_name", "symbol", "ecological_score")
+
+
+@query(
+    f"""{PRELUDE} SELECT id, d.esg_category, f.normalized_environmental_score FROM dim_companies d
+    JOIN fact_stock_environmental f USING (id)"""
+)
+def dimension_meets_fact_by_id(star):
+    built = models(star)
+    pairs = marts.company_pairs(built["dim_companies"], built["fact_stock_environmental"])
+    return pairs.select("id", "esg_category", "normalized_environmental_score")
+
+
+COUNTED = [(layer, name) for layer, names in LAYERS.items() for name in names]
+
+
+@query(
+    f"{PRELUDE}\n"
+    + " UNION ALL ".join(f"SELECT '{layer}' AS layer, '{name}' AS model, count(*) AS n FROM {name}" for layer, name in COUNTED)
+)
+def published_layers(star):
+    """Every model written below its layer and counted from there."""
+    paths = models(star).publish(scratch_path(star.spark, "layers"))
+    counted = [
+        read_table(star.spark, paths[name])
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(layer).alias("layer"), F.lit(name).alias("model"), "n")
+        for layer, name in COUNTED
+    ]
+    return reduce(DataFrame.unionByName, counted)
