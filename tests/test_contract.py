@@ -17,6 +17,35 @@ def test_every_query_has_a_counterpart():
     assert set(SQL) == set(QUERIES)
 
 
+def plan_of(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert differences(QUERIES[name](spark, FOLDER), con, SQL[name]) == []
+    df = QUERIES[name](spark, FOLDER)
+    plan = plan_of(df)
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "PythonUDF", "MapInPandas", "ObjectHashAggregate"):
+        assert unwanted not in plan or (name, unwanted) in ALLOWED, unwanted
+    assert differences(df, con, SQL[name]) == []
+
+
+# Quantile sketch and the few heads per group.
+ALLOWED = {("group_stats", "ObjectHashAggregate")}
+
+
+def test_bounds_reach_the_scan(spark):
+    plan = plan_of(QUERIES["fixed_date_range"](spark, FOLDER))
+    assert "GreaterThanOrEqual(l_shipdate,1997-02-13T00:00)" in plan and "LessThan(l_shipdate,1997-02-24T00:00)" in plan
+    assert "ReadSchema: struct<l_returnflag:string,l_shipdate:timestamp_ntz>" in plan
+
+
+def test_ranked_classes_need_no_window_over_the_detail(spark):
+    for name in ("efficiency_metrics", "rank_in_large_class", "carbon_efficiency_metrics"):
+        assert "Window" not in plan_of(QUERIES[name](spark, FOLDER))
+
+
+def test_series_measures_share_one_window(spark):
+    plan = plan_of(QUERIES["moving_averages"](spark, FOLDER))
+    assert plan.count(") Window") == 1 and plan.count(") Exchange") == 2
