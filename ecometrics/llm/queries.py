@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecometrics.llm import token_counts
+from ecometrics.llm import bpe, token_counts
 from ecometrics.llm.common import documents
 
 
@@ -16,11 +16,16 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode(documents(spark, folder), tokenizer_path("word_bpe_49k.json"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op10_token_counts": op10_token_counts,
 }
 
