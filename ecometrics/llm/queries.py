@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecometrics.llm import bpe, token_counts
+from ecometrics.llm import bpe, mixing, token_counts
 from ecometrics.llm.common import documents
 
 
@@ -16,6 +16,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(documents(spark, folder))
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(documents(spark, folder), tokenizer_path("word_bpe_49k.json"))
 
@@ -25,8 +29,9 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
     "op10_token_counts": op10_token_counts,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_mixing": mixing.SQL}
