@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecometrics.llm import bpe, mixing, simhash, token_counts
+from ecometrics.llm import bpe, language, mixing, simhash, token_counts
 from ecometrics.llm.common import documents
 
 
@@ -24,6 +24,10 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(documents(spark, folder), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(documents(spark, folder))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
@@ -35,6 +39,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
+    "op4_language": op4_language,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
 }
