@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecometrics.llm import bpe, language, mixing, quality, simhash, token_counts
+from ecometrics.llm import bpe, language, mixing, order_minhash, quality, simhash, token_counts
 from ecometrics.llm.common import documents
 
 
@@ -28,6 +28,10 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(documents(spark, folder))
 
 
+def op5_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.fingerprint(documents(spark, folder))
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(documents(spark, folder))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
     "op4_language": op4_language,
+    "op5_order_minhash": op5_order_minhash,
     "op6_quality": op6_quality,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
