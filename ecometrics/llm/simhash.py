@@ -187,3 +187,15 @@ def near_duplicates(
     return prints.join(named, prints.fp == named.node).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
+    """One row, all columns, of each group of near-duplicates: the one of the least id.
+
+    Rows that share an id are one document, of which one row stays.  Rows without an id can't be told by it:
+    among them one of each text stays.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **limits)
+    first = settle(found.select(F.col("component_id").alias("__first_id")).distinct(), "kept")
+    with_id = docs.join(first, docs[id_col] == F.col("__first_id"), "left_semi").dropDuplicates([id_col])
+    return with_id.unionByName(docs.where(docs[id_col].isNull()).dropDuplicates([text_col]))
