@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecometrics.llm import bpe, language, mixing, order_minhash, privacy, quality, simhash, token_counts
+from ecometrics.llm import bpe, language, lm, mixing, order_minhash, privacy, quality, simhash, token_counts
 from ecometrics.llm.common import documents
 
 
@@ -40,6 +40,10 @@ def op7_privacy(spark: SparkSession, folder: str) -> DataFrame:
     return privacy.find(documents(spark, folder))
 
 
+def op8_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(documents(spark, folder))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_order_minhash": op5_order_minhash,
     "op6_quality": op6_quality,
     "op7_privacy": op7_privacy,
+    "op8_lm": op8_lm,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
 }
