@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecometrics.llm import bpe, language, lm, mixing, order_minhash, privacy, quality, simhash, token_counts
+from ecometrics.llm import bpe, language, lm, mixing, order_minhash, privacy, quality, repeats, simhash, token_counts
 from ecometrics.llm.common import documents
 
 
@@ -24,6 +24,10 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(documents(spark, folder), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, folder))
+
+
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(documents(spark, folder))
 
@@ -55,6 +59,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
+    "op3_repeats": op3_repeats,
     "op4_language": op4_language,
     "op5_order_minhash": op5_order_minhash,
     "op6_quality": op6_quality,
