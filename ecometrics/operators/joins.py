@@ -51,27 +51,20 @@ def enrich_repeated(
     on: Mapping[str, str] | Sequence[str],
     columns: Mapping[str, str] | Sequence[str],
     normalise=None,
-    rows_per_key: int = 1_000_000,
 ) -> DataFrame:
     """``enrich`` for a side whose key is not unique: a detail row meets all rows of its key.
 
-    The rows of the most frequent key are counted first.  Up to
-    ``rows_per_key`` a plain left join does.  Beyond, the matches come from an
-    inner join, whose hot keys can be split on either side, and the detail
-    rows without a match are added from an anti join against the distinct
-    keys.
+    The matches come from an inner join, whose hot keys adaptive execution can
+    split on either side; the detail rows without a match are added from an
+    anti join against the distinct keys.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {name: name for name in on}
     taken = dict(columns) if isinstance(columns, Mapping) else {name: name for name in columns}
     prepare = normalise or (lambda column: column)
-    keys = [prepare(F.col(right)).alias(KEY_PREFIX + str(i)) for i, right in enumerate(pairs.values())]
     names = [KEY_PREFIX + str(i) for i in range(len(pairs))]
-    known = side.select(*keys).dropna()
-    heaviest = known.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if (heaviest or 0) <= rows_per_key:
-        return enrich(detail, side, pairs, taken, normalise)
     met = enrich(detail, side, pairs, taken, normalise, how="inner")
-    distinct = known.distinct()
+    known = side.select(*[prepare(F.col(right)).alias(name) for right, name in zip(pairs.values(), names, strict=True)])
+    distinct = known.dropna().distinct()
     matches = [prepare(detail[left]) == distinct[name] for left, name in zip(pairs, names, strict=True)]
     alone = detail.join(distinct, reduce(Column.__and__, matches), "left_anti")
     return met.unionByName(alone, allowMissingColumns=True).select(met.columns)
@@ -88,9 +81,8 @@ def filled(df: DataFrame, target: str, *sources: str) -> DataFrame:
 
 
 def highest(df: DataFrame, column: str, where: Column | None = None) -> Column:
-    """The greatest value of a column as a one-row scalar subquery."""
-    rows = df if where is None else df.filter(where)
-    return rows.agg(F.max(column)).scalar()
+    """The greatest value of a column as a one-row scalar subquery; a condition leaves the scan as it is, to be shared."""
+    return df.agg(F.max(F.col(column) if where is None else F.when(where, F.col(column)))).scalar()
 
 
 def merge_sections(keys: DataFrame, key: str, sections: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

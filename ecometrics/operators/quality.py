@@ -66,4 +66,5 @@ def relationship(child: DataFrame, key: str, parent: DataFrame, parent_key: str)
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first along ``order``; rows without a key are kept as they are."""
     known = reduce(Column.__and__, [F.col(name).isNotNull() for name in key])
-    return first_per_class(df.filter(known), key, order).unionByName(df.filter(~known))
+    alone = F.when(~known, F.monotonically_increasing_id())
+    return first_per_class(df.withColumn("__alone", alone), [*key, "__alone"], order).drop("__alone")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ecometrics.session import settle
 
+BUCKETS = 4096
 SLOT_BITS = 33  # monotonically_increasing_id keeps the row number of a task in its low 33 bits
 
 
@@ -23,10 +24,12 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], name:
     """Number the rows of each class from 1 along ``order``; end the order with a unique key.
 
     The slices are written before they are counted: a second evaluation of the
-    range partitioning could draw other borders.
+    range partitioning could draw other borders.  There are as many slices as
+    shuffle partitions, whose number ``session.tune`` draws from the input size.
     """
     keys = [F.col(column) for column in by]
-    sliced = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = df.repartitionByRange(slices, *keys, *order).sortWithinPartitions(*keys, *order)
     placed = settle(sliced.withColumn("__slot", F.monotonically_increasing_id()), "ranked")
     placed = placed.withColumn("__slice", F.shiftright("__slot", SLOT_BITS))
 
@@ -54,16 +57,46 @@ def descending(value: str, *ties: str) -> list[Column]:
     return [F.desc_nulls_last(value), *[F.col(tie).asc_nulls_first() for tie in ties]]
 
 
-def exact_median(df: DataFrame, by: Sequence[str], value: str, tie: str, name: str = "median") -> DataFrame:
-    """Interpolated median per class out of the two middle ranks; holds no class in memory."""
-    known = df.filter(F.col(value).isNotNull()).select(*by, value, tie)
-    ranked = rank_within(known, by, [F.col(value).asc(), F.col(tie).asc()], "__rank")
-    sizes = settle(ranked.groupBy(*by).agg(F.max("__rank").alias("__peers")), "class-sizes")
-    sizes = sizes.select(*[F.col(column).alias("__by_" + column) for column in by], "__peers")
-    same = reduce(Column.__and__, [ranked[column].eqNullSafe(sizes["__by_" + column]) for column in by])
-    low, high = F.floor((F.col("__peers") + 1) / 2), F.ceil((F.col("__peers") + 1) / 2)
-    middle = ranked.join(sizes, same).filter(F.col("__rank").between(low, high))
-    return middle.groupBy(*by).agg(F.avg(value).alias(name))
+def middle_values(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """(by..., low, high): the two middle values of each class (the same one for odd sizes), exactly and unsorted.
+
+    Rows are counted per class and equal-width bucket between the extremes; the
+    bucket that holds the wanted rank is refined between its own extremes until
+    these agree.  A round is one aggregation, and a window over at most
+    ``BUCKETS`` rows per class.
+    """
+    known = settle(df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("__value")), "known-values")
+    classes = [F.col(column).alias("__by_" + column) for column in by]
+    n = F.count(F.lit(1))
+    first = known.groupBy(*by).agg(
+        F.min("__value").alias("__low"), F.max("__value").alias("__high"),
+        F.array(F.floor((n + 1) / 2), F.ceil((n + 1) / 2)).alias("__ranks"),
+    )
+    goals = settle(first.select(*classes, F.posexplode("__ranks").alias("__side", "__rank"), "__low", "__high"), "goals")
+    names = ["__by_" + column for column in by]
+    same = reduce(Column.__and__, [F.col(column).eqNullSafe(F.col("__by_" + column)) for column in by])
+    running = Window.partitionBy(*names, "__side").orderBy("__bucket")
+    while not goals.filter(F.col("__low") < F.col("__high")).isEmpty():
+        share = F.try_divide(F.col("__value") - F.col("__low"), F.col("__high") - F.col("__low"))
+        bucket = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * BUCKETS), F.lit(BUCKETS - 1))
+        counted = (
+            known.join(goals, same & F.col("__value").between(F.col("__low"), F.col("__high")))
+            .groupBy(*names, "__side", "__rank", bucket.alias("__bucket"))
+            .agg(n.alias("__n"), F.min("__value").alias("__low"), F.max("__value").alias("__high"))
+            .withColumn("__upto", F.sum("__n").over(running))
+        )
+        held = counted.filter((F.col("__upto") >= F.col("__rank")) & (F.col("__upto") - F.col("__n") < F.col("__rank")))
+        rank = F.col("__rank") - (F.col("__upto") - F.col("__n"))
+        goals = settle(held.select(*names, "__side", rank.alias("__rank"), "__low", "__high"), "goals")
+    sides = [F.max(F.when(F.col("__side") == i, F.col("__low"))).alias(side) for i, side in enumerate(("low", "high"))]
+    found = goals.groupBy(*names).agg(*sides)
+    return found.select(*[F.col("__by_" + column).alias(column) for column in by], "low", "high")
+
+
+def exact_median(df: DataFrame, by: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """Interpolated median per class; holds no class in memory."""
+    middle = middle_values(df, by, value)
+    return middle.select(*by, ((F.col("low") + F.col("high")) / 2).alias(name))
 
 
 def first_per_class(df: DataFrame, by: Sequence[str], order: Sequence[Column], count: int = 1) -> DataFrame:

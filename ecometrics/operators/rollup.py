@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ecometrics.functions.measures import divided, zero_as_null
+from ecometrics.functions.measures import PARTS, divided, joined_sum, zero_as_null
 
 
 def multi_grain(
@@ -26,12 +26,17 @@ def multi_grain(
     The detail is read and shuffled once, folded to sums and counts of the
     combined grain; the grains and the total are built from that small table.
     The total row exists for empty input too.  A ratio is a ratio of sums in
-    which a missing amount counts as zero.
+    which a missing amount counts as zero.  Sums are the same in any order.
     """
     sources = sorted({*means.values(), *sums.values(), *[c for r in ratios.values() for c in r[:2]]})
+
+    def fraction(name: str) -> Column:
+        return F.floor((F.col(name) - F.floor(name)) * F.lit(PARTS))
+
     folded = df.groupBy(*grains).agg(
         F.count(F.lit(1)).alias("__rows"),
-        *[F.sum(name).alias("__sum_" + name) for name in sources],
+        *[F.sum(F.floor(name).cast("decimal(20,0)")).alias("__whole_" + name) for name in sources],
+        *[F.sum(fraction(name).cast("decimal(20,0)")).alias("__part_" + name) for name in sources],
         *[F.count(name).alias("__known_" + name) for name in sources],
     )
 
@@ -40,7 +45,7 @@ def multi_grain(
             return F.sum("__known_" + name)
 
         def amount(name):
-            return F.sum("__sum_" + name)
+            return joined_sum(F.sum("__whole_" + name), F.sum("__part_" + name))
 
         def filled(name):
             return F.coalesce(amount(name), F.lit(0.0))

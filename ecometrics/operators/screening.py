@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ecometrics.functions.text import clean_text
 from ecometrics.operators.joins import enrich
 from ecometrics.operators.ranking import first_per_class
 from ecometrics.session import settle
@@ -43,7 +44,7 @@ def present(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def not_blank(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.trim(F.col(column)) != "")
+    return df.filter(clean_text(column).isNotNull())
 
 
 def peers(df: DataFrame, key: str, group: str, order: str, count: int = 3) -> DataFrame:

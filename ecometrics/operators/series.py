@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ecometrics.functions.measures import floored, percent_change
+from ecometrics.functions.measures import exact_sum, floored, percent_change
 
 # Days of history behind each range label; None keeps everything.
 LOOKBACK_DAYS = {"1M": 30, "3M": 90, "6M": 180, "1A": 365, "Tout": None}
@@ -60,6 +60,13 @@ def with_returns(series: DataFrame, name: str = "daily_return") -> DataFrame:
     return series.withColumn(name, daily_return())
 
 
+def deviation(value: str) -> Column:
+    """Aggregate: the sample deviation, from exact sums of the values and their squares."""
+    known, total = F.count(value), exact_sum(value)
+    squares = exact_sum(F.col(value) * F.col(value))
+    return F.when(known > 1, F.sqrt(F.greatest(squares - total * total / known, F.lit(0.0)) / (known - 1)))
+
+
 def summary(series: DataFrame) -> DataFrame:
     """First, last, extremes, mean volume, performance and volatility per key."""
     first, last = F.min_by(PRICE, DATE), F.max_by(PRICE, DATE)
@@ -71,9 +78,9 @@ def summary(series: DataFrame) -> DataFrame:
             last.alias("last_price"),
             F.min(PRICE).alias("lowest_price"),
             F.max(PRICE).alias("highest_price"),
-            F.avg(VOLUME).alias("mean_volume"),
+            (exact_sum(VOLUME) / F.count(VOLUME)).alias("mean_volume"),
             percent_change(last, first).alias("performance"),
-            F.stddev_samp("daily_return").alias("volatility"),
+            deviation("daily_return").alias("volatility"),
         )
     )
 
@@ -114,6 +121,27 @@ def calendar_range(df: DataFrame, preset: str, date: str = DATE, until: Column |
     return df.filter(F.col(date).between(start, end))
 
 
+def in_ranges(df: DataFrame, starts: dict[str, Column | None], until: Column, date: str = DATE) -> DataFrame:
+    """Every row once per range that it belongs to, named in column ``range``, in one pass.
+
+    ``starts`` gives each range its first day; None is open at both ends.
+    """
+    names = [
+        F.lit(name) if start is None else F.when(F.col(date).between(start, until), F.lit(name))
+        for name, start in starts.items()
+    ]
+    return df.withColumn("range", F.explode(F.array_compact(F.array(*names))))
+
+
+def look_back_starts(until: Column) -> dict[str, Column | None]:
+    return {name: None if days is None else F.date_add(F.date_sub(until, days), 1) for name, days in LOOKBACK_DAYS.items()}
+
+
+def calendar_starts(until: Column) -> dict[str, Column | None]:
+    months = {name: F.add_months(until, -n) for name, n in PRESET_MONTHS.items()}
+    return {**months, "YTD": F.trunc(until, "year"), "all": None}
+
+
 def recent(df: DataFrame, moment: str, until: Column, days: int = 10) -> DataFrame:
     """Rows of the last days, both ends included."""
     return df.filter(F.to_date(moment).between(F.date_sub(until, days), until))

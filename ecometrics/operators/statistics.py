@@ -10,52 +10,78 @@ from pyspark.sql import functions as F
 from ecometrics.functions import measures
 from ecometrics.functions.bands import efficiency_band
 from ecometrics.operators.joins import enrich
-from ecometrics.operators.ranking import descending, rank_within
+from ecometrics.operators.ranking import descending, middle_values, rank_within
 from ecometrics.session import settle
 
-STATISTICS = (
-    "avg_efficiency",
-    "max_efficiency",
-    "min_efficiency",
-    "median_efficiency",
-    "stddev_efficiency",
-    "count_assets",
-)
+STATISTICS = ("avg_efficiency", "max_efficiency", "min_efficiency", "stddev_efficiency", "count_assets")
+
 
+def group_stats(df: DataFrame, by: str, value: str) -> DataFrame:
+    """Mean, extremes, sample deviation and count of the known values of a class.
 
-def group_stats(df: DataFrame, by: str, value: str, accuracy: int = 10000) -> DataFrame:
-    """Mean, extremes, approximate median, sample deviation and count of the known values of a class."""
-    return (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(by)
-        .agg(
-            F.avg(value).alias("avg_efficiency"),
-            F.max(value).alias("max_efficiency"),
-            F.min(value).alias("min_efficiency"),
-            F.percentile_approx(value, 0.5, accuracy).alias("median_efficiency"),
-            F.stddev_samp(value).alias("stddev_efficiency"),
+    Two passes over the known values, so that the deviation is taken from the
+    mean; both add up exactly and give the same result in any order.
+    """
+    known = settle(df.filter(F.col(value).isNotNull()).select(by, F.col(value).alias("__value")), "known-values")
+    first = settle(
+        known.groupBy(by).agg(
+            (measures.exact_sum("__value") / F.count(F.lit(1))).alias("avg_efficiency"),
+            F.max("__value").alias("max_efficiency"),
+            F.min("__value").alias("min_efficiency"),
             F.count(F.lit(1)).alias("count_assets"),
-        )
+        ),
+        "group-means",
+    )
+    spread = F.col("max_efficiency") - F.col("min_efficiency")
+    shares = F.coalesce(measures.divided(F.col("__value") - F.col("avg_efficiency"), spread), F.lit(0.0))
+    met = known.join(first.withColumnRenamed(by, "__by"), F.col(by).eqNullSafe(F.col("__by")))
+    squares = met.groupBy(F.col("__by").alias("__of")).agg(measures.exact_sum(shares * shares).alias("__squares"))
+    deviation = F.when(F.col("count_assets") > 1, spread * F.sqrt(F.col("__squares") / (F.col("count_assets") - 1)))
+    joined = first.join(squares, F.col(by).eqNullSafe(F.col("__of")))
+    return joined.select(
+        by, "avg_efficiency", "max_efficiency", "min_efficiency", deviation.alias("stddev_efficiency"), "count_assets"
     )
 
 
+def with_median(stats: DataFrame, df: DataFrame, by: str, value: str) -> DataFrame:
+    """Adds the median of each class, the lower one of two."""
+    middle = middle_values(df, [by], value).select(F.col(by).alias("__by"), F.col("low").alias("median_efficiency"))
+    return stats.join(middle, F.col(by).eqNullSafe(F.col("__by"))).drop("__by")
+
+
 def with_group_stats(df: DataFrame, by: str, value: str) -> DataFrame:
     """Attach the statistics of the class to every row (an aggregate and a join, no window)."""
     return enrich(df, settle(group_stats(df, by, value), "group-stats"), [by], list(STATISTICS))
 
 
-def efficiency_metrics(overview: DataFrame, ties: Sequence[str] = ("asset_name", "asset_symbol")) -> DataFrame:
+# Every column that is not ranked by: names repeat, and rows that still tie are equal.
+TIES = (
+    "asset_name",
+    "asset_symbol",
+    "market_cap",
+    "co2_emissions_mt",
+    "current_price",
+    "energy_consumption",
+    "environmental_score",
+    "environmental_category",
+    "asset_subtype",
+    "estimated_esg",
+    "region",
+    "year_founded",
+    "main_focus",
+)
+
+
+def efficiency_metrics(overview: DataFrame, ties: Sequence[str] = TIES) -> DataFrame:
     """Every asset with known emissions, measured against its class.
 
     The statistics cover all assets of the class, the ranks only the listed
-    ones.  Ranking writes the assets once, listed and unlisted ones apart; the
-    statistics are taken from there.
+    ones.  ``overview`` is read twice and should be a written table.
     """
-    marked = overview.withColumn("__listed", F.col("co2_emissions_mt").isNotNull())
-    by = ["asset_type", "__listed"]
-    ranked = rank_within(marked, by, descending("green_efficiency", *ties), "efficiency_rank")
-    stats = settle(group_stats(ranked, "asset_type", "green_efficiency"), "group-stats")
-    joined = enrich(ranked.filter("__listed"), stats, ["asset_type"], list(STATISTICS))
+    listed = overview.filter(F.col("co2_emissions_mt").isNotNull())
+    ranked = rank_within(listed, ["asset_type"], descending("green_efficiency", *ties), "efficiency_rank")
+    stats = settle(group_stats(overview, "asset_type", "green_efficiency"), "group-stats")
+    joined = enrich(ranked, stats, ["asset_type"], list(STATISTICS))
     efficiency, mean = F.col("green_efficiency"), F.col("avg_efficiency")
     return joined.select(
         "asset_type",

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ecometrics.functions.text import join_key
 from ecometrics.operators import quality
 from ecometrics.plans import intermediate, marts, staging
 from ecometrics.session import settle
@@ -35,6 +36,7 @@ LAYER_OF = {name: layer for layer, names in LAYERS.items() for name in names}
 # Read more than once further on: written to the scratch folder and read back.
 SHARED = ("int_crypto_metrics", "int_stock_metrics", "green_investment_overview")
 
+# The declared checks.
 NOT_NULL = {
     "int_crypto_metrics": ("coin_name", "symbol"),
     "int_stock_metrics": ("id", "company_name", "ticker"),
@@ -65,7 +67,7 @@ RELATIONSHIPS = (
 
 
 class Models:
-    """Lazily built models over the six raw tables.
+    """Models over the six raw tables, built when asked for; what is read more than once is written then.
 
     ``loaded_at`` and ``as_of`` default to the current time and day.  With
     ``dedupe`` only the first footprint row of a symbol is kept.
@@ -97,8 +99,10 @@ class Models:
             clean: Callable = getattr(staging, name)
             staged = clean(self.raw["raw_" + name.removeprefix("stg_")], self.loaded_at, self.strict)
             if self.dedupe and name == "stg_green_crypto_carbon":
-                order = [F.col(c).asc_nulls_last() for c in staged.columns if c != "symbol"]
-                return quality.keep_first(staged, ["symbol"], order)
+                # Under the key that the join uses, so that spellings of one symbol are one.
+                keyed = staged.withColumn("__symbol", join_key("symbol"))
+                order = [F.col(c).asc_nulls_last() for c in (*(c for c in staged.columns if c != "symbol"), "symbol")]
+                return quality.keep_first(keyed, ["__symbol"], order).drop("__symbol")
             return staged
         if name == "int_crypto_metrics":
             return intermediate.int_crypto_metrics(
@@ -111,12 +115,8 @@ class Models:
         if name == "dim_companies":
             return marts.dim_companies(self["int_stock_metrics"], self.as_of)
         if name == "green_investment_overview":
-            coins = self._pairs("int_crypto_metrics", "coin_name", marts.crypto_scores)
-            if coins is None:
-                coins = marts.coin_pairs(self["dim_cryptocurrencies"], self["fact_crypto_environmental"])
-            companies = self._pairs("int_stock_metrics", "id", marts.stock_scores)
-            if companies is None:
-                companies = marts.company_pairs(self["dim_companies"], self["fact_stock_environmental"])
+            coins = marts.coin_pairs(self["dim_cryptocurrencies"], self["fact_crypto_environmental"])
+            companies = marts.company_pairs(self["dim_companies"], self["fact_stock_environmental"])
             return marts.green_investment_overview(coins, companies)
         if name == "carbon_efficiency_metrics":
             return marts.carbon_efficiency_metrics(self["green_investment_overview"], self.loaded_at)
@@ -125,17 +125,6 @@ class Models:
         derive: Callable = getattr(marts, name)
         return derive(self["int_crypto_metrics" if "crypto" in name else "int_stock_metrics"])
 
-    def _pairs(self, wide: str, key: str, scores: Callable[[DataFrame], dict[str, Column]]) -> DataFrame | None:
-        """Dimension and fact of an asset without a join, if the key is unique.
-
-        Both come from the same rows, so a join on a unique key would only
-        bring a row back to itself.  The check shuffles the key alone.
-        """
-        table = self[wide]
-        if not quality.duplicates(table, key).isEmpty():
-            return None
-        return table.filter(F.col(key).isNotNull()).withColumns(scores(table))
-
     def check(self) -> DataFrame:
         """(model, check, column, failures) for every declared check."""
         results = []

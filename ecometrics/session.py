@@ -9,7 +9,6 @@ side only while it is below ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +24,16 @@ RUNTIME_SETTINGS = {
 PARTITION_BYTES = 256 * 1024 * 1024
 
 
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files below the paths, as their own file system tells it; a missing path counts nothing."""
+    total = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        total += files.getContentSummary(place).getLength() if files.exists(place) else 0
+    return total
+
+
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the run-time SQL settings the operators count on.
 
@@ -40,17 +49,23 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of this cluster; a temporary one in local mode only."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ecometrics-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    """This application's folder below ``spark.checkpoint.dir``, removed when the session ends.
+
+    Without that setting it lies in the warehouse, which executors share too.
+    """
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    root = f"{(shared or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/scratch-{context.applicationId}"
+    if root not in _roots:
+        place = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+        _roots.add(root)
+    return root
+
+
+_roots: set[str] = set()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

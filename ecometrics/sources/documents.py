@@ -30,6 +30,13 @@ def explode_documents(df: DataFrame, section: T.DataType, root: str = "stocks")
     return parsed.select(F.explode(f"doc.{root}").alias("symbol", "section")).select("symbol", "section.*")
 
 
+def explode_calendar(df: DataFrame, item: T.StructType, root: str = "ipo_calendar", items: str = "ipoCalendar") -> DataFrame:
+    """``{root: {items: [...]}}``, the section beside the symbols, to one row per item; documents without any give none."""
+    shape = T.StructType([T.StructField(root, T.StructType([T.StructField(items, T.ArrayType(item))]))])
+    parsed = df.select(F.from_json("document", shape).alias("doc"))
+    return parsed.select(F.explode(f"doc.{root}.{items}").alias("item")).select("item.*")
+
+
 def explode_items(df: DataFrame, items: str) -> DataFrame:
     """One row per element of an array column; rows without elements stay."""
     rest = [c for c in df.columns if c != items]
@@ -37,9 +44,15 @@ def explode_items(df: DataFrame, items: str) -> DataFrame:
 
 
 def split_payloads(df: DataFrame, error_keys: Sequence[str] = ERROR_KEYS) -> tuple[DataFrame, DataFrame]:
-    """``{symbol: payload}`` documents to (good, rejected) rows of symbol and payload map."""
+    """``{symbol: payload}`` documents to (good, rejected) rows of symbol and payload map; each of the two reads ``df``."""
+    rows = flag_payloads(df, error_keys)
+    return rows.filter(~F.col("rejected")).drop("rejected"), rows.filter("rejected").drop("rejected")
+
+
+def flag_payloads(df: DataFrame, error_keys: Sequence[str] = ERROR_KEYS) -> DataFrame:
+    """(symbol, payload, rejected) in a single pass."""
     rows = df.select(F.explode(F.from_json("document", PAYLOADS)).alias("symbol", "payload"))
-    return rows.filter(~is_error("payload", error_keys)), rows.filter(is_error("payload", error_keys))
+    return rows.withColumn("rejected", is_error("payload", error_keys))
 
 
 def is_error(payload: str, error_keys: Sequence[str] = ERROR_KEYS) -> Column:
@@ -50,7 +63,8 @@ def of_shape(df: DataFrame, schema: T.StructType, column: str = "document") -> D
     """Fields of the documents that parse into ``schema``; anything else is dropped."""
     marked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     parsed = F.from_json(column, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    rows = df.withColumn("__parsed", parsed)
+    # Out of a generator, so that the test and the fields share one parse.
+    rows = df.withColumn("__parsed", F.explode(F.array(parsed)))
     sound = rows.filter(F.col("__parsed").isNotNull() & F.col("__parsed._corrupt").isNull())
     kept = [c for c in df.columns if c != column]
     return sound.select(*kept, *[F.col(f"__parsed.{field.name}") for field in schema.fields])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ecometrics.functions.calendar import parsed_day
-from ecometrics.functions.text import trimmed
+from ecometrics.functions.text import clean_text, trimmed
 from ecometrics.sources.schemas import Source
 
 REJECTED = "_rejected_line"
@@ -26,9 +26,14 @@ def read_source(
     spark: SparkSession, path: str, source: Source, key: str | None = None, header: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected lines) of a source file, all columns as text."""
+    return split_malformed(read_lines(spark, path, source, header), key)
+
+
+def read_lines(spark: SparkSession, path: str, source: Source, header: bool = True) -> DataFrame:
+    """All lines of a source file as text columns, with the whole line where it has another shape."""
     schema = T.StructType([*source.schema.fields, T.StructField(REJECTED, T.StringType())])
     # Without column pruning every line is held against the whole schema, whatever is selected later.
-    lines = (
+    return (
         spark.read.option("header", header)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
@@ -37,15 +42,17 @@ def read_source(
         .schema(schema)
         .csv(path)
     )
-    return split_malformed(lines, key)
 
 
-def split_malformed(lines: DataFrame, key: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Part well-formed rows from quarantined ones (wrong shape, or no key)."""
+def is_malformed(key: str | None = None) -> Column:
+    """Wrong shape, or no key.  On ``read_lines``, which one pass over the file can count, split or write by it."""
     broken = F.col(REJECTED).isNotNull()
-    if key is not None:
-        broken = broken | F.col(key).isNull()
-    return lines.filter(~broken).drop(REJECTED), lines.filter(broken)
+    return broken if key is None else broken | F.col(key).isNull()
+
+
+def split_malformed(lines: DataFrame, key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Part well-formed rows from quarantined ones; each of the two reads the file."""
+    return lines.filter(~is_malformed(key)).drop(REJECTED), lines.filter(is_malformed(key))
 
 
 def read_json_glob(
@@ -87,4 +94,4 @@ def read_quoted_records(spark: SparkSession, path: str, schema: T.StructType) ->
         text = F.regexp_replace(text, rf"([:\[,]\s*){word}(?=\s*[,}}\]])", rf"$1{literal}")
     options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
     parsed = F.from_json(text, schema, options)
-    return lines.filter(F.trim("value") != "").select(parsed.alias("record")).select("record.*")
+    return lines.filter(clean_text("value").isNotNull()).select(parsed.alias("record")).select("record.*")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ecometrics.operators.joins import not_yet_in
+from ecometrics.operators.ranking import first_per_class
 from ecometrics.session import settle
 
 
@@ -22,20 +25,49 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    """Truncate and replace the table at ``path``; publishing twice leaves one copy."""
-    balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Replace the table at ``path``; publishing twice leaves one copy.
+
+    The new table is written beside the old one and takes its name when it is
+    complete, so a write that fails leaves the old table as it was.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    new, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    try:
+        balanced(df, partition_by).write.partitionBy(*partition_by).parquet(new)
+    except Exception:
+        files.delete(place(new), True)
+        raise
+    replaced = files.exists(place(path)) and files.rename(place(path), place(old))
+    if not files.rename(place(new), place(path)):
+        if replaced:
+            files.rename(place(old), place(path))
+        raise OSError(f"{new} could not be renamed")
+    if replaced:
+        files.delete(place(old), True)
     return path
 
 
+def publish_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+    """``publish``, and how many rows were written, observed by the write itself."""
+    observed = Observation()
+    publish(df.observe(observed, F.count(F.lit(1)).alias("n")), path, partition_by)
+    return observed.get["n"]
+
+
 def accumulate(fresh: DataFrame, path: str, key: str, schema: T.StructType) -> DataFrame:
     """Add rows with new keys to the table at ``path`` and rewrite it.
 
-    The result is complete in the scratch folder before the old table is
-    replaced: a failed computation leaves the old table as it was.
+    Of fresh rows that share a key, the first in the order of the other columns
+    is added; rows without a key are not, as they could never be found again.
     """
     spark = fresh.sparkSession
     before = spark.read.schema(schema).parquet(path)
-    grown = settle(before.unionByName(not_yet_in(fresh, before, key).select(before.columns)), "accumulated")
+    order = [F.col(c).asc_nulls_last() for c in before.columns if c != key]
+    added = not_yet_in(fresh.filter(F.col(key).isNotNull()), before, key).select(before.columns)
+    added = first_per_class(added, [key], order or [F.col(key)])
+    grown = settle(before.unionByName(added), "accumulated")
     publish(grown, path)
     return read_table(spark, path)
 
@@ -50,7 +82,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def count_loaded(tables: Mapping[str, DataFrame]) -> dict[str, int]:
-    return {name: df.count() for name, df in tables.items()}
+    """Rows per table, all in one job."""
+    counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in tables.items()]
+    return {row["name"]: row["n"] for row in reduce(DataFrame.unionByName, counted).collect()}
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:

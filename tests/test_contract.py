@@ -3,6 +3,8 @@
 import pytest
 from compare import connection, differences
 
+from pyspark.sql import DataFrameWriter
+
 from workload import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
@@ -22,17 +24,46 @@ def plan_of(df):
     return df._jdf.queryExecution().explainString(mode)
 
 
+@pytest.fixture
+def written(monkeypatch):
+    """(path, plan) of everything that is written on the way."""
+    found = []
+    plain = DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **options):
+        found.append((path, plan_of(self._df)))
+        return plain(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return found
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query(spark, con, name):
+def test_query(spark, con, written, name):
     df = QUERIES[name](spark, FOLDER)
-    plan = plan_of(df)
-    for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "PythonUDF", "MapInPandas", "ObjectHashAggregate"):
-        assert unwanted not in plan or (name, unwanted) in ALLOWED, unwanted
+    for path, plan in [*written, ("result", plan_of(df))]:
+        for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "PythonUDF", "MapInPandas", "ObjectHashAggregate"):
+            assert unwanted not in plan or (name, unwanted) in ALLOWED, (unwanted, path)
+        assert "/ranked-" not in path or "Window" not in plan
     assert differences(df, con, SQL[name]) == []
 
 
-# Quantile sketch and the few heads per group.
-ALLOWED = {("group_stats", "ObjectHashAggregate")}
+# The few heads per group, and the lists of the landed documents.
+ALLOWED = {(name, "ObjectHashAggregate") for name in ("peers_top3", "peers_rebased", "calendar_section")}
+
+
+def test_only_what_is_needed_is_written(spark, written):
+    QUERIES["int_stock_metrics"](spark, FOLDER)
+    assert not [path for path, _ in written if "customer_base" in path]
+    written.clear()
+    QUERIES["stg_coincap_prices"](spark, FOLDER)
+    assert len(written) == 1
+
+
+@pytest.mark.parametrize("name, table", [("keep_first_duplicate", "lineitem"), ("payload_split", "customer"), ("valid_shape", "events")])
+def test_one_pass_over_the_input(spark, name, table):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
 
 
 def test_bounds_reach_the_scan(spark):

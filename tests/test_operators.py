@@ -58,7 +58,7 @@ def test_exact_median(skewed):
     for _, name, value in rows:
         if value is not None:
             known.setdefault(name, []).append(value)
-    found = {r["class"]: r.median for r in ranking.exact_median(df, ["class"], "value", "id").collect()}
+    found = {r["class"]: r.median for r in ranking.exact_median(df, ["class"], "value").collect()}
     assert found == {name: pystats.median(v) for name, v in known.items()}
 
 
@@ -75,7 +75,7 @@ def test_first_per_class_trims_before_the_shuffle(skewed):
 
 def test_group_stats_against_brute_force(skewed):
     rows, df = skewed
-    for r in stats.group_stats(df, "class", "value").collect():
+    for r in stats.with_median(stats.group_stats(df, "class", "value"), df, "class", "value").collect():
         known = [v for _, name, v in rows if name == r["class"] and v is not None]
         assert r.count_assets == len(known)
         assert (r.min_efficiency, r.max_efficiency) == (min(known), max(known))
@@ -180,9 +180,45 @@ def test_enrich_keeps_detail_rows_and_ignores_null_keys(spark):
     expected = sorted([(1, " A", 10), (1, " A", 11), (2, None, None), (3, "c", None)], key=str)
     plain = joins.enrich(detail, side, {"k": "key"}, ["v"], join_key)
     assert sorted(map(tuple, plain.collect()), key=str) == expected
-    for limit in (1, 10):
-        repeated = joins.enrich_repeated(detail, side, {"k": "key"}, ["v"], join_key, rows_per_key=limit)
-        assert sorted(map(tuple, repeated.collect()), key=str) == expected
+    repeated = joins.enrich_repeated(detail, side, {"k": "key"}, ["v"], join_key)
+    assert sorted(map(tuple, repeated.collect()), key=str) == expected
+
+
+def test_filtered_maximum_shares_the_scan(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, 9.0)], "k int, x double")
+    found = df.select(joins.highest(df, "x", F.col("k") == 1).alias("one"), joins.highest(df, "x").alias("all")).first()
+    assert tuple(found) == (5.0, 9.0)
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    import math
+    import random
+
+    from ecometrics.functions.measures import exact_sum
+
+    values = [random.Random(i).uniform(-1, 1) * 10 ** (i % 13) for i in range(3000)]
+    sums = {
+        spark.createDataFrame([(x,) for x in sorted(values, key=order)], "x double").repartition(n).agg(exact_sum("x")).first()[0]
+        for n, order in ((1, abs), (7, float), (3, lambda x: -x))
+    }
+    assert len(sums) == 1 and math.isclose(sums.pop(), math.fsum(values), rel_tol=1e-12)
+
+
+def test_slices_of_a_ranking_grow_with_the_input(spark, tmp_path):
+    from ecometrics.session import input_bytes, tune
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.range(50_000).write.parquet(str(tmp_path / "t"))
+    size = input_bytes(spark, str(tmp_path / "t"))
+    assert size > 100_000 and input_bytes(spark, str(tmp_path / "none")) == 0
+    try:
+        tune(spark, 40 * 2**30)
+        ranked = ranking.rank_within(spark.range(1000).selectExpr("id % 2 AS c", "id"), ["c"], [F.asc("id")])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "160"
+        rows = ranked.collect()
+        assert sorted(r["rank"] for r in rows if r.c == 1) == list(range(1, 501))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_merge_sections(spark):

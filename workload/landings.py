@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,21 +25,20 @@ SUPPLIER = T.StructType(
 )
 
 
-@query("SELECT * FROM supplier")
-def csv_fixed_schema(star):
+def _landed_suppliers(star) -> str:
     path = scratch_path(star.spark, "csv")
     star.supplier.write.option("header", True).csv(path)
-    return files.read_csv(star.spark, path, SUPPLIER)
+    return path
 
 
-@query("SELECT s_suppkey::INT AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
-def csv_inferred_schema(star):
-    path = scratch_path(star.spark, "csv")
-    star.supplier.write.option("header", True).csv(path)
-    return files.read_csv(star.spark, path)
-
+@query("SELECT * FROM supplier")
+def csv_fixed_schema(star):
+    return files.read_csv(star.spark, _landed_suppliers(star), SUPPLIER)
 
 
+@query("SELECT s_suppkey::INT AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def csv_inferred_schema(star):
+    return files.read_csv(star.spark, _landed_suppliers(star))
 
 
 @query(
@@ -49,12 +51,20 @@ def csv_quarantine(star):
     path = scratch_path(star.spark, "csv")
     marker = F.concat(F.lit("<<<<<<< "), "c_name")
     star.customer.select(F.when(F.col("c_custkey") % 9 == 0, marker).otherwise(quoted)).write.text(path)
-    rows, rejected = files.read_source(star.spark, path, COMPANY_FOOTPRINT, "company", header=False)
-    found = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("id").cast("bigint")).alias("keys"))
-    lost = rejected.agg(F.count("id").alias("n"))
-    return found.select(F.lit("row").alias("kind"), "n", "keys").unionByName(
-        lost.select(F.lit("rejected").alias("kind"), "n", F.lit(None).cast("bigint").alias("keys"))
-    )
+    lines = files.read_lines(star.spark, path, COMPANY_FOOTPRINT, header=False)
+    kind = F.when(files.is_malformed("company"), "rejected").otherwise("row")
+    key = F.when(~files.is_malformed("company"), F.col("id").cast("bigint"))
+    return lines.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("keys"))
+
+
+def _landed_prices(star) -> str:
+    """Two dated landings; the later one lacks every third coin."""
+    root = scratch_path(star.spark, "json")
+    coins = star.customer.select("c_custkey", F.lower("c_name").alias("coin"), F.col("c_acctbal").alias("price_usd"))
+    coins.select("coin", "price_usd").write.json(f"{root}/coin_price_2025-01-01.json")
+    later = coins.filter(F.col("c_custkey") % 3 != 0).select("coin", (F.col("price_usd") - 1).alias("price_usd"))
+    later.write.json(f"{root}/coin_price_2025-02-01.json")
+    return root
 
 
 PRICE = T.StructType([T.StructField("coin", T.StringType()), T.StructField("price_usd", T.DoubleType())])
@@ -65,12 +75,7 @@ PRICE = T.StructType([T.StructField("coin", T.StringType()), T.StructField("pric
        FROM customer"""
 )
 def json_latest_snapshot(star):
-    """Two dated landings; the later one lacks every third coin."""
-    root = scratch_path(star.spark, "json")
-    coins = star.customer.select("c_custkey", F.lower("c_name").alias("coin"), F.col("c_acctbal").alias("price_usd"))
-    coins.select("coin", "price_usd").write.json(f"{root}/coin_price_2025-01-01.json")
-    later = coins.filter(F.col("c_custkey") % 3 != 0).select("coin", (F.col("price_usd") - 1).alias("price_usd"))
-    later.write.json(f"{root}/coin_price_2025-02-01.json")
+    root = _landed_prices(star)
     return files.read_json_glob(star.spark, f"{root}/*_price_*.json", PRICE, key="coin", snapshot="latest")
 
 
@@ -79,15 +84,14 @@ def json_latest_snapshot(star):
        UNION ALL SELECT lower(c_name), c_acctbal - 1, '2025-02-01' FROM customer WHERE c_custkey % 3 <> 0"""
 )
 def json_all_snapshots(star):
-    root = scratch_path(star.spark, "json")
-    coins = star.customer.select("c_custkey", F.lower("c_name").alias("coin"), F.col("c_acctbal").alias("price_usd"))
-    coins.select("coin", "price_usd").write.json(f"{root}/coin_price_2025-01-01.json")
-    later = coins.filter(F.col("c_custkey") % 3 != 0).select("coin", (F.col("price_usd") - 1).alias("price_usd"))
-    later.write.json(f"{root}/coin_price_2025-02-01.json")
+    root = _landed_prices(star)
     rows = files.read_json_glob(star.spark, f"{root}/*_price_*.json", PRICE)
     return rows.withColumn("day", F.date_format(files.file_date(), "yyyy-MM-dd"))
 
 
+CALENDAR = T.StructType(
+    [T.StructField("date", T.StringType()), T.StructField("symbol", T.StringType()), T.StructField("price", T.DoubleType())]
+)
 NEWS = T.ArrayType(T.StructType([T.StructField("day", T.StringType()), T.StructField("headline", T.StringType())]))
 SECTION = T.StructType(
     [
@@ -144,13 +148,8 @@ def _payloads(star):
        CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END AS price FROM customer"""
 )
 def payload_split(star):
-    good, rejected = documents.split_payloads(_payloads(star))
-
-    def shown(df, flag):
-        price = F.element_at("payload", "price").try_cast("double")
-        return df.select("symbol", F.lit(flag).alias("rejected"), price.alias("price"))
-
-    return shown(good, False).unionByName(shown(rejected, True))
+    rows = documents.flag_payloads(_payloads(star))
+    return rows.select("symbol", "rejected", F.element_at("payload", "price").try_cast("double").alias("price"))
 
 
 @query("SELECT s_name AS symbol FROM supplier WHERE s_suppkey % 4 <> 0")
@@ -214,12 +213,48 @@ def published_table(star):
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'first' ELSE 'second' END AS batch FROM customer")
 def accumulated_table(star):
-    """The second batch brings every key, the known ones stay as they were."""
+    """The second batch brings every key twice and rows without a key; known keys stay as they were.  It comes twice."""
     path = scratch_path(star.spark, "table")
     keys = star.customer.select("c_custkey")
     first = keys.filter(F.col("c_custkey") % 2 == 0).withColumn("batch", F.lit("first"))
     tables.publish(first, path)
-    return tables.accumulate(keys.withColumn("batch", F.lit("second")), path, "c_custkey", first.schema)
+    again = keys.withColumn("batch", F.explode(F.array(F.lit("third"), F.lit("second"))))
+    unkeyed = keys.select(F.lit(None).cast("bigint").alias("c_custkey"), F.lit("none").alias("batch"))
+    for _ in range(2):
+        grown = tables.accumulate(again.unionByName(unkeyed), path, "c_custkey", first.schema)
+    return grown
+
+
+@query("SELECT c_custkey::VARCHAR AS coin, c_name AS price_usd, (c_custkey % 3)::INT AS drift FROM customer")
+def drifting_headers(star):
+    """Company footprints land under three generations of headers and meet under the logical ones."""
+    landed = []
+    for drift in range(3):
+        names = [headers[min(drift, len(headers) - 1)] for headers in COMPANY_FOOTPRINT.columns.values()]
+        values = ["c_custkey", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey", "c_custkey"]
+        part = star.customer.filter(F.col("c_custkey") % 3 == drift)
+        path = scratch_path(star.spark, f"drift-{drift}")
+        part.select(*[F.col(v).cast("string").alias(n) for v, n in zip(values, names, strict=True)]).write.parquet(path)
+        landed.append(COMPANY_FOOTPRINT.unify(star.spark.read.parquet(path)).withColumn("drift", F.lit(drift)))
+    rows = reduce(DataFrame.unionByName, landed)
+    return rows.select(F.col("id").alias("coin"), F.col("company").alias("price_usd"), "drift")
+
+
+@query(
+    """SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, 'O' || o_orderkey AS symbol, o_totalprice AS price FROM orders
+       WHERE o_orderstatus = 'P'"""
+)
+def calendar_section(star):
+    """The second section of nested documents: one document per day, a list of offerings."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")
+    symbol = F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("symbol")
+    offers = star.orders.filter(F.col("o_orderstatus") == "P").select(day, symbol, F.col("o_totalprice").alias("price"))
+    listed = offers.groupBy("date").agg(F.collect_list(F.struct("date", "symbol", "price")).alias("ipoCalendar"))
+    section = F.struct(F.struct("ipoCalendar").alias("ipo_calendar"))
+    path = scratch_path(star.spark, "calendar")
+    listed.select(F.to_json(section)).write.text(path)
+    landed = star.spark.read.text(path).withColumnRenamed("value", "document")
+    return documents.explode_calendar(landed, CALENDAR)
 
 
 @query(

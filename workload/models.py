@@ -7,12 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ecometrics.operators.statistics import TIES
 from ecometrics.plans import marts
 from ecometrics.plans.build import LAYERS, Models
 from ecometrics.session import scratch_path
 from ecometrics.sources.tables import read_table
-from workload.registry import Star, query, steady, steady_sql
-from workload.star import BASE_SQL, raw_sql, raw_tables
+from workload.registry import Star, exact_sum_sql, query
+from workload.star import BASE_SQL, RawTables, raw_sql
 
 LOADED_AT = "2025-03-01 06:00:00"
 AS_OF = "2025-03-01"
@@ -20,10 +21,9 @@ BLANKS = "E' \\t\\n\\r'"
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def models(star: Star, only: str | None = None, **options) -> Models:
-    """All models, or just a staging model with its raw table."""
-    wanted = ["raw_" + only.removeprefix("stg_")] if only else None
-    return Models(raw_tables(star, wanted), loaded_at=F.lit(LOADED_AT), as_of=F.lit(AS_OF).cast("date"), **options)
+def models(star: Star, **options) -> Models:
+    loaded_at = F.lit(LOADED_AT).cast("timestamp_ntz")
+    return Models(RawTables(star), loaded_at=loaded_at, as_of=F.lit(AS_OF).cast("date"), **options)
 
 
 def sql_text(c: str) -> str:
@@ -56,39 +56,39 @@ def sql_positive(a: str, b: str) -> str:
 
 STAGING_SQL = f"""
 stg_coincap_prices AS (
-  SELECT lower({sql_text('coin')}) AS coin, {sql_stripped('price_usd')} AS price_usd, '{LOADED_AT}' AS loaded_at
+  SELECT lower({sql_text('coin')}) AS coin, {sql_stripped('price_usd')} AS price_usd, TIMESTAMP '{LOADED_AT}' AS loaded_at
   FROM raw_coincap_prices),
 stg_finnhub_financials AS (
   SELECT upper({sql_text('ticker')}) AS ticker, {sql_stripped('current_price')} AS current_price,
-         {sql_stripped('market_cap')} AS market_cap, '{LOADED_AT}' AS loaded_at
+         {sql_stripped('market_cap')} AS market_cap, TIMESTAMP '{LOADED_AT}' AS loaded_at
   FROM raw_finnhub_financials),
 stg_green_crypto AS (
   SELECT {sql_text('coin')} AS coin_name, lower({sql_text('symbol')}) AS symbol, {sql_number('price')} AS price,
          {sql_number('change')} AS price_change, {sql_number("replace(percent_change, '%', '')")} AS percent_change,
          {sql_number('high_24h')} AS high_24h, {sql_number('low_24h')} AS low_24h, {sql_number('open_24h')} AS open_24h,
          {sql_number('previous_close_24h')} AS previous_close_24h, {sql_integer('"timestamp"')} AS "timestamp",
-         '{LOADED_AT}' AS loaded_at
+         TIMESTAMP '{LOADED_AT}' AS loaded_at
   FROM raw_green_crypto),
 stg_green_crypto_carbon AS (
   SELECT coin AS coin_name, symbol, consensus AS asset_type,
          {sql_number("regexp_replace(market_cap, '[^0-9.]', '', 'g')")} AS market_cap,
          {sql_number('electrical_power')} AS electrical_power_gw,
          {sql_number('electricity_consumption')} AS electricity_consumption_gw,
-         {sql_number('co2_emissions')} AS co2_emissions_mt, '{LOADED_AT}' AS loaded_at
+         {sql_number('co2_emissions')} AS co2_emissions_mt, TIMESTAMP '{LOADED_AT}' AS loaded_at
   FROM raw_green_crypto_carbon),
 stg_green_stock AS (
   SELECT {sql_integer('id')} AS id, {sql_text('company')} AS company_name, upper({sql_text('ticker')}) AS ticker,
          {sql_text('category')} AS category, {sql_text('stock_exchange')} AS stock_exchange,
          {sql_suffixed('market_cap', k=10**3, m=10**6, b=10**9)} AS market_cap, {sql_integer('esg_score')} AS esg_score,
          {sql_suffixed('revenue', b=10**9)} AS revenue_billions, {sql_text('main_focus')} AS main_focus,
-         {sql_text('region')} AS region, {sql_integer('year_founded')} AS year_founded, '{LOADED_AT}' AS loaded_at
+         {sql_text('region')} AS region, {sql_integer('year_founded')} AS year_founded, TIMESTAMP '{LOADED_AT}' AS loaded_at
   FROM raw_green_stock),
 stg_green_stock_carbon AS (
   SELECT {sql_integer('id')} AS id, {sql_text('company')} AS company_name,
          CASE WHEN {sql_text('ticker')} = 'Not Listed' THEN 'UNLISTED' ELSE upper({sql_text('ticker')}) END AS ticker,
          {sql_stripped('electricity_consumption')} AS electricity_consumption_gwh,
          {sql_stripped('co2_emissions')} AS co2_emissions_mt, {sql_stripped('electrical_power')} AS electrical_power_gwh,
-         '{LOADED_AT}' AS loaded_at
+         TIMESTAMP '{LOADED_AT}' AS loaded_at
   FROM raw_green_stock_carbon)"""
 
 
@@ -97,6 +97,8 @@ def threshold_sql(c: str, operator: str, *bands: tuple[float, str], rest: str, m
     return "CASE " + head + " ".join(f"WHEN {c} {operator} {x} THEN '{n}'" for x, n in bands) + f" ELSE '{rest}' END"
 
 
+# Fixed values down to EMISSION_SQL: labels and limits of the bands.  The rules are stated here once more, in
+# another form, as a counterpart that does not share the library's code.
 IMPACT_SQL = threshold_sql(
     "co2_emissions_mt", "<", (1e-4, "Très faible impact"), (1e-3, "Faible impact"), (1e-2, "Impact modéré"),
     (0.1, "Impact élevé"), rest="Impact très élevé",
@@ -190,6 +192,18 @@ green_investment_overview AS (
   FROM dim_companies d JOIN fact_stock_environmental f ON d.id = f.id)"""
 
 
+def stats_sql(overview: str) -> str:
+    """Mean, extremes and, from the mean, the deviation of each class."""
+    share = "coalesce((green_efficiency - mean) / nullif(high - low, 0), 0)"
+    return f"""SELECT asset_type, mean, high, low, peers,
+      CASE WHEN peers > 1 THEN (high - low) * sqrt({exact_sum_sql(f'({share} * {share})')} / (peers - 1)) END AS deviation
+    FROM {overview} JOIN (
+      SELECT asset_type, {exact_sum_sql('green_efficiency')} / count(*) AS mean, max(green_efficiency) AS high,
+             min(green_efficiency) AS low, count(*) AS peers
+      FROM {overview} WHERE green_efficiency IS NOT NULL GROUP BY asset_type) USING (asset_type)
+    WHERE green_efficiency IS NOT NULL GROUP BY asset_type, mean, high, low, peers"""
+
+
 def metrics_sql(overview: str) -> str:
     """Every asset against its class, from a table shaped like the overview."""
     return f"""
@@ -208,19 +222,22 @@ carbon_efficiency_metrics AS (
          market_cap / nullif(co2_emissions_mt * 1000000.0::DOUBLE, 0) AS eco_roi_usd_per_ton_co2,
          asset_subtype, estimated_esg, region, year_founded, main_focus
   FROM {overview} o LEFT JOIN (
-    SELECT asset_type, avg(green_efficiency) AS mean, max(green_efficiency) AS high, min(green_efficiency) AS low,
-           stddev_samp(green_efficiency) AS deviation, count(green_efficiency) AS peers
-    FROM {overview} WHERE green_efficiency IS NOT NULL GROUP BY asset_type) t ON t.asset_type = o.asset_type
+    {stats_sql(overview)}) t ON t.asset_type = o.asset_type
   WHERE co2_emissions_mt IS NOT NULL
-  WINDOW ranked AS (PARTITION BY o.asset_type ORDER BY green_efficiency DESC NULLS LAST, asset_name NULLS FIRST, asset_symbol NULLS FIRST))"""
+  WINDOW ranked AS (PARTITION BY o.asset_type ORDER BY green_efficiency DESC NULLS LAST, {', '.join(f'{c} NULLS FIRST' for c in TIES)}))"""
 
 
 def comparison_sql(overview: str) -> str:
-    totals = """count(*) AS total_assets, avg(co2_emissions_mt) AS avg_co2_emissions,
-         sum(co2_emissions_mt) AS total_co2_emissions, avg(green_efficiency) AS avg_efficiency,
-         avg(environmental_score) AS avg_environmental_score, sum(market_cap) AS total_market_cap,
-         coalesce(sum(co2_emissions_mt), 0) / nullif(coalesce(sum(market_cap), 0), 0) * 1e6 AS carbon_intensity_per_million_usd,
-         coalesce(sum(energy_consumption), 0) / nullif(coalesce(sum(market_cap), 0), 0) * 1e6 AS energy_intensity_per_million_usd"""
+    co2, cap, energy = (exact_sum_sql(c) for c in ("co2_emissions_mt", "market_cap", "energy_consumption"))
+
+    def mean(c: str) -> str:
+        return f"{exact_sum_sql(c)} / nullif(count({c}), 0)"
+
+    totals = f"""count(*) AS total_assets, {mean('co2_emissions_mt')} AS avg_co2_emissions,
+         {co2} AS total_co2_emissions, {mean('green_efficiency')} AS avg_efficiency,
+         {mean('environmental_score')} AS avg_environmental_score, {cap} AS total_market_cap,
+         coalesce({co2}, 0) / nullif(coalesce({cap}, 0), 0) * 1e6::DOUBLE AS carbon_intensity_per_million_usd,
+         coalesce({energy}, 0) / nullif(coalesce({cap}, 0), 0) * 1e6::DOUBLE AS energy_intensity_per_million_usd"""
     return f"""
 environmental_impact_comparison AS (
   SELECT asset_type, {totals} FROM {overview} GROUP BY asset_type
@@ -228,11 +245,6 @@ environmental_impact_comparison AS (
   UNION ALL SELECT 'Tous actifs', {totals} FROM {overview})"""
 
 
-RELATIVE = ("relative_efficiency", "efficiency_z_score", "efficiency_percentile")
-TOTALS = (
-    "avg_co2_emissions", "total_co2_emissions", "avg_efficiency", "avg_environmental_score", "total_market_cap",
-    "carbon_intensity_per_million_usd", "energy_intensity_per_million_usd",
-)
 PRELUDE = ",".join(
     [
         "WITH " + BASE_SQL,
@@ -249,13 +261,10 @@ def from_models(selected: str, table: str) -> str:
     return f"{PRELUDE}\nSELECT {selected} FROM {table}"
 
 
-def _register(name: str, columns: tuple[str, ...] = (), extra: str = "") -> None:
-    selected = (steady_sql(*columns) if columns else "*") + extra
-
-    @query(from_models(selected, name), name=name)
+def _register(name: str, extra: str = "") -> None:
+    @query(from_models("*" + extra, name), name=name)
     def build(star: Star) -> DataFrame:
-        only = name if name in LAYERS["staging"] else None
-        return steady(models(star, only)[name], *columns)
+        return models(star)[name]
 
 
 for plain in (
@@ -274,8 +283,8 @@ for plain in (
     "green_investment_overview",
 ):
     _register(plain)
-_register("carbon_efficiency_metrics", RELATIVE, f", '{LOADED_AT}' AS analysis_timestamp")
-_register("environmental_impact_comparison", TOTALS)
+_register("carbon_efficiency_metrics", f", TIMESTAMP '{LOADED_AT}' AS analysis_timestamp")
+_register("environmental_impact_comparison")
 
 
 def failures_sql(model: str, check: str, column: str, count: str) -> str:
@@ -300,19 +309,31 @@ def orphans_sql(child: str, column: str, parent: str, parent_column: str) -> str
     return failures_sql(child, "relationships", column, f"SELECT count(*) FROM {child} c WHERE c.{column} IS NOT NULL AND {missing}")
 
 
+# The columns declared not null.
+NOT_NULL = (
+    ("int_crypto_metrics", "coin_name"),
+    ("int_crypto_metrics", "symbol"),
+    ("int_stock_metrics", "id"),
+    ("int_stock_metrics", "company_name"),
+    ("int_stock_metrics", "ticker"),
+    ("dim_cryptocurrencies", "coin_name"),
+    ("dim_cryptocurrencies", "symbol"),
+    ("fact_crypto_environmental", "coin_name"),
+    ("dim_companies", "id"),
+    ("dim_companies", "company_name"),
+    ("dim_companies", "ticker"),
+    ("fact_stock_environmental", "id"),
+    ("green_investment_overview", "asset_name"),
+    ("green_investment_overview", "asset_symbol"),
+    ("environmental_impact_comparison", "asset_type"),
+)
+# The accepted labels.
 IMPACTS = "'Très faible impact', 'Faible impact', 'Impact modéré', 'Impact élevé', 'Impact très élevé'"
 CHECKS_SQL = "\nUNION ALL ".join(
     [
         *[
-            nulls_sql(*pair.split("."))
-            for pair in (
-                "int_crypto_metrics.coin_name int_crypto_metrics.symbol int_stock_metrics.id "
-                "int_stock_metrics.company_name int_stock_metrics.ticker dim_cryptocurrencies.coin_name "
-                "dim_cryptocurrencies.symbol fact_crypto_environmental.coin_name dim_companies.id "
-                "dim_companies.company_name dim_companies.ticker fact_stock_environmental.id "
-                "green_investment_overview.asset_name green_investment_overview.asset_symbol "
-                "environmental_impact_comparison.asset_type"
-            ).split()
+            nulls_sql(model, column)
+            for model, column in NOT_NULL
         ],
         repeats_sql("int_stock_metrics", "id"),
         repeats_sql("dim_companies", "id"),
@@ -332,8 +353,8 @@ def declared_checks(star):
 @query(
     from_models("*", "int_crypto_metrics").replace(
         "FROM raw_green_crypto_carbon)",
-        "FROM raw_green_crypto_carbon QUALIFY symbol IS NULL OR row_number() OVER (PARTITION BY symbol "
-        "ORDER BY electrical_power_gw NULLS LAST) = 1)",
+        f"FROM raw_green_crypto_carbon QUALIFY symbol IS NULL OR row_number() OVER (PARTITION BY lower(trim(symbol, {BLANKS})) "
+        "ORDER BY coin_name, asset_type, market_cap, electrical_power_gw, electricity_consumption_gw, co2_emissions_mt, symbol) = 1)",
     )
 )
 def int_crypto_metrics_deduplicated(star):

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ecometrics.functions import measures as m
 from ecometrics.operators import series as s
 from ecometrics.operators.joins import enrich
 from ecometrics.operators.screening import peers
-from workload.registry import query, steady, steady_sql
+from ecometrics.session import settle
+from workload.registry import exact_sum_sql, query
 
 # Whole cents: sums and means of them are exact in any order.
 AMOUNT = "CAST(round(o_totalprice * 100) AS BIGINT)"
@@ -72,14 +72,16 @@ def rebased_prices(star):
 
 @query(
     SERIES_SQL
-    + f""" SELECT {steady_sql('mean_volume', 'volatility')} FROM (
-      SELECT key, arg_min(price, date) AS first_price, arg_max(price, date) AS last_price, min(price) AS lowest_price,
-        max(price) AS highest_price, avg(volume) AS mean_volume,
-        (arg_max(price, date) / arg_min(price, date) - 1) * 100 AS performance, stddev_samp(daily_return) AS volatility
-      FROM returns GROUP BY key)"""
+    + f""" SELECT key, arg_min(price, date) AS first_price, arg_max(price, date) AS last_price, min(price) AS lowest_price,
+        max(price) AS highest_price, sum(volume)::DOUBLE / count(volume) AS mean_volume,
+        (arg_max(price, date) / arg_min(price, date) - 1) * 100 AS performance,
+        CASE WHEN count(daily_return) > 1 THEN sqrt(greatest({exact_sum_sql('(daily_return * daily_return)')}
+          - {exact_sum_sql('daily_return')} * {exact_sum_sql('daily_return')} / count(daily_return), 0.0::DOUBLE)
+          / (count(daily_return) - 1)) END AS volatility
+      FROM returns GROUP BY key"""
 )
 def period_summary(star):
-    return steady(s.summary(order_series(star)), "mean_volume", "volatility")
+    return s.summary(order_series(star))
 
 
 @query(
@@ -94,30 +96,31 @@ def return_histogram(star):
 
 @query(
     SERIES_SQL
-    + f""" SELECT {steady_sql('index_price', 'short_price')} FROM (SELECT key, date,
-      greatest(0.1, 50.0::DOUBLE * product(1 + coalesce(change, 0)) OVER w) AS index_price,
-      greatest(0.1, 1e6::DOUBLE * product(1 - coalesce(change, 0) / 10 * 4) OVER w) AS short_price
+    + """ SELECT key, date,
+      round(greatest(0.1, 50.0::DOUBLE * product(1 + coalesce(change, 0)) OVER w), 6) AS index_price,
+      round(greatest(0.1, 1e6::DOUBLE * product(1 - coalesce(change, 0) / 10 * 4) OVER w), 2) AS short_price
       FROM (SELECT key, date, daily_return / 100.0::DOUBLE AS change FROM returns)
-      WINDOW w AS (PARTITION BY key ORDER BY date ROWS UNBOUNDED PRECEDING))"""
+      WINDOW w AS (PARTITION BY key ORDER BY date ROWS UNBOUNDED PRECEDING)"""
 )
 def compounded_index(star):
-    """The index follows the prices; the short one holds losses beyond 100 percent and hits the floor."""
+    """The index follows the prices; the short one holds losses beyond 100 percent and hits the floor.
+
+    Rounded, because engines multiply the factors of a frame in different orders.
+    """
     changes = s.with_returns(order_series(star)).withColumn("change", F.col("daily_return") / 100.0)
-    indexed = changes.withColumn("loss", F.col("change") / 10 * -4).select(
+    return changes.withColumn("loss", F.col("change") / 10 * -4).select(
         "key",
         "date",
-        s.compounded("change", 50.0).alias("index_price"),
-        s.compounded("loss", 1e6).alias("short_price"),
+        F.round(s.compounded("change", 50.0), 6).alias("index_price"),
+        F.round(s.compounded("loss", 1e6), 2).alias("short_price"),
     )
-    return steady(indexed, "index_price", "short_price")
 
 
-def _stacked(frames: dict[str, DataFrame]) -> DataFrame:
-    counted = [
-        df.groupBy("key").agg(F.count(F.lit(1)).alias("days"), F.min("date").alias("first_day")).withColumn("range", F.lit(name))
-        for name, df in frames.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
+def _counted(starts, star) -> DataFrame:
+    """Each row of the series goes into all its ranges in one pass over a written series."""
+    series = settle(order_series(star).select("key", "date"), "series")
+    ranged = s.in_ranges(series, starts(s.last_date(series, "date")), s.last_date(series, "date"))
+    return ranged.groupBy("key", "range").agg(F.count(F.lit(1)).alias("days"), F.min("date").alias("first_day"))
 
 
 def _ranges_sql(ranges: dict[str, str]) -> str:
@@ -143,8 +146,7 @@ LATEST_SQL = SERIES_SQL + ", latest AS (SELECT max(date) AS newest FROM series)
     )
 )
 def look_back_ranges(star):
-    series = order_series(star)
-    return _stacked({label: s.look_back(series, label) for label in s.LOOKBACK_DAYS})
+    return _counted(s.look_back_starts, star)
 
 
 @query(
@@ -160,8 +162,7 @@ def look_back_ranges(star):
     )
 )
 def calendar_ranges(star):
-    series = order_series(star)
-    return _stacked({preset: s.calendar_range(series, preset) for preset in (*s.PRESET_MONTHS, "YTD", "all")})
+    return _counted(s.calendar_starts, star)
 
 
 @query(
@@ -199,8 +200,8 @@ def chronological_returns(star):
 def peers_rebased(star):
     total = F.sum(F.expr("CAST(round(l_extendedprice * 100) AS BIGINT)")).cast("double")
     sold = s.daily_series(star.lineitem, F.col("l_suppkey"), F.col("l_shipdate"), total, F.count(F.lit(1)))
-    indexed = sold.withColumn("rebased", s.rebased())
-    finals = indexed.groupBy(F.col("key").alias("supplier")).agg(F.max_by("rebased", "date").alias("final"))
+    final = m.divided(F.max_by("price", "date"), F.min_by("price", "date")) * F.lit(100.0)
+    finals = settle(sold.groupBy(F.col("key").alias("supplier")).agg(final.alias("final")), "finals")
     pairs = peers(star.supplier, "s_suppkey", "s_nationkey", "s_name").withColumnRenamed("s_suppkey", "key")
     own = enrich(pairs, finals, {"key": "supplier"}, {"final": "own_index"})
     return enrich(own, finals, {"peer": "supplier"}, {"final": "peer_index"})

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ecometrics.session import tune
+from ecometrics.session import input_bytes, tune
 
 # The tables; a declared schema spares a pass over the file footers per read.
 TABLES = {
@@ -48,7 +47,7 @@ def query(sql: str | None = None, name: str | None = None):
         key = name or build.__name__
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(Star(tune(spark), folder))
+            return build(Star(tune(spark, input_bytes(spark, folder)), folder))
 
         QUERIES[key] = run
         if sql is not None:
@@ -58,11 +57,9 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
-def steady(df: DataFrame, *columns: str) -> DataFrame:
-    """Cut values that depend on the order of a summation to single precision."""
-    return df.withColumns({name: F.col(name).cast("float").cast("double") for name in columns})
-
-
-def steady_sql(*columns: str) -> str:
-    """The same for a SQL star: ``SELECT * REPLACE (...)``."""
-    return "* REPLACE (" + ", ".join(f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}" for c in columns) + ")"
+def exact_sum_sql(x: str) -> str:
+    """The counterpart of ``measures.exact_sum``: whole parts and fractions are added up as integers."""
+    return (
+        f"(CAST(sum(CAST(floor({x}) AS BIGINT)) AS DOUBLE)"
+        f" + CAST(sum(CAST(floor(({x} - floor({x})) * 1e15::DOUBLE) AS BIGINT)) AS DOUBLE) / 1e15::DOUBLE)"
+    )

@@ -15,7 +15,7 @@ from ecometrics.plans import marts
 from ecometrics.session import settle
 from ecometrics.sources.tables import literal_table
 from workload import models
-from workload.registry import query, steady, steady_sql
+from workload.registry import query
 from workload.star import BASE_SQL, QUANTITY, REVENUE_CENTS, customer_base, supplier_base
 
 POSITIVE = models.sql_positive
@@ -26,11 +26,10 @@ POSITIVE = models.sql_positive
     SELECT c_custkey, n_name, qty, revenue AS revenue, coalesce(revenue, c_acctbal) AS worth,
            {POSITIVE('revenue', 'qty')} AS revenue_per_unit,
            CASE WHEN qty > 0 THEN qty * 1000000.0::DOUBLE END AS qty_scaled
-    FROM customer LEFT JOIN customer_base ON k = c_custkey AND k % 4 <> 0 LEFT JOIN nation ON n_nationkey = c_nationkey"""
+    FROM customer LEFT JOIN customer_base ON k = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey"""
 )
 def customer_metrics(star):
-    measured = customer_base(star).filter(F.col("k") % 4 != 0)
-    known = enrich(star.customer, measured, {"c_custkey": "k"}, ["qty", "revenue"])
+    known = enrich(star.customer, customer_base(star), {"c_custkey": "k"}, ["qty", "revenue"])
     placed = enrich(known, star.nation, {"c_nationkey": "n_nationkey"}, ["n_name"])
     return filled(placed, "worth", "revenue", "c_acctbal").select(
         "c_custkey",
@@ -206,17 +205,16 @@ def asset_overview(star):
     return overview(star)
 
 
-STATS = ("avg_efficiency", "stddev_efficiency")
-
-
 @query(
-    f"""{OVERVIEW_SQL}, stats AS (SELECT asset_type, avg(green_efficiency) AS avg_efficiency, max(green_efficiency) AS max_efficiency,
-      min(green_efficiency) AS min_efficiency, quantile_disc(green_efficiency, 0.5) AS median_efficiency,
-      stddev_samp(green_efficiency) AS stddev_efficiency, count(green_efficiency) AS count_assets
-    FROM star_overview GROUP BY asset_type) SELECT {steady_sql(*STATS)} FROM stats"""
+    f"""{OVERVIEW_SQL}, stats AS ({models.stats_sql('star_overview')}),
+    middle AS (SELECT asset_type, quantile_disc(green_efficiency, 0.5) AS median_efficiency FROM star_overview GROUP BY asset_type)
+    SELECT asset_type, mean AS avg_efficiency, high AS max_efficiency, low AS min_efficiency, median_efficiency,
+      deviation AS stddev_efficiency, peers AS count_assets FROM stats JOIN middle USING (asset_type)"""
 )
 def group_stats(star):
-    return steady(statistics.group_stats(overview(star), "asset_type", "green_efficiency", accuracy=100_000), *STATS)
+    measured = settle(overview(star).select("asset_type", "green_efficiency"), "measured")
+    stats = statistics.group_stats(measured, "asset_type", "green_efficiency")
+    return statistics.with_median(stats, measured, "asset_type", "green_efficiency")
 
 
 @query(
@@ -224,17 +222,17 @@ def group_stats(star):
     FROM star_overview WHERE green_efficiency IS NOT NULL GROUP BY asset_type"""
 )
 def group_median(star):
-    return ranking.exact_median(overview(star), ["asset_type"], "green_efficiency", "asset_name", "median_efficiency")
+    return ranking.exact_median(overview(star), ["asset_type"], "green_efficiency", "median_efficiency")
 
 
-@query(f"{OVERVIEW_SQL}, {models.metrics_sql('star_overview')} SELECT {steady_sql(*models.RELATIVE)} FROM carbon_efficiency_metrics")
+@query(f"{OVERVIEW_SQL}, {models.metrics_sql('star_overview')} SELECT * FROM carbon_efficiency_metrics")
 def efficiency_metrics(star):
-    return steady(statistics.efficiency_metrics(overview(star)), *models.RELATIVE)
+    return statistics.efficiency_metrics(settle(overview(star), "overview"))
 
 
-@query(f"{OVERVIEW_SQL}, {models.comparison_sql('star_overview')} SELECT {steady_sql(*models.TOTALS)} FROM environmental_impact_comparison")
+@query(f"{OVERVIEW_SQL}, {models.comparison_sql('star_overview')} SELECT * FROM environmental_impact_comparison")
 def impact_comparison(star):
-    return steady(marts.environmental_impact_comparison(overview(star)), *models.TOTALS)
+    return marts.environmental_impact_comparison(overview(star))
 
 
 @query(

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ecometrics.functions.bands import coin_class
@@ -12,6 +9,8 @@ from ecometrics.functions.numbers import first_number
 from ecometrics.operators import quality, screening
 from ecometrics.operators.joins import enrich
 from ecometrics.operators.ranking import top
+from ecometrics.session import scratch_path
+from ecometrics.sources import tables
 from workload.registry import query
 
 
@@ -95,10 +94,10 @@ def compound_predicates(star):
     )
 
 
-GAPS = "CASE WHEN p_partkey % 5 = 0 THEN '  ' WHEN p_partkey % 7 = 0 THEN NULL ELSE p_name END"
+GAPS = "CASE WHEN p_partkey % 5 = 0 THEN '  ' WHEN p_partkey % 11 = 0 THEN chr(9) || chr(10) WHEN p_partkey % 13 = 0 THEN '\u202f' WHEN p_partkey % 7 = 0 THEN NULL ELSE p_name END"
 
 
-@query(f"SELECT p_partkey, name FROM (SELECT p_partkey, {GAPS} AS name FROM part) WHERE name IS NOT NULL AND trim(name) <> ''")
+@query(f"SELECT p_partkey, name FROM (SELECT p_partkey, {GAPS} AS name FROM part) WHERE name IS NOT NULL AND NOT regexp_full_match(name, '[\\s\\p{{Z}}]*')")
 def known_and_not_blank(star):
     named = star.part.select("p_partkey", F.expr(GAPS).alias("name"))
     return screening.not_blank(screening.present(named, "name"), "name")
@@ -158,8 +157,7 @@ def keep_first_duplicate(star):
 
 @query("SELECT 'orders' AS name, count(*) AS n FROM orders UNION ALL SELECT 'part', count(*) FROM part")
 def loaded_counts(star):
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        for name, df in (("orders", star.orders), ("part", star.part))
-    ]
-    return reduce(DataFrame.unionByName, counted)
+    """Counted by the writes that load them."""
+    loads = {"orders": star.orders.select("o_orderkey"), "part": star.part}
+    counts = [(name, tables.publish_counted(df, scratch_path(star.spark, name))) for name, df in loads.items()]
+    return tables.literal_table(star.spark, counts, ["name", "n"])

@@ -8,7 +8,7 @@ both start from the same input.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,16 +82,20 @@ def money(cents: str) -> str:
 DOLLARS = "CAST(floor(revenue) AS BIGINT)"
 COIN = "CASE k WHEN 1 THEN 'btc' WHEN 2 THEN 'eth' WHEN 3 THEN 'ltc' WHEN 4 THEN 'xrp' WHEN 5 THEN 'bch' ELSE 'cus' || CAST(k AS STRING) END"
 TICKER = "'sup' || CAST(k AS STRING)"
+# The second copy of a footprint differs from the first.
+Q = "(qty + 7 * copy)"
 
-def raw_columns(thousands: Callable[[str], str]) -> dict[str, tuple[str, str, str | None, dict[str, str]]]:
-    """table -> (base, rows kept, rows written twice, column expressions).
+
+
+def raw_columns(thousands: Callable[[str], str]) -> dict[str, tuple[str, str | None, dict[str, str]]]:
+    """table -> (base, rows written twice, column expressions).
 
     ``thousands`` spells an integer with separators; engines differ there.
+    Some keys are spelled so that they match nothing.
     """
     return {
         "raw_green_crypto": (
             "customer_base",
-            "k >= 0",
             None,
             {
                 "coin": "CASE WHEN k % 7 = 0 THEN '  ' || name || chr(9) ELSE name END",
@@ -108,30 +112,27 @@ def raw_columns(thousands: Callable[[str], str]) -> dict[str, tuple[str, str, st
         ),
         "raw_green_crypto_carbon": (
             "customer_base",
-            "k % 9 <> 8",
             "k % 50 = 3",
             {
                 "coin": "name",
-                "symbol": f"CASE WHEN k % 4 = 0 THEN ' ' || upper({COIN}) ELSE {COIN} END",
+                "symbol": f"CASE WHEN k % 9 = 8 THEN 'gone' || CAST(k AS STRING) WHEN copy = 1 OR k % 4 = 0 THEN ' ' || upper({COIN}) ELSE {COIN} END",
                 "consensus": "CASE WHEN segment = 'BUILDING' THEN 'PoW' ELSE 'PoS' END",
-                "market_cap": f"CASE WHEN revenue IS NULL THEN '' WHEN k % 12 = 0 THEN '-' || {string(DOLLARS)} WHEN k % 15 = 0 THEN '0' ELSE '$' || {thousands(DOLLARS)} END",
+                "market_cap": f"CASE WHEN revenue IS NULL THEN '' WHEN k % 12 = 0 THEN '-' || {string(DOLLARS)} WHEN k % 15 = 0 THEN '0' ELSE '$' || {thousands(f'({DOLLARS} + 1000 * copy)')} END",
                 "electrical_power": "CASE WHEN copy = 1 OR k % 10 = 4 THEN 'N/A' WHEN k % 10 = 5 THEN '' ELSE CAST(qty AS STRING) || '.25' END",
                 "electricity_consumption": f"CASE WHEN qty IS NULL THEN 'N/A' WHEN k % 6 = 0 THEN CAST(qty AS STRING) || '.0e-06' WHEN k % 6 = 1 THEN '0.0' ELSE {money('qty')} END",
-                "co2_emissions": f"CASE WHEN qty IS NULL OR k % 14 = 0 THEN '' WHEN k % 8 = 0 THEN '0.0' WHEN k % 8 = 2 THEN CAST(qty AS STRING) || '.5e-10' WHEN k % 8 = 3 THEN CAST(qty AS STRING) || '.5E-08' WHEN k % 8 = 4 THEN CAST(qty AS STRING) || '.5e-07' WHEN k % 8 = 5 THEN CAST(qty AS STRING) || '.5e-06' WHEN k % 8 = 6 THEN '0.0000' || CAST(qty AS STRING) ELSE {money('qty')} END",
+                "co2_emissions": f"CASE WHEN qty IS NULL OR k % 14 = 0 THEN '' WHEN k % 8 = 0 THEN '0.0' WHEN k % 8 = 2 THEN CAST({Q} AS STRING) || '.5e-10' WHEN k % 8 = 3 THEN CAST({Q} AS STRING) || '.5E-08' WHEN k % 8 = 4 THEN CAST({Q} AS STRING) || '.5e-07' WHEN k % 8 = 5 THEN CAST({Q} AS STRING) || '.5e-06' WHEN k % 8 = 6 THEN '0.0000' || CAST({Q} AS STRING) ELSE {money(Q)} END",
             },
         ),
         "raw_coincap_prices": (
             "customer_base",
-            "k % 3 <> 0",
             None,
             {
-                "coin": "CASE WHEN k % 4 = 0 THEN upper(name) ELSE lower(name) || ' ' END",
+                "coin": "CASE WHEN k % 3 = 0 THEN 'no ' || name WHEN k % 4 = 0 THEN upper(name) ELSE lower(name) || ' ' END",
                 "price_usd": f"CASE k % 10 WHEN 0 THEN 'USD ' || {money('cents')} WHEN 1 THEN CAST(k AS STRING) || '.5E-7' WHEN 2 THEN '$' || {money('cents')} WHEN 3 THEN 'free' WHEN 4 THEN '0' ELSE {money('cents')} END",
             },
         ),
         "raw_green_stock": (
             "supplier_base",
-            "k >= 0",
             None,
             {
                 "id": "CASE WHEN k % 29 = 28 THEN '12.5' ELSE ' ' || CAST(k AS STRING) END",
@@ -149,10 +150,9 @@ def raw_columns(thousands: Callable[[str], str]) -> dict[str, tuple[str, str, st
         ),
         "raw_green_stock_carbon": (
             "supplier_base",
-            "k % 25 <> 24",
             None,
             {
-                "id": "CAST(k AS STRING)",
+                "id": "CAST(CASE WHEN k % 25 = 24 THEN -k ELSE k END AS STRING)",
                 "company": "name",
                 "ticker": f"CASE WHEN k % 20 = 0 THEN ' Not Listed' ELSE {TICKER} END",
                 "electricity_consumption": f"CASE WHEN k % 6 = 0 THEN CAST(qty AS STRING) || ' GWh' ELSE {money('qty')} END",
@@ -162,10 +162,9 @@ def raw_columns(thousands: Callable[[str], str]) -> dict[str, tuple[str, str, st
         ),
         "raw_finnhub_financials": (
             "supplier_base",
-            "k % 2 = 0",
             None,
             {
-                "ticker": f"' ' || {TICKER}",
+                "ticker": f"CASE WHEN k % 2 = 0 THEN ' ' || {TICKER} ELSE 'none' || CAST(k AS STRING) END",
                 "current_price": f"CASE WHEN k % 12 = 0 THEN '0' ELSE {money('cents')} END",
                 "market_cap": f"'$' || {thousands(DOLLARS)}",
             },
@@ -173,29 +172,32 @@ def raw_columns(thousands: Callable[[str], str]) -> dict[str, tuple[str, str, st
     }
 
 
-def raw_tables(star: Star, wanted: Iterable[str] | None = None) -> dict[str, DataFrame]:
-    """The six raw tables.  Up to three of them share a base, which is therefore written once."""
-    written: dict[str, DataFrame] = {}
+class RawTables(Mapping):
+    """The six raw tables, each planned when asked for.  Two or three share a base, which is written once then."""
 
-    def base_table(name: str) -> DataFrame:
-        if name not in written:
-            written[name] = settle({"customer_base": customer_base, "supplier_base": supplier_base}[name](star), name)
-        return written[name]
+    def __init__(self, star: Star):
+        self._star, self._columns = star, raw_columns(lambda n: f"format_number({n}, 0)")
+        self._bases: dict[str, DataFrame] = {}
 
-    tables = {}
-    for name, (base, kept, twice, columns) in raw_columns(lambda n: f"format_number({n}, 0)").items():
-        if wanted is not None and name not in wanted:
-            continue
+    def __getitem__(self, name: str) -> DataFrame:
+        base, twice, columns = self._columns[name]
+        if base not in self._bases:
+            self._bases[base] = settle({"customer_base": customer_base, "supplier_base": supplier_base}[base](self._star), base)
         copies = f"CASE WHEN {twice} THEN array(0, 1) ELSE array(0) END" if twice else "array(0)"
-        rows = base_table(base).filter(kept).withColumn("copy", F.explode(F.expr(copies)))
-        tables[name] = rows.selectExpr(*[f"{e} AS {column}" for column, e in columns.items()])
-    return tables
+        rows = self._bases[base].withColumn("copy", F.explode(F.expr(copies)))
+        return rows.selectExpr(*[f"{e} AS {column}" for column, e in columns.items()])
+
+    def __iter__(self):
+        return iter(self._columns)
+
+    def __len__(self) -> int:
+        return len(self._columns)
 
 
 def raw_sql() -> str:
     parts = []
-    for name, (base, kept, twice, columns) in raw_columns(lambda n: f"format('{{:,}}', {n})").items():
+    for name, (base, twice, columns) in raw_columns(lambda n: f"format('{{:,}}', {n})").items():
         selected = ", ".join(f"{e} AS {column}" for column, e in columns.items())
         copies = f"copy = 0 OR {twice}" if twice else "copy = 0"
-        parts.append(f"{name} AS (SELECT {selected} FROM {base} JOIN (VALUES (0), (1)) v(copy) ON {copies} WHERE {kept})")
+        parts.append(f"{name} AS (SELECT {selected} FROM {base} JOIN (VALUES (0), (1)) v(copy) ON {copies})")
     return ",\n".join(parts)
