@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ecometrics.llm.common import held_out, prepared
 
@@ -144,10 +145,12 @@ def fit(
     return Model(samples, landmarks, ridge)
 
 
-def predicted(docs: DataFrame, model: Model, text_col: str, keep: list[Column], schema: str) -> DataFrame:
-    """The columns ``keep`` with lang_pred and score."""
+def predicted(docs: DataFrame, model: Model, text_col: str, keep: list[Column]) -> DataFrame:
+    """The columns ``keep`` with __lid_pred and __lid_score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*keep, docs[text_col].alias("__lid_text"))
+    scored = [T.StructField("__lid_pred", T.StringType()), T.StructField("__lid_score", T.DoubleType())]
+    schema = T.StructType([*rows.schema.fields[:-1], *scored])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,7 +162,7 @@ def predicted(docs: DataFrame, model: Model, text_col: str, keep: list[Column],
                 scores += found[1]
             arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
             arrays += [pa.array(labels, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:-1], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -183,9 +186,8 @@ def identify(
     prepared(docs.sparkSession)
     out = held_out(id_col, folds, 0)
     model = fit(docs, ~out, text_col=text_col, lang_col=lang_col, id_col=id_col, **limits)
-    kind = docs.schema[id_col].dataType.simpleString()
-    keep = [docs[id_col].alias("doc_id"), out.alias("held_out")]
-    return predicted(docs, model, text_col, keep, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    found = predicted(docs, model, text_col, [docs[id_col].alias("doc_id"), out.alias("held_out")])
+    return found.withColumnsRenamed({"__lid_pred": "lang_pred", "__lid_score": "score"})
 
 
 def reject(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.3) -> DataFrame:
@@ -193,10 +195,7 @@ def reject(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
 
     The fit learns from all labelled rows within its bounds.  Rows stay as they are.
     """
-    from pyspark.sql import types as T
-
     prepared(docs.sparkSession)
     model = fit(docs, F.lit(True), text_col=text_col, lang_col=lang_col, id_col=id_col)
-    fields = [*docs.schema.fields, T.StructField("__lid_pred", T.StringType()), T.StructField("__lid_score", T.DoubleType())]
-    scored = predicted(docs, model, text_col, [docs[c] for c in docs.columns], T.StructType(fields))
+    scored = predicted(docs, model, text_col, [docs[c] for c in docs.columns])
     return scored.where((F.col("__lid_pred") != NO_LANGUAGE) & (F.col("__lid_score") >= least)).select(*docs.columns)

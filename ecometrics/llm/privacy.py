@@ -208,7 +208,7 @@ def located(
     return docs
 
 
-LIMITS = {"reach": 8, "support": 3, "share": 0.6, "bits": 6.0, "block": 500_000}
+LIMITS = {"reach": 8, "support": 3, "share": 0.6, "bits": 4.0, "block": 500_000}
 
 
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
