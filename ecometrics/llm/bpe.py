@@ -20,6 +20,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
@@ -27,6 +28,22 @@ from ecometrics.llm.common import frequent_items, prepared, texts
 from ecometrics.llm.token_counts import SPACE
 
 CHUNK = re.compile(f"[^{SPACE}]+")
+# str.split cuts at these too, which are not white space to the library.
+SEPARATORS = re.compile("[\x1c-\x1f]")
+# Of these characters every Unicode version says the same: composed already, lower case one by one.
+PLAIN = re.compile("[\x00-\x1b\x20-\u012f\u0131-\u017f]*")
+
+
+def chunks_of(text: str) -> list[str]:
+    """The runs without white space."""
+    return CHUNK.findall(text) if SEPARATORS.search(text) else text.split()
+
+
+def byte_letters() -> list[str]:
+    """The letter that a byte-level vocabulary has for each byte: itself if it can be seen, else one past 255."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = {byte: chr(256 + i) for i, byte in enumerate(x for x in range(256) if x not in seen)}
+    return [hidden.get(byte, chr(byte)) for byte in range(256)]
 
 
 class Vocabulary:
@@ -49,9 +66,16 @@ class Vocabulary:
         self.special = {x["content"]: x["id"] for x in declared["added_tokens"]}
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.letters = {i: letter for i, letter in enumerate(byte_letters())}
+        # The file's own pattern, for chunks of plain characters; others go through the library's steps.
+        steps = declared["pre_tokenizer"]["pretokenizers"]
+        self.pattern = regex.compile(steps[0]["pattern"]["Regex"])
 
     def words(self, chunk: str) -> list[str | int]:
         """The words of a chunk without white space, in the model's alphabet; a special token as its id."""
+        if PLAIN.fullmatch(chunk) and not (self.cut and self.cut.search(chunk)):
+            found = self.pattern.findall(chunk.lower())
+            return found if chunk.isascii() else [x.encode().decode("latin-1").translate(self.letters) for x in found]
         out: list[str | int] = []
         for part in self.cut.split(chunk) if self.cut else [chunk]:
             if part in self.special:
@@ -63,23 +87,19 @@ class Vocabulary:
     def merge(self, word: str) -> list[int]:
         """Apply the merge of lowest rank, leftmost first, until none is left."""
         parts = [*word[:-1], word[-1] + self.end]
-        ranks, none = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            found = [ranks.get(pair, none) for pair in zip(parts, parts[1:])]
-            best = min(found)
+        rank, none = self.ranks.get, len(self.ranks)
+        ranks = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
             if best == none:
                 break
-            merged, i, last = [], 0, len(found)
-            while i < last:
-                if found[i] == best and parts[i] + parts[i + 1]:
-                    merged.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    merged.append(parts[i])
-                    i += 1
-            if i == last:
-                merged.append(parts[last])
-            parts = merged
+            i = ranks.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank((parts[i], parts[i + 1]), none)
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
         return [self.ids[x] for x in parts if x in self.ids]
 
 
@@ -173,12 +193,35 @@ class Lexicon:
 _worker: dict = {}
 
 
+class Recent(dict):
+    """A bounded cache in two generations: what the older one still has is taken over when it is asked for."""
+
+    def __init__(self, limit: int, compute):
+        super().__init__()
+        self.limit, self.compute, self.older = limit // 2, compute, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Coder:
-    """A worker's encoder: a chunk's (number of ids, ids as text, tokens as text), cached."""
+    """A worker's encoder: a chunk's (number of ids, ids as text, tokens as text), cached, over cached words."""
 
     def __init__(self, path: str, lexicon_path: str, cache_items: int):
-        self.vocabulary, self.lexicon, self.limit = Vocabulary(path), Lexicon(lexicon_path), cache_items
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.vocabulary, self.lexicon = Vocabulary(path), Lexicon(lexicon_path)
+        self.words = Recent(cache_items, self.encode_word)
+        self.known = Recent(cache_items, self.code_chunk)
+
+    def encode_word(self, word: str) -> list[int]:
+        found = self.lexicon[word]
+        return self.vocabulary.merge(word) if found is None else found
 
     def encode_chunk(self, chunk: str) -> list[int]:
         ids: list[int] = []
@@ -186,20 +229,22 @@ class Coder:
             if isinstance(word, int):
                 ids.append(word)
             else:
-                found = self.lexicon[word]
-                ids += self.vocabulary.merge(word) if found is None else found
+                ids += self.words[word]
         return ids
 
-    def chunks(self, split: list[list[str]]) -> dict[str, tuple[int, str, str]]:
-        """The cache, which holds every chunk of this batch."""
-        distinct = set().union(*split)
-        new = distinct.difference(self.known)
-        if len(self.known) + len(new) > self.limit:
-            self.known, new = {}, distinct
-        for chunk in new:
-            ids = self.encode_chunk(chunk)
-            self.known[chunk] = (len(ids), " ".join(map(str, ids)), " ".join(map(self.vocabulary.tokens.__getitem__, ids)))
-        return self.known
+    def code_chunk(self, chunk: str) -> tuple[int, str, str]:
+        ids = self.encode_chunk(chunk)
+        return len(ids), " ".join(map(str, ids)), " ".join(map(self.vocabulary.tokens.__getitem__, ids))
+
+    def code(self, text: str) -> tuple[int, str, str]:
+        """The same for a whole text."""
+        parts = list(map(self.known.__getitem__, chunks_of(text)))
+        if not parts:
+            return 0, "", ""
+        sizes, ids, tokens = zip(*parts)
+        if 0 in sizes:
+            ids, tokens = filter(None, ids), [x[2] for x in parts if x[0]]
+        return sum(sizes), " ".join(ids), " ".join(tokens)
 
 
 def _coder(path: str, name: str, cache_items: int) -> Coder:
@@ -212,7 +257,7 @@ def ship_lexicon(texts_df: DataFrame, tokenizer: str, words: int) -> str:
     """Compile the most frequent words of all texts and hand the file to every executor; its name."""
     spark, vocabulary = texts_df.sparkSession, Vocabulary(tokenizer)
     entries = {}
-    for chunk in frequent_items(texts_df, CHUNK.findall, words):
+    for chunk in frequent_items(texts_df, chunks_of, words):
         for word in vocabulary.words(chunk):
             if isinstance(word, str) and word not in entries:
                 entries[word] = vocabulary.merge(word)
@@ -231,7 +276,7 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     words: int = 8192,
-    cache_items: int = 250_000,
+    cache_items: int = 500_000,
     ids: bool = False,
 ) -> DataFrame:
     """Per row: id, n_tokens, ids_sha256, decoded_sha256, and with ``ids`` the ids and the decoded text.
@@ -249,14 +294,10 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(tokenizer, name, cache_items)
         for batch in batches:
-            split = [CHUNK.findall(x.decode()) for x in texts(batch)]
-            known = coder.chunks(split)
             n, id_sha, text_sha, id_lists, decoded_texts = [], [], [], [], []
-            for chunks in split:
-                parts = [x for x in map(known.__getitem__, chunks) if x[0]]
-                id_text = " ".join([x[1] for x in parts])
-                decoded = " ".join([x[2] for x in parts])
-                n.append(sum([x[0] for x in parts]))
+            for text in texts(batch):
+                size, id_text, decoded = coder.code(text.decode())
+                n.append(size)
                 id_sha.append(hashlib.sha256(id_text.encode()).hexdigest())
                 text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
                 if ids:
