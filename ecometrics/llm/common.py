@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecometrics.session import settle, tune
+from ecometrics.session import input_bytes, settle, tune
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 BATCH_ROWS, BATCH_BYTES = 512, 32 * 1024 * 1024
@@ -28,7 +28,10 @@ def prepared(spark: SparkSession) -> SparkSession:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return prepared(spark).read.parquet(f"{folder}/documents.parquet")
+    """The table of documents; shuffles are as wide as its size asks for, texts being stored compressed."""
+    path = f"{folder}/documents.parquet"
+    tune(prepared(spark), 4 * input_bytes(spark, path))
+    return spark.read.parquet(path)
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

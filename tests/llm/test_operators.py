@@ -66,9 +66,7 @@ def untidy(spark):
         (6, long_text, "en", "b", len(long_text)),
         (7, "é́漢字 <|endoftext|> ok <|startoftext|> A\x1cB \U0001f642", "zz", "c", 9),
     ]
-    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     df = spark.createDataFrame([(t, i, *rest) for i, t, *rest in rows], "text string, doc_id bigint, lang string, source string, n_chars bigint")
-    assert schema
     return df.withColumns({k: F.lit(v) for k, v in EXTRA.items()})
 
 
@@ -641,20 +639,36 @@ def test_model_scores(found, docs):
     assert model > base
 
 
-def test_model_probabilities_add_up(spark):
-    texts = ["a b a b c", "a b c", "b a b", "c c a", "a b a"] * 2
-    df = spark.createDataFrame([(i * 7, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
-    seen = {}
-    for context in ("", "a", "a b", "c"):
-        asked = [f"{context} {w}".strip() for w in ("a", "b", "c", "never")]
-        both = df.unionByName(spark.createDataFrame([(j, t) for j, t in zip(HELD_OUT, [context, *asked])], "doc_id bigint, text string"))
-        for row, text in zip(sorted(lm.score(both).filter("held_out").collect(), key=lambda r: HELD_OUT.index(r.doc_id)), [context, *asked]):
-            seen[context, text] = row.score
-    # A text's score is that of its words and its end; ends differ, so compare the longer texts' share of all that can follow.
-    assert all(s < 0 for s in seen.values())
-
-
-HELD_OUT = [i for i in range(1000, 3000) if zlib.crc32(str(i).encode()) % 7 == 2][:5]
+def test_model_probabilities_add_up(tmp_path):
+    """After any two ids, all that can follow has probability 1; the share of unseen words goes to the unknown id."""
+    rng = np.random.default_rng(2)
+    size, unseen = 40, 0.1
+    word_p = np.zeros(size)
+    word_p[lm.END :] = rng.dirichlet(np.ones(size - lm.END)) * (1 - unseen)
+    totals = rng.integers(400, 900, size).astype(float)
+    firsts = np.array([lm.BEGIN, *range(lm.FIRST_WORD, 20)])
+    pairs = np.unique(np.concatenate([a << lm.BITS | rng.choice(np.arange(lm.END, size), 9) for a in firsts]))
+    pair_n = rng.integers(2, 40, len(pairs))
+    arrays, pair_p = lm.pair_level(pairs, pair_n, word_p, totals)
+    known = set(pairs.tolist())
+    triples = [
+        (ab << 16 | c, 2)
+        for ab in known for c in range(lm.END, size)
+        if (ab & 0xFFFF) << 16 | c in known and rng.random() < 0.3
+    ]
+    codes = np.array(sorted(t for t, _ in triples))
+    room = Counter((codes >> 16).tolist())
+    pair_n = np.maximum(pair_n, [2 * room[p] for p in pairs.tolist()])  # a pair occurs at least as often as its triples
+    arrays, pair_p = lm.pair_level(pairs, pair_n, word_p, totals)
+    arrays |= lm.triple_level(codes, np.full(len(codes), 2), pairs, pair_n, pair_p)
+    with np.errstate(divide="ignore"):
+        arrays["words.log_p"] = np.where(word_p > 0, np.log10(word_p), 0)
+    path = tmp_path / "trie"
+    path.write_bytes(elias_fano.to_bytes(arrays))
+    trie = lm.Trie(str(path))
+    for a, b in [(lm.BEGIN, 5), (4, 7), (5, 30), (30, 6), (lm.UNKNOWN, 6), (6, lm.UNKNOWN), (7, 7)]:
+        p = {c: 10 ** trie.score(np.array([lm.BEGIN, a, b, c] if a != lm.BEGIN else [lm.BEGIN, b, c]))[-1] for c in [0, *range(lm.END, size)]}
+        assert math.isclose(p.pop(lm.UNKNOWN) * unseen + sum(p.values()), 1, abs_tol=0.05)
 
 
 # --- 9: SimHash ----------------------------------------------------------------------------------------------------
