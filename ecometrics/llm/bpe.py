@@ -24,7 +24,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from ecometrics.llm.common import frequent_items, prepared, texts
+from ecometrics.llm.common import frequent_items, prepared, texts, worker_state
 from ecometrics.llm.token_counts import SPACE
 
 CHUNK = re.compile(f"[^{SPACE}]+")
@@ -190,9 +190,6 @@ class Lexicon:
         return list(self.ids[self.offsets[place] : self.offsets[place + 1]])
 
 
-_worker: dict = {}
-
-
 class Recent(dict):
     """A bounded cache in two generations: what the older one still has is taken over when it is asked for."""
 
@@ -212,29 +209,31 @@ class Recent(dict):
 
 
 class Coder:
-    """A worker's encoder: a chunk's (number of ids, ids as text, tokens as text), cached, over cached words."""
+    """A worker's encoder: a chunk's (number of ids, ids as text, tokens as text), cached, over cached words.
+
+    A chunk of one word holds that word's own entry, so the larger cache of chunks costs little more than its keys.
+    """
 
     def __init__(self, path: str, lexicon_path: str, cache_items: int):
         self.vocabulary, self.lexicon = Vocabulary(path), Lexicon(lexicon_path)
-        self.words = Recent(cache_items, self.encode_word)
+        self.words = Recent(cache_items // 2, self.code_word)
         self.known = Recent(cache_items, self.code_chunk)
 
-    def encode_word(self, word: str) -> list[int]:
-        found = self.lexicon[word]
-        return self.vocabulary.merge(word) if found is None else found
+    def code_ids(self, ids: list[int]) -> tuple[int, str, str]:
+        return len(ids), " ".join(map(str, ids)), " ".join(map(self.vocabulary.tokens.__getitem__, ids))
 
-    def encode_chunk(self, chunk: str) -> list[int]:
-        ids: list[int] = []
-        for word in self.vocabulary.words(chunk):
-            if isinstance(word, int):
-                ids.append(word)
-            else:
-                ids += self.words[word]
-        return ids
+    def code_word(self, word: str | int) -> tuple[int, str, str]:
+        """Of a word, or of a special token by its id."""
+        if isinstance(word, int):
+            return self.code_ids([word])
+        found = self.lexicon[word]
+        return self.code_ids(self.vocabulary.merge(word) if found is None else found)
 
     def code_chunk(self, chunk: str) -> tuple[int, str, str]:
-        ids = self.encode_chunk(chunk)
-        return len(ids), " ".join(map(str, ids)), " ".join(map(self.vocabulary.tokens.__getitem__, ids))
+        parts = [self.words[word] for word in self.vocabulary.words(chunk)]
+        if len(parts) == 1:
+            return parts[0]
+        return sum([x[0] for x in parts]), " ".join([x[1] for x in parts if x[0]]), " ".join([x[2] for x in parts if x[0]])
 
     def code(self, text: str) -> tuple[int, str, str]:
         """The same for a whole text."""
@@ -248,9 +247,11 @@ class Coder:
 
 
 def _coder(path: str, name: str, cache_items: int) -> Coder:
-    if _worker.get("key") != (path, name):
-        _worker.update(key=(path, name), coder=Coder(path, SparkFiles.get(name), cache_items))
-    return _worker["coder"]
+    state = worker_state("bpe")
+    if state.get("key") != (path, name):
+        state.clear()  # before the next caches fill
+        state.update(key=(path, name), coder=Coder(path, SparkFiles.get(name), cache_items))
+    return state["coder"]
 
 
 def ship_lexicon(texts_df: DataFrame, tokenizer: str, words: int) -> str:
@@ -276,7 +277,7 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     words: int = 8192,
-    cache_items: int = 500_000,
+    cache_items: int = 400_000,
     ids: bool = False,
 ) -> DataFrame:
     """Per row: id, n_tokens, ids_sha256, decoded_sha256, and with ``ids`` the ids and the decoded text.

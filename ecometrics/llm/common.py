@@ -6,6 +6,7 @@ cuts exactly there.  Workers get whole texts as Arrow batches of bounded rows.
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -19,14 +20,35 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 BATCH_ROWS, BATCH_BYTES = 512, 32 * 1024 * 1024
 
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """Session settings the operators count on; batches stay small although texts may be long."""
+    """Session settings the operators count on; batches stay small although texts may be long.
+
+    Workers get the place of this package on their path, wherever the driver was started from.
+    """
     tune(spark)
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if PACKAGE_ROOT not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [PACKAGE_ROOT, known]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
+_worker: dict = {}
+
+
+def worker_state(owner: str) -> dict:
+    """What an operator keeps in a worker from task to task; another operator that starts there lets go of it."""
+    if _worker.get("owner") != owner:
+        _worker.clear()
+        _worker.update(owner=owner, state={})
+    return _worker["state"]
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """The table of documents; shuffles are as wide as its size asks for, texts being stored compressed."""
     path = f"{folder}/documents.parquet"
@@ -82,6 +104,7 @@ def frequent_items(texts_df: DataFrame, split: Callable[[str], list[str]], capac
     """
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("summaries")
         summary = Summary(capacity)
         for batch in batches:
             for text in batch.column(0).to_pylist():

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ecometrics.llm.common import held_out, prepared
+from ecometrics.llm.common import held_out, prepared, worker_state
 
 NO_LANGUAGE = "und"
 BLANK = np.uint32(32)
@@ -153,6 +153,7 @@ def predicted(docs: DataFrame, model: Model, text_col: str, keep: list[Column])
     schema = T.StructType([*rows.schema.fields[:-1], *scored])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("language")
         for batch in batches:
             column = batch.column("__lid_text").to_pylist()
             labels, scores = [], []

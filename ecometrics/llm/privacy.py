@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ecometrics.llm.common import prepared, texts
+from ecometrics.llm.common import prepared, texts, worker_state
 from ecometrics.session import settle
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -96,7 +96,7 @@ def surroundings(text: str, spans: list[tuple[int, int, int]], reach: int) -> It
 
 
 def disclosing_terms(
-    rows: DataFrame, *, reach: int, support: int, share: float, bits: float, flush: int = 400_000
+    rows: DataFrame, *, reach: int, support: int, share: float, bits: float, flush: int = 250_000
 ) -> DataFrame:
     """(term): those that disclose some entity; counts are taken over all rows of ``text``.
 
@@ -105,6 +105,7 @@ def disclosing_terms(
     """
 
     def mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("privacy")
         for batch in batches:
             out: set[tuple[str, str, int]] = set()
             for text in texts(batch):

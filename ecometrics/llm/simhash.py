@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ecometrics.llm.common import components, prepared, texts
+from ecometrics.llm.common import components, prepared, texts, worker_state
 from ecometrics.session import settle
 
 SEED = 42
@@ -51,6 +51,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words_per_shingle:
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("simhash")
         for batch in batches:
             found = np.array([fingerprint(x, words_per_shingle) for x in texts(batch)], np.uint64)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": pa.array(found.view(np.int64))})

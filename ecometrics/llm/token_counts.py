@@ -15,30 +15,28 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ecometrics.llm.common import frequent_items, prepared, texts
+from ecometrics.llm.common import frequent_items, prepared, texts, worker_state
 
 # The characters of Unicode's White_Space property, at which the library splits.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PRE_TOKEN = f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 
-_worker: dict = {}
-
-
 def pre_tokens(text: str) -> list[str]:
     return re.findall(PRE_TOKEN, text)
 
 
 def _encoder(path: str):
     """The worker's tokenizer; special strings inside texts count as the library's default takes them."""
-    if _worker.get("path") != path:
+    state = worker_state("token_counts")
+    if state.get("path") != path:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         encoder = Tokenizer.from_file(path)
         encoder.no_truncation()
         encoder.no_padding()
-        _worker.update(path=path, encoder=encoder, cache=None)
-    return _worker["encoder"]
+        state.update(path=path, encoder=encoder, cache=None)
+    return state["encoder"]
 
 
 def lengths(encoder, items: list[str]) -> list[int]:
@@ -68,16 +66,16 @@ def count_tokens(
     table = spark.sparkContext.broadcast(dict(zip(common, lengths(_encoder(tokenizer), common))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, known = _encoder(tokenizer), table.value
-        if _worker["cache"] is None or len(_worker["cache"]) < len(known):
-            _worker["cache"] = dict(known)
+        encoder, known, state = _encoder(tokenizer), table.value, worker_state("token_counts")
+        if state["cache"] is None:
+            state["cache"] = dict(known)
         for batch in batches:
             raw = texts(batch)
             split = [pre_tokens(x.decode()) for x in raw]
-            cache = _worker["cache"]
+            cache = state["cache"]
             new = set().union(*split).difference(cache)
             if len(cache) + len(new) > cache_items:
-                cache = _worker["cache"] = dict(known)
+                cache = state["cache"] = dict(known)
                 new = set().union(*split).difference(cache)
             missing = list(new)
             cache.update(zip(missing, lengths(encoder, missing)))
