@@ -39,8 +39,8 @@ from ecometrics.session import settle
 LENGTH, GRAM = 200, 48
 STARTS = LENGTH - GRAM + 1  # strings that can share an anchor
 PIECE = 1 << 18  # starts handled at once; a text of any length needs bounded memory
-GATHERED = 64  # runs of one anchor that are sorted together
-BANDS = (28, 6, 1)
+GATHERED = 1024  # runs of one anchor that are sorted together
+BANDS = (64, 16, 4, 1)
 BASE = 0x9E3779B97F4A7C15
 U64 = np.uint64
 
@@ -256,7 +256,7 @@ def members(open_texts: DataFrame, common: bool) -> DataFrame:
 
 
 def shared_strings(group: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
-    """(t1, t2, first start, last start) that another run of the group has too.
+    """(t1, t2, first start, last start) that another run of the group has too, as maximal ranges.
 
     A group is (t1, t2, place, near, far, copies, piece) of one anchor.  The string that starts d bytes before
     the anchor is shared by two runs if they agree in d bytes to the left and 200 - d to the right.
@@ -284,8 +284,15 @@ def shared_strings(group: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
             continue
         low = np.maximum(np.maximum(near, near[i]), LENGTH - to_right[i])
         high = np.minimum(np.minimum(far, far[i]), to_left[i])
-        for j in np.flatnonzero((low <= high) & (np.arange(len(group)) != i)).tolist():
-            yield t1, t2, place - int(high[j]), place - int(low[j])
+        both = low <= high
+        both[i] = False
+        edges = np.zeros(STARTS + 1, np.int64)
+        np.add.at(edges, low[both], 1)
+        np.add.at(edges, high[both] + 1, -1)
+        covered = np.concatenate([[False], np.cumsum(edges) > 0, [False]])
+        turns = np.flatnonzero(covered[1:] != covered[:-1])
+        for a, b in zip(turns[::2].tolist(), turns[1::2].tolist()):
+            yield t1, t2, place - b + 1, place - a
 
 
 FOUND_SCHEMA = "t1 bigint, t2 bigint, first bigint, last bigint"
@@ -321,8 +328,8 @@ def digest64(*parts: bytes) -> int:
 def by_bands(runs_left: DataFrame) -> DataFrame:
     """The same for anchors of any number of runs, without gathering them.
 
-    All strings of a band contain its core.  A core that occurs once ends the band; a band whose whole text is
-    the only one around a repeated core is repeated throughout; others are cut into smaller bands.
+    All strings of a band contain its core.  A core that occurs once ends the band; a band whose whole text occurs
+    again is repeated throughout, and one stands for all of its text; single ones are cut into smaller bands.
     """
     found = None
     left = runs_left
@@ -341,18 +348,26 @@ def by_bands(runs_left: DataFrame) -> DataFrame:
                 kinds = {**MEMBER, "core": pa.int64(), "check": pa.int64(), "own": pa.int64()}
                 yield pa.RecordBatch.from_pydict({k: pa.array([x[i] for x in out], t) for i, (k, t) in enumerate(kinds.items())})
 
-        bands = left.mapInArrow(cut, MEMBER_SCHEMA + ", core bigint, check bigint, own bigint")
+        bands = settle(left.mapInArrow(cut, MEMBER_SCHEMA + ", core bigint, check bigint, own bigint"), "cut")
+        texts_of = settle(
+            bands.groupBy("core", "check", "own").agg(
+                F.sum("copies").alias("times"), F.min(F.struct("t1", "t2", "place")).alias("stands")
+            ),
+            "band-texts",
+        )
         cores = settle(
-            bands.groupBy("core", "check").agg(F.sum("copies").alias("all"), F.min("own").alias("low"), F.max("own").alias("high"))
-            .where(F.col("all") > 1).select("core", "check", (F.col("low") == F.col("high")).alias("same")),
+            texts_of.groupBy("core", "check").agg(F.sum("times").alias("all"), (F.count("*") > 1).alias("several"))
+            .where(F.col("all") > 1).drop("all"),
             "cores",
         )
-        met = settle(bands.join(cores, ["core", "check"]), "bands")
-        sure = met.where(F.col("same") & (F.col("copies") == 1)).select(
+        met = settle(bands.join(texts_of.join(cores, ["core", "check"]), ["core", "check", "own"]), "bands")
+        sure = met.where((F.col("times") > 1) & (F.col("copies") == 1)).select(
             "t1", "t2", (F.col("place") - F.col("far")).alias("first"), (F.col("place") - F.col("near")).alias("last")
         )
         found = sure if found is None else found.union(sure)
-        left = met.where(~F.col("same")).select(*MEMBER)
+        # On go the only ones of their text, and one for each text that occurs again.
+        one = (F.col("times") == 1) | (F.struct("t1", "t2", "place") == F.col("stands"))
+        left = met.where(F.col("several") & one).withColumn("copies", F.least("times", F.lit(2)).cast("int")).select(*MEMBER)
     return found
 
 
