@@ -191,12 +191,28 @@ def identify(
     return found.withColumnsRenamed({"__lid_pred": "lang_pred", "__lid_score": "score"})
 
 
-def reject(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.3) -> DataFrame:
-    """The rows, all columns, whose text is in a learned language with at least score ``least``.
+def reject(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    rare: float = 0.001,
+    lowest: float = 0.51,
+    highest: float = 0.55,
+) -> DataFrame:
+    """The rows, all columns, whose text is like a learned language.
 
-    The fit learns from all labelled rows within its bounds.  Rows stay as they are.
+    The model has no bias, so a text that shares nothing with any language scores 0.5, and one that shares letters
+    but not their sequences scores less.  A text stays if its score reaches the ``rare`` quantile of the scores of
+    all labelled texts, which is held between ``lowest`` and ``highest``: labelled noise can't lower it to the score of
+    unlike texts, and texts well above that are never lost.  The fit learns from all labelled rows within its
+    bounds.  Rows stay as they are.
     """
     prepared(docs.sparkSession)
     model = fit(docs, F.lit(True), text_col=text_col, lang_col=lang_col, id_col=id_col)
+    labelled = predicted(docs.where(docs[lang_col].isNotNull()), model, text_col, []).where(F.col("__lid_pred") != NO_LANGUAGE)
+    quantile = labelled.agg(F.percentile_approx("__lid_score", rare, 10_000).alias("x")).first()["x"]
+    least = min(max(lowest if quantile is None else quantile, lowest), highest)
     scored = predicted(docs, model, text_col, [docs[c] for c in docs.columns])
     return scored.where((F.col("__lid_pred") != NO_LANGUAGE) & (F.col("__lid_score") >= least)).select(*docs.columns)

@@ -1,6 +1,7 @@
 """The stages in a row, and the contract's registration."""
 
 import hashlib
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -64,3 +65,19 @@ def test_clean_documents_pass_the_language_stage(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     kept = language.reject(docs)
     assert docs.join(kept, "doc_id", "left_anti").where(F.length("text") > 40).count() == 0
+
+
+def test_texts_of_unlearned_languages_are_rejected(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rng = random.Random(3)
+    unlike = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. " * 3,
+        "มนุษย์ทั้งหลายเกิดมามีอิสระและเสมอภาคกันในเกียรติศักดิ์และสิทธิ " * 3,
+        "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心。" * 3,
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem. " * 2,
+        " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(300)),
+    ]
+    planted = spark.createDataFrame([(-1 - i, t, None, "x", len(t)) for i, t in enumerate(unlike)], docs.schema)
+    kept = language.reject(docs.unionByName(planted))
+    assert kept.where("doc_id < 0").count() == 0
+    assert docs.join(kept, "doc_id", "left_anti").where(F.length("text") > 40).count() == 0
