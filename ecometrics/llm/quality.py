@@ -3,12 +3,16 @@
 A language's reference is two histograms over all its documents: classes of characters, and its most
 common words (one more bin for all other words).  A document's own histograms are compared with
 every reference by the Jensen-Shannon distance (square root of the divergence in bits, 0 to 1); the
-nearest reference counts, so no label is needed to judge a text.  Texts below a minimum number of
-words are not judged by distance, because short histograms are far from any reference by chance.
+nearest reference counts, by both histograms together, so no label is needed to judge a text.  Texts
+below a minimum number of words are not judged by distance, because short histograms are far from
+any reference by chance.  For the same reason the distance of a short clean text is not below that of a
+text without common words (0.5 where they are 42 of 100 words), so that is judged by the share of
+common words instead.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,6 +44,7 @@ def _class_of_bytes() -> np.ndarray:
 CLASS_OF = _class_of_bytes()
 ODD = np.uint64(0x9E3779B97F4A7C15)
 WINDOW = 5
+CLASS_LIMIT, WORD_LIMIT, LEAST_COMMON = 0.3, 0.56, 0.25
 
 
 def class_counts(text: bytes) -> np.ndarray:
@@ -103,17 +108,32 @@ class References:
         counts[-1] = total - counts[:-1].sum()
         return counts
 
-    def distances(self, text: bytes, words: list[bytes]) -> tuple[float, float]:
-        """To the nearest reference, by characters and by words."""
+    def nearest(
+        self, text: bytes, words: list[bytes], class_limit: float, word_limit: float, least_common: float
+    ) -> tuple[float, float, bool]:
+        """Distances by characters and by words to one language, and whether it has enough of the words.
+
+        The language is the one of least excess over the limits, among those that have enough of the words if any has.
+        """
         if not self.languages or not words:
-            return 0.0, 0.0
-        by_class = shannon_distance(class_counts(text).astype(float), self.classes).min()
+            return 0.0, 0.0, True
+        by_class = shannon_distance(class_counts(text).astype(float), self.classes)
         lowered = Counter(map(bytes.lower, words))
-        by_word = min(
-            shannon_distance(self.word_counts(i, lowered, len(words)), self.common[i : i + 1])[0]
-            for i in range(len(self.languages))
-        )
-        return float(by_class), float(by_word)
+        found = []
+        for i in range(len(self.languages)):
+            counts, common = self.word_counts(i, lowered, len(words)), self.common[i]
+            by_word = float(shannon_distance(counts, common[None, :])[0])
+            expected = len(words) * (1 - common[-1] / max(common.sum(), 1))
+            enough = counts[:-1].sum() >= math.floor(least_common * expected)
+            found.append((not enough, max(by_class[i] / class_limit, by_word / word_limit), float(by_class[i]), by_word))
+        few, _, class_distance, word_distance = min(found)
+        return class_distance, word_distance, not few
+
+    def distances(
+        self, text: bytes, words: list[bytes], class_limit: float = CLASS_LIMIT, word_limit: float = WORD_LIMIT, least_common: float = LEAST_COMMON
+    ) -> tuple[float, float]:
+        """To the nearest reference, by characters and by words."""
+        return self.nearest(text, words, class_limit, word_limit, least_common)[:2]
 
 
 def references(docs: DataFrame, text_col: str, lang_col: str, languages: int, words: int) -> References:
@@ -171,14 +191,16 @@ def judge(
     languages: int = 32,
     words: int = 200,
     least_words: int = 50,
-    class_limit: float = 0.3,
-    word_limit: float = 0.56,
+    class_limit: float = CLASS_LIMIT,
+    word_limit: float = WORD_LIMIT,
+    least_common: float = LEAST_COMMON,
 ) -> DataFrame:
     """Per row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
     class_distance, word_distance.
 
     base_failed: fewer than 10 words, or over 20 of 100 words in repeated windows.  kept: not base_failed, and
-    either fewer than ``least_words`` words or both distances within their limits.  Null text has no words
+    either fewer than ``least_words`` words, or for one and the same language both distances within their limits and
+    at least ``least_common`` of the share of common words that the language's documents have.  Null text has no words
     (base_failed); without any labelled text distances are 0; null and repeated ids are kept row by row;
     an empty table gives no rows; other columns are not read.
     """
@@ -197,8 +219,8 @@ def judge(
                 chars = int(classes.sum() - classes[CLASSES.index("white space")])
                 repeats = repeated_words(split)
                 failed = n < 10 or 100 * repeats > 20 * n
-                by_class, by_word = known.distances(text, split)
-                kept = not failed and (n < least_words or (by_class <= class_limit and by_word <= word_limit))
+                by_class, by_word, enough = known.nearest(text, split, class_limit, word_limit, least_common)
+                kept = not failed and (n < least_words or (enough and by_class <= class_limit and by_word <= word_limit))
                 out.append((n, chars, symbols, repeated_lines(text), repeats, failed, kept, by_class, by_word))
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
             columns = [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)]

@@ -493,6 +493,31 @@ def test_divergence_verdicts(found, spark, docs):
     assert all(r.kept for r in good if not r.base_failed)
 
 
+def test_texts_without_common_words_fail(spark):
+    """Random letter strings with normal punctuation, beside documents of which the clean ones stay."""
+    rng = random.Random(8)
+
+    def gibberish(n):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(n)]
+        return " ".join(w.capitalize() + ("." if i % 9 == 8 else "") if i % 9 in (0, 8) else w for i, w in enumerate(words))
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    planted = spark.createDataFrame([(-n, gibberish(n), None, "x", 0) for n in (60, 150, 600, 3000)], docs.schema)
+    rows = {r.doc_id: r for r in quality.judge(docs.unionByName(planted)).collect()}
+    assert not any(rows[-n].kept or rows[-n].base_failed for n in (60, 150, 600, 3000))
+    good = [r.doc_id for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect() if r.quality == 1]
+    assert all(rows[i].kept for i in good if i in rows and not rows[i].base_failed)
+
+
+def test_both_distances_are_to_one_language():
+    """Characters of one language with the words of another are near neither."""
+    known = quality.References({"a": ["aa", "bb"], "b": ["55", "66"]})
+    known.classes[:, 1], known.classes[:, 3] = [100, 0], [0, 100]
+    known.common[:] = [[50, 50, 1], [50, 50, 1]]
+    by_class, by_word = known.distances(b"5566", [b"aa", b"bb"] * 50)
+    assert max(by_class / quality.CLASS_LIMIT, by_word / quality.WORD_LIMIT) > 1
+
+
 def test_shannon_distance_is_bounded():
     p, q = np.array([1.0, 0, 0]), np.array([[0.0, 2, 2], [5, 0, 0], [0, 0, 0]])
     assert quality.shannon_distance(p, q)[:2].tolist() == [1.0, 0.0]
