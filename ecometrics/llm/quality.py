@@ -18,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ecometrics.llm.common import frequent_items, prepared, texts
+from ecometrics.llm.common import prepared, texts
 
 SYMBOLS = b"#*$%&|<>"
 CLASSES = ("white space", "lower case", "upper case", "digit", "sentence mark", "symbol", "other sign", "beyond ASCII")
@@ -136,49 +136,75 @@ class References:
         return self.nearest(text, words, class_limit, word_limit, least_common)[:2]
 
 
+def label_words(rows: DataFrame, flush: int = 200_000) -> DataFrame:
+    """(lang, word, n) over all rows of ``lang`` and ``text``; tasks send partial counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, Counter] = {}
+        held = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, found in counts.items():
+                yield pa.RecordBatch.from_pydict({
+                    "lang": pa.array([lang] * len(found), pa.string()), "word": pa.array(list(found), pa.binary()).cast(pa.string()),
+                    "n": pa.array(list(found.values()), pa.int64()),
+                })
+
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), texts(batch)):
+                known = counts.setdefault(lang, Counter())
+                held -= len(known)
+                known.update(text.lower().split())
+                held += len(known)
+                if held > flush:
+                    yield from out()
+                    counts.clear()
+                    held = 0
+        yield from out()
+
+    return rows.mapInArrow(run, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
 def references(docs: DataFrame, text_col: str, lang_col: str, languages: int, words: int) -> References:
-    """Two passes over all documents with a label: the common words, then exact counts of the bins.
+    """Exact counts over all documents with a label: the common words of each, then the bins.
 
-    At most ``languages`` labels (those with most words among frequent words) have a reference, each with
-    at most ``words`` bins, so what the driver gets is bounded whatever the input.
+    Every label has a reference with at most ``words`` bins, for words that occur twice or more; the bins of ``languages`` labels are counted in one
+    pass, so a task's partial sums are bounded whatever the number of labels.
     """
     rows = docs.where(docs[lang_col].isNotNull() & docs[text_col].isNotNull()).select(
         docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text")
     )
-    labelled = rows.select(F.concat("lang", F.lit("\0"), "text").alias("x"))
-
-    def split(labelled_text: str) -> list[str]:
-        lang, _, text = labelled_text.partition("\0")
-        return [f"{lang}\0{w.decode()}" for w in text.encode().lower().split()]
-
-    found: dict[str, list[str]] = {}
-    for item in frequent_items(labelled, split, 32 * words):
-        lang, _, word = item.partition("\0")
-        if lang in found or len(found) < languages:
-            found.setdefault(lang, [])
-            if len(found[lang]) < words:
-                found[lang].append(word)
+    found: dict[str, list[str]] = {row["lang"]: [] for row in rows.select("lang").distinct().collect()}
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    for row in label_words(rows).where(F.col("n") > 1).withColumn("rank", rank).where(F.col("rank") <= words).orderBy("lang", "rank").collect():
+        found[row["lang"]].append(row["word"])
     out = References(found)
-    index = {x: i for i, x in enumerate(out.languages)}
     cells = len(CLASSES) + out.width
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(index), cells), np.int64)
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), texts(batch)):
-                if lang in index:
-                    i, split_text = index[lang], text.lower().split()
-                    sums[i, : len(CLASSES)] += class_counts(text)
-                    sums[i, len(CLASSES) :] += out.word_counts(i, Counter(split_text), len(split_text)).astype(np.int64)
-        lang, cell = np.nonzero(sums)
-        yield pa.RecordBatch.from_pydict({"lang": lang.astype(np.int64), "cell": cell.astype(np.int64), "n": sums[lang, cell]})
-
-    counted = rows.mapInArrow(count, "lang bigint, cell bigint, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    for row in counted.collect():  # at most languages x cells rows
-        if row["cell"] < len(CLASSES):
-            out.classes[row["lang"], row["cell"]] = row["n"]
-        else:
-            out.common[row["lang"], row["cell"] - len(CLASSES)] = row["n"]
+    def counter(index: dict[str, int]):
+        first = min(index.values())
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((len(index), cells), np.int64)
+            for batch in batches:
+                for lang, text in zip(batch.column("lang").to_pylist(), texts(batch)):
+                    if lang in index:
+                        i, split_text = index[lang], text.lower().split()
+                        sums[i - first, : len(CLASSES)] += class_counts(text)
+                        sums[i - first, len(CLASSES) :] += out.word_counts(i, Counter(split_text), len(split_text)).astype(np.int64)
+            lang, cell = np.nonzero(sums)
+            yield pa.RecordBatch.from_pydict({"lang": (lang + first).astype(np.int64), "cell": cell.astype(np.int64), "n": sums[lang, cell]})
+
+        return count
+
+    for at in range(0, len(out.languages), languages):
+        index = {x: at + i for i, x in enumerate(out.languages[at : at + languages])}
+        counted = rows.mapInArrow(counter(index), "lang bigint, cell bigint, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+        for row in counted.toLocalIterator():  # at most languages x cells rows
+            if row["cell"] < len(CLASSES):
+                out.classes[row["lang"], row["cell"]] = row["n"]
+            else:
+                out.common[row["lang"], row["cell"] - len(CLASSES)] = row["n"]
     return out
 
 

@@ -509,6 +509,23 @@ def test_texts_without_common_words_fail(spark):
     assert all(rows[i].kept for i in good if i in rows and not rows[i].base_failed)
 
 
+def test_every_label_has_a_reference(spark):
+    """A hot label, a rare one without blanks, and more labels than one pass counts."""
+    rng = random.Random(9)
+    hot = [" ".join(f"w{rng.randrange(20_000)}" for _ in range(400)) for _ in range(60)]
+    signs = [chr(x) for x in range(0x4E00, 0x4E00 + 500)]
+    rare = [" ".join("".join(rng.choice(signs) for _ in range(8)) for _ in range(60)) for _ in range(4)]
+    rows = [("hot", t) for t in hot] + [("rare", t) for t in rare] + [(f"l{i}", f"word{i} " * 3) for i in range(40)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, lang string, text string")
+    known = quality.references(df, "text", "lang", 32, 200)
+    assert known.languages == sorted({lang for lang, _ in rows}) and (known.classes.sum(axis=1) > 0).all()
+    words = Counter(w for t in hot for w in t.split())
+    best = sorted(words, key=lambda w: (-words[w], w))[:200]
+    assert list(known.bins[known.languages.index("hot")]) == [w.encode() for w in best]
+    verdicts = {r.doc_id: r.kept for r in quality.judge(df).collect()}
+    assert all(verdicts[60 + i] for i in range(4))
+
+
 def test_both_distances_are_to_one_language():
     """Characters of one language with the words of another are near neither."""
     known = quality.References({"a": ["aa", "bb"], "b": ["55", "66"]})
