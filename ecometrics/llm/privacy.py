@@ -98,9 +98,9 @@ def surroundings(text: str, spans: list[tuple[int, int, int]], reach: int) -> It
 def disclosing_terms(
     rows: DataFrame, *, reach: int, support: int, share: float, bits: float, flush: int = 250_000
 ) -> DataFrame:
-    """(term): those that disclose some entity; counts are taken over all rows of ``text``.
+    """(term): those that disclose some entity; counts are taken over all distinct texts.
 
-    ``support``: distinct surroundings of the entity that have the term; ``share``: of the documents with the
+    ``support``: distinct surroundings of the entity that have the term; ``share``: of the distinct texts with the
     term, the least part that these surroundings make up; ``bits``: least pointwise mutual information.
     """
 
@@ -144,7 +144,9 @@ def disclosing_terms(
     beside = settle(rows.mapInArrow(mentions, "entity string, term string, place bigint").distinct(), "mentions")
     pairs = settle(beside.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support), "pairs")
     of_entity = beside.select("entity", "place").distinct().groupBy("entity").agg(F.count("*").alias("entity_n"))
-    seen = settle(rows.mapInArrow(frequencies, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("term_n")), "terms")
+    # Copies of a text have the same surroundings, so they count once here too.
+    once = rows.select("text").distinct()
+    seen = settle(once.mapInArrow(frequencies, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("term_n")), "terms")
     documents = seen.where(F.col("term").isNull()).agg(F.coalesce(F.sum("term_n"), F.lit(0)).alias("n")).first()["n"]
     information = F.log2(F.col("both") * F.lit(float(documents)) / (F.col("term_n") * F.col("entity_n")))
     return (

@@ -603,6 +603,13 @@ def test_terms_that_disclose_are_found_everywhere(leaks):
     assert marked == {"zarquon": 7}
 
 
+def test_copies_leave_the_disclosing_terms_unchanged(spark, leaks):
+    limits = {x: privacy.LIMITS[x] for x in ("reach", "support", "share", "bits")}
+    copied = leaks.crossJoin(spark.range(10)).select("text")
+    found = [sorted(r.term for r in privacy.disclosing_terms(rows, **limits).collect()) for rows in (leaks.select("text"), copied)]
+    assert found == [["zarquon"]] * 2
+
+
 def test_spans_give_way_to_their_kind(leaks):
     out = {r.doc_id: r.text for r in privacy.sanitise(leaks).collect()}
     assert "[TERM], the meeting [EMAIL]" in out[0] and "zarquon" not in str(out).lower() and "@" not in str(out)
