@@ -27,18 +27,24 @@ PIVOTS = np.random.default_rng(64).integers(0, 2**64, 24, dtype=np.uint64)
 SMALL_BUCKET = 32
 
 
-def fingerprint(text: bytes, words_per_shingle: int = 4) -> int:
-    """64 bits: set where over half of the shingles' hashes have it; 0 without words."""
-    words = text.lower().split()  # of bytes: lowers A-Z alone
-    if not words:
-        return 0
+def shingle_hashes(words: list[bytes], words_per_shingle: int) -> np.ndarray:
+    """A hash of each run of ``words_per_shingle`` words; fewer words make one run."""
     joined = b" ".join(words)
     n = max(1, len(words) - words_per_shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = (ends - np.fromiter(map(len, words), np.int64, len(words)) - 1)[:n].tolist()
     stops = (ends[min(len(words), words_per_shingle) - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops)], np.uint64)
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops)], np.uint64)
+
+
+def fingerprint(text: bytes, words_per_shingle: int = 4) -> int:
+    """64 bits: set where over half of the shingles' hashes have it; 0 without words."""
+    words = text.lower().split()  # of bytes: lowers A-Z alone
+    if not words:
+        return 0
+    hashes = shingle_hashes(words, words_per_shingle)
+    n = len(hashes)
     ones = np.zeros(64, np.int64)
     for at in range(0, n, 65536):
         part = hashes[at : at + 65536].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -190,13 +196,8 @@ def near_duplicates(
     )
 
 
-def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
-    """One row, all columns, of each group of near-duplicates: the one of the least id.
+def keep_first(docs: DataFrame, **limits) -> DataFrame:
+    """One row of each group of near copies; see ``near_copies``, whose links are wider than op9's and verified."""
+    from ecometrics.llm import near_copies
 
-    Rows that share an id are one document, of which one row stays.  Rows without an id can't be told by it:
-    among them one of each text stays.
-    """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **limits)
-    first = settle(found.select(F.col("component_id").alias("__first_id")).distinct(), "kept")
-    with_id = docs.join(first, docs[id_col] == F.col("__first_id"), "left_semi").dropDuplicates([id_col])
-    return with_id.unionByName(docs.where(docs[id_col].isNull()).dropDuplicates([text_col]))
+    return near_copies.keep_first(docs, **limits)

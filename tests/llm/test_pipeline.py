@@ -81,3 +81,31 @@ def test_texts_of_unlearned_languages_are_rejected(spark):
     kept = language.reject(docs.unionByName(planted))
     assert kept.where("doc_id < 0").count() == 0
     assert docs.join(kept, "doc_id", "left_anti").where(F.length("text") > 40).count() == 0
+
+
+def test_near_copies_against_brute_force(spark):
+    """Edited copies at similarities around 0.8, and rows that share an id or have none."""
+    rng = random.Random(5)
+    texts = []
+    for _ in range(40):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 300))]
+        texts.append(" ".join(words))
+        for _ in range(rng.randint(0, 4)):
+            copy = list(words)
+            for _ in range(rng.randint(1, max(1, len(words) // 25))):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(5000)}"
+            texts.append(" ".join(copy))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    group = list(range(len(texts)))
+    pairs = [(i, j) for j in range(len(texts)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for _ in texts:
+        for i, j in pairs:
+            group[i] = group[j] = min(group[i], group[j])
+    ids = [7 if i in (0, len(texts) - 1) else None if i % 9 == 5 else 100 + i for i in range(len(texts))]
+    rows = list(zip(ids, texts))
+    expected = {}
+    for row, g in zip(rows, group):
+        expected.setdefault(g, []).append(row)
+    best = [min(x, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5(r[1].encode()).hexdigest())) for x in expected.values()]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert Counter(map(tuple, simhash.keep_first(df).collect())) == Counter(best)
