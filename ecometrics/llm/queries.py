@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecometrics.llm import bpe, language, lm, mixing, order_minhash, privacy, quality, repeats, simhash, token_counts
+from ecometrics.llm import bpe, language, lm, mixing, order_minhash, privacy, quality, repeats, simhash, spelling, token_counts
 from ecometrics.llm.common import documents
 
 
@@ -56,6 +56,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm": op8_lm,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
+    "op13_spelling": op13_spelling,
 }
 
 SQL: dict[str, str] = {"op1_mixing": mixing.SQL}
