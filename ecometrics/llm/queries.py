@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecometrics.llm import bpe, language, lm, mixing, order_minhash, privacy, quality, repeats, simhash, spelling, token_counts
-from ecometrics.llm.common import documents
+from ecometrics.llm import bpe, language, lm, mixing, order_minhash, privacy, quality, repeats, simhash, spelling, token_counts, vector_codes
+from ecometrics.llm.common import documents, prepared
+from ecometrics.session import input_bytes, tune
 
 
 def tokenizer_path(name: str) -> str:
@@ -56,6 +57,12 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{folder}/embeddings.parquet"
+    tune(prepared(spark), input_bytes(spark, path))
+    return vector_codes.compress(spark.read.parquet(path))
+
+
 def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.group_variants(documents(spark, folder))
 
@@ -71,7 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm": op8_lm,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
+    "op11_vector_codes": op11_vector_codes,
     "op13_spelling": op13_spelling,
 }
 
-SQL: dict[str, str] = {"op1_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op1_mixing": mixing.SQL, "op11_vector_codes": vector_codes.SQL}
