@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecometrics.llm import bpe, language, lm, mixing, order_minhash, privacy, quality, repeats, simhash, spelling, token_counts, vector_codes
+from ecometrics.llm import (
+    bpe, language, lm, mixing, order_minhash, privacy, quality, repeats, secrets, simhash, spelling, token_counts, vector_codes,
+)
 from ecometrics.llm.common import documents, prepared
 from ecometrics.session import input_bytes, tune
 
@@ -63,6 +65,10 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.compress(spark.read.parquet(path))
 
 
+def op12_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(documents(spark, folder))
+
+
 def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.group_variants(documents(spark, folder))
 
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
     "op11_vector_codes": op11_vector_codes,
+    "op12_secrets": op12_secrets,
     "op13_spelling": op13_spelling,
 }
 
