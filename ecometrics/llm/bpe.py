@@ -18,6 +18,7 @@ import struct
 import tempfile
 import uuid
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -32,6 +33,7 @@ CHUNK = re.compile(f"[^{SPACE}]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")
 # Of these characters every Unicode version says the same: composed already, lower case one by one.
 PLAIN = re.compile("[\x00-\x1b\x20-\u012f\u0131-\u017f]*")
+SHORT_WORD = 64  # characters up to which a plain loop is the faster way to merge
 
 
 def chunks_of(text: str) -> list[str]:
@@ -71,11 +73,18 @@ class Vocabulary:
         steps = declared["pre_tokenizer"]["pretokenizers"]
         self.pattern = regex.compile(steps[0]["pattern"]["Regex"])
 
+    def is_plain(self, text: str) -> bool:
+        """Of plain characters and without special tokens, so that the file's own pattern finds the words."""
+        return bool(PLAIN.fullmatch(text)) and not (self.cut and self.cut.search(text))
+
+    def spelled(self, found: str) -> str:
+        """A match of the pattern in the model's alphabet."""
+        return found if found.isascii() else found.encode().decode("latin-1").translate(self.letters)
+
     def words(self, chunk: str) -> list[str | int]:
         """The words of a chunk without white space, in the model's alphabet; a special token as its id."""
-        if PLAIN.fullmatch(chunk) and not (self.cut and self.cut.search(chunk)):
-            found = self.pattern.findall(chunk.lower())
-            return found if chunk.isascii() else [x.encode().decode("latin-1").translate(self.letters) for x in found]
+        if self.is_plain(chunk):
+            return [self.spelled(x) for x in self.pattern.findall(chunk.lower())]
         out: list[str | int] = []
         for part in self.cut.split(chunk) if self.cut else [chunk]:
             if part in self.special:
@@ -87,6 +96,11 @@ class Vocabulary:
     def merge(self, word: str) -> list[int]:
         """Apply the merge of lowest rank, leftmost first, until none is left."""
         parts = [*word[:-1], word[-1] + self.end]
+        parts = self.merge_short(parts) if len(parts) <= SHORT_WORD else self.merge_long(parts)
+        return [self.ids[x] for x in parts if x in self.ids]
+
+    def merge_short(self, parts: list[str]) -> list[str]:
+        """By looking through all pairs for each merge."""
         rank, none = self.ranks.get, len(self.ranks)
         ranks = [rank(pair, none) for pair in zip(parts, parts[1:])]
         while ranks:
@@ -100,7 +114,32 @@ class Vocabulary:
                 ranks[i] = rank((parts[i], parts[i + 1]), none)
             if i:
                 ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
-        return [self.ids[x] for x in parts if x in self.ids]
+        return parts
+
+    def merge_long(self, parts: list[str]) -> list[str]:
+        """The same in n log n steps for n characters.
+
+        Parts are linked to their neighbours and possible merges wait in a heap; an entry whose parts have changed
+        since is passed over.
+        """
+        rank, last = self.ranks.get, len(parts)
+        after, before = [*range(1, last), -1], [*range(-1, last - 1)]
+        waiting = [(r, i, pair) for i, pair in enumerate(zip(parts, parts[1:])) if (r := rank(pair)) is not None]
+        heapify(waiting)
+        while waiting:
+            _, i, (left, right) = heappop(waiting)
+            j = after[i]
+            if j < 0 or parts[i] != left or parts[j] != right:
+                continue
+            parts[i], parts[j], after[i] = left + right, "", after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+            for a in (before[i], i):
+                if a >= 0 and after[a] >= 0:
+                    pair = (parts[a], parts[after[a]])
+                    if (r := rank(pair)) is not None:
+                        heappush(waiting, (r, a, pair))
+        return [x for x in parts if x]
 
 
 def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
@@ -168,23 +207,18 @@ class Lexicon:
         for size in sizes:
             blocks.append(numbers[at : at + size])
             at += size
-        self.first, self.finals, self.label, self.target, self.passed, self.offsets, self.ids = blocks
+        self.first, self.finals, label, self.target, self.passed, self.offsets, self.ids = blocks
+        self.label = bytes(label.tolist())  # one byte an arc, which is searched for in a state's arcs
 
     def __getitem__(self, word: str) -> list[int] | None:
         state, place = self.root, 0
-        first, label, target, passed = self.first, self.label, self.target, self.passed
+        first, find, target, passed = self.first, self.label.find, self.target, self.passed
         for byte in word.encode():
-            low, high = first[state], first[state + 1]
-            while low < high:
-                middle = (low + high) // 2
-                if label[middle] < byte:
-                    low = middle + 1
-                else:
-                    high = middle
-            if low == first[state + 1] or label[low] != byte:
+            arc = find(byte, first[state], first[state + 1])
+            if arc < 0:
                 return None
-            place += passed[low]
-            state = target[low]
+            place += passed[arc]
+            state = target[arc]
         if not self.finals[state]:
             return None
         return list(self.ids[self.offsets[place] : self.offsets[place + 1]])
@@ -209,15 +243,16 @@ class Recent(dict):
 
 
 class Coder:
-    """A worker's encoder: a chunk's (number of ids, ids as text, tokens as text), cached, over cached words.
+    """A worker's encoder over cached words: of each the number of ids, ids as text, tokens as text.
 
-    A chunk of one word holds that word's own entry, so the larger cache of chunks costs little more than its keys.
+    Most texts are plain and split at once by the file's pattern; others go chunk by chunk.  The cache is keyed by what
+    was split off: a match of the pattern, or for chunks that are not plain the word in the model's alphabet.
     """
 
     def __init__(self, path: str, lexicon_path: str, cache_items: int):
         self.vocabulary, self.lexicon = Vocabulary(path), Lexicon(lexicon_path)
-        self.words = Recent(cache_items // 2, self.code_word)
-        self.known = Recent(cache_items, self.code_chunk)
+        self.plain = Recent(cache_items, lambda found: self.code_word(self.vocabulary.spelled(found)))
+        self.others = Recent(cache_items // 8, self.code_chunk)
 
     def code_ids(self, ids: list[int]) -> tuple[int, str, str]:
         return len(ids), " ".join(map(str, ids)), " ".join(map(self.vocabulary.tokens.__getitem__, ids))
@@ -230,20 +265,28 @@ class Coder:
         return self.code_ids(self.vocabulary.merge(word) if found is None else found)
 
     def code_chunk(self, chunk: str) -> tuple[int, str, str]:
-        parts = [self.words[word] for word in self.vocabulary.words(chunk)]
-        if len(parts) == 1:
-            return parts[0]
-        return sum([x[0] for x in parts]), " ".join([x[1] for x in parts if x[0]]), " ".join([x[2] for x in parts if x[0]])
+        return combined([self.code_word(word) for word in self.vocabulary.words(chunk)])
 
     def code(self, text: str) -> tuple[int, str, str]:
         """The same for a whole text."""
-        parts = list(map(self.known.__getitem__, chunks_of(text)))
-        if not parts:
-            return 0, "", ""
-        sizes, ids, tokens = zip(*parts)
-        if 0 in sizes:
-            ids, tokens = filter(None, ids), [x[2] for x in parts if x[0]]
-        return sum(sizes), " ".join(ids), " ".join(tokens)
+        if self.vocabulary.is_plain(text):
+            return combined(list(map(self.plain.__getitem__, self.vocabulary.pattern.findall(text.lower()))))
+        parts = []
+        for chunk in chunks_of(text):
+            if self.vocabulary.is_plain(chunk):
+                parts += map(self.plain.__getitem__, self.vocabulary.pattern.findall(chunk.lower()))
+            else:
+                parts.append(self.others[chunk])
+        return combined(parts)
+
+
+def combined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
+    if not parts:
+        return 0, "", ""
+    sizes, ids, tokens = zip(*parts)
+    if 0 in sizes:
+        ids, tokens = filter(None, ids), [x[2] for x in parts if x[0]]
+    return sum(sizes), " ".join(ids), " ".join(tokens)
 
 
 def _coder(path: str, name: str, cache_items: int) -> Coder:
@@ -277,7 +320,7 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     words: int = 8192,
-    cache_items: int = 400_000,
+    cache_items: int = 600_000,
     ids: bool = False,
 ) -> DataFrame:
     """Per row: id, n_tokens, ids_sha256, decoded_sha256, and with ``ids`` the ids and the decoded text.
