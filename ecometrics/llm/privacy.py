@@ -12,11 +12,13 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = ".,;:!?\"'()[]{}"
+SHORTEST = 4  # letters of a term; words with digits, hyphens or fewer letters are never terms
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -71,6 +74,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+class Taken:
+    """The places of base spans, asked for overlaps in logarithmic time."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        placed = sorted((a, b) for k, a, b in spans if k < 4)
+        self.starts = [a for a, _ in placed]
+        self.reach = list(accumulate((b for _, b in placed), max))  # greatest end so far
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.reach[before - 1] > start
+
+
 def entity(kind: int, found: str) -> str:
     """What names the same entity however it is written."""
     return f"{KINDS[kind]}:" + (found.lower() if kind < 2 else re.sub("[^0-9]", "", found))
@@ -79,7 +95,7 @@ def entity(kind: int, found: str) -> str:
 def term(word: str) -> str | None:
     """A word without punctuation at its ends, if it is made of letters and not too short to tell anything."""
     word = word.strip(EDGES).lower()
-    return word if len(word) >= 4 and word.isalpha() else None
+    return word if len(word) >= SHORTEST and word.isalpha() else None
 
 
 def surroundings(text: str, spans: list[tuple[int, int, int]], reach: int) -> Iterator[tuple[str, str, int]]:
@@ -119,23 +135,31 @@ def disclosing_terms(
                 "place": pa.array([x[2] for x in found], pa.int64()),
             })
 
+    def term_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(digest of the text, its terms packed), a quarter of the text's size; the digests are of 128 bits."""
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            out: dict[bytes, bytes] = {}
+            for text in texts(batch):
+                digest = hashlib.blake2b(text, digest_size=16).digest()
+                if digest not in out:
+                    stripped = {w.strip(EDGES) for w in set(text.decode().lower().split())}
+                    out[digest] = pack(" ".join(w for w in stripped if len(w) >= SHORTEST and w.isalpha()).encode())
+            yield pa.RecordBatch.from_pydict({"digest": pa.array(list(out), pa.binary()), "terms": pa.array(list(out.values()), pa.binary())})
+
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Partial document frequencies of all terms and, as the null term, the number of documents."""
-        counts: Counter = Counter()
+        unpack, counts, documents = zstandard.ZstdDecompressor().decompress, Counter(), 0
 
         def out() -> pa.RecordBatch:
-            folded: Counter = Counter()
-            for word, n in counts.items():
-                folded[term(word)] += n
-            folded.pop(None, None)
+            batch = pa.RecordBatch.from_pydict({"term": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
             counts.clear()
-            return pa.RecordBatch.from_pydict({"term": pa.array(list(folded), pa.string()), "n": pa.array(list(folded.values()), pa.int64())})
+            return batch
 
-        documents = 0
         for batch in batches:
             documents += batch.num_rows
-            for text in texts(batch):
-                counts.update({w.strip(EDGES) for w in set(text.decode().lower().split())})
+            for packed in batch.column(0).to_pylist():
+                counts.update(unpack(packed).decode().split())
                 if len(counts) > flush:
                     yield out()
         yield out()
@@ -145,7 +169,7 @@ def disclosing_terms(
     pairs = settle(beside.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support), "pairs")
     of_entity = beside.select("entity", "place").distinct().groupBy("entity").agg(F.count("*").alias("entity_n"))
     # Copies of a text have the same surroundings, so they count once here too.
-    once = rows.select("text").distinct()
+    once = rows.mapInArrow(term_sets, "digest binary, terms binary").dropDuplicates(["digest"]).select("terms")
     seen = settle(once.mapInArrow(frequencies, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("term_n")), "terms")
     documents = seen.where(F.col("term").isNull()).agg(F.coalesce(F.sum("term_n"), F.lit(0)).alias("n")).first()["n"]
     information = F.log2(F.col("both") * F.lit(float(documents)) / (F.col("term_n") * F.col("entity_n")))
@@ -190,12 +214,12 @@ def located(
                     text = text.decode()
                     spans = base_spans(text) if first else [(x["kind"], x["start"], x["end"]) for x in before]
                     if known and not known.isdisjoint({w.strip(EDGES) for w in set(text.lower().split())}):
-                        taken = [(a, b) for k, a, b in spans if k < 4]
+                        taken = Taken(spans)
                         for match in WORDS.finditer(text):
                             if term(match.group()) in known:
                                 a = match.start() + len(match.group()) - len(match.group().lstrip(EDGES))
                                 b = match.end() - len(match.group()) + len(match.group().rstrip(EDGES))
-                                if not any(a < y and x < b for x, y in taken):
+                                if not taken.meets(a, b):
                                     spans.append((4, a, b))
                     out.append([{"kind": k, "start": a, "end": b} for k, a, b in sorted(spans)])
                 columns = [c for i, c in enumerate(batch.columns) if i != place]
@@ -244,7 +268,8 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **l
 def sanitise(docs: DataFrame, *, text_col: str = "text", size_col: str = "n_chars", **limits) -> DataFrame:
     """All rows and columns; in the text each span is replaced by its kind in brackets, overlapping ones together.
 
-    ``size_col``, if there is one, follows the changed text.  Null texts stay null.
+    ``size_col``, if there is one, follows the changed text.  Null texts stay null; repeated rows are changed alike
+    and all kept; an empty table gives no rows.
     """
     prepared(docs.sparkSession)
     found = located(docs, text_col, **{**LIMITS, **limits})
