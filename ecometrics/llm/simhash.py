@@ -169,6 +169,13 @@ def links(nodes: DataFrame, distance: int) -> DataFrame:
     return dealt.select("pair", "key", "fp").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def components_of(prints: DataFrame, distance: int) -> DataFrame:
+    """(fp, root): for every fingerprint the name of the group that links of at most ``distance`` bits connect."""
+    nodes = settle(prints.select("fp").distinct(), "nodes")
+    roots = components(settle(links(nodes, distance), "near"))
+    return settle(nodes.join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root")), "grouped")
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -185,19 +192,36 @@ def near_duplicates(
     """
     prepared(docs.sparkSession)
     prints = settle(fingerprints(docs, id_col, text_col, words_per_shingle), "fingerprints")
-    nodes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    roots = components(settle(links(nodes, distance), "near"))
-    grouped = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    grouped = settle(grouped, "grouped")
-    first = settle(grouped.groupBy("root").agg(F.min("first_id").alias("component_id")), "first")
+    grouped = components_of(prints, distance)
+    of_print = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    first = settle(of_print.join(grouped, "fp").groupBy("root").agg(F.min("first_id").alias("component_id")), "first")
     named = settle(grouped.join(first, "root").select(F.col("fp").alias("node"), "component_id"), "named")
     return prints.join(named, prints.fp == named.node).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_first(docs: DataFrame, **limits) -> DataFrame:
-    """One row of each group of near copies; see ``near_copies``, whose links are wider than op9's and verified."""
-    from ecometrics.llm import near_copies
+def keep_first(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words_per_shingle: int = 4,
+    distance: int = 4,
+) -> DataFrame:
+    """One row, all columns, of each group of ``near_duplicates``: the least by (id, digest of the text).
 
-    return near_copies.keep_first(docs, **limits)
+    Rows are told by id and text, so of rows that share an id the right one stays, and equal rows are one; rows
+    without an id come after those with one.  Null, empty and wordless texts have fingerprint zero and are one
+    group with whatever links to it; an empty table gives no rows.
+    """
+    prepared(docs.sparkSession)
+    text_digest = F.md5(F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary"))
+    keyed = docs.select(F.struct(docs[id_col].isNull().alias("none"), docs[id_col].alias("id"), text_digest.alias("digest")).alias("key"), docs[text_col].alias("text"))
+    prints = settle(fingerprints(keyed, "key", "text", words_per_shingle), "fingerprints")
+    of_print = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    grouped = components_of(prints, distance)
+    first = of_print.join(grouped, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = settle(first.select(F.col("first.id").alias("__first_id"), F.col("first.digest").alias("__first_digest")), "kept")
+    same = docs[id_col].eqNullSafe(F.col("__first_id")) & (text_digest == F.col("__first_digest"))
+    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])

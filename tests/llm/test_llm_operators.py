@@ -128,8 +128,8 @@ def test_stages_keep_columns_and_whole_rows(untidy, name):
     ids = [r[1] for r in after]
     if name == "reject":  # the letterless ones go
         assert sorted(map(str, ids)) == sorted(["1", "1", "6", "7", "None"])
-    if name == "keep_first":  # 2, 3 and 4 have no words, 1 is there twice
-        assert sorted(map(str, ids)) == sorted(["1", "2", "5", "6", "7", "None", "None"])
+    if name == "keep_first":  # 2, 3, 4 and a row without an id have no words, 1 is there twice
+        assert sorted(map(str, ids)) == sorted(["1", "2", "5", "6", "7", "None"])
     if name == "sanitise":
         assert len(after) == len(before)
 
