@@ -20,7 +20,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: five-word shingles that overlap by 0.8 or more connect documents."""
+    """One document of each group stays: SimHash fingerprints of four-word shingles at most four bits apart connect documents."""
     return simhash.keep_first(docs)
 
 
