@@ -10,25 +10,6 @@ from ecometrics.functions.text import as_column
 Operand = Column | str
 
 
-PARTS = 1e15
-
-
-def exact_sum(value: Operand) -> Column:
-    """Aggregate: the sum of doubles (below 9e18), the same in any order.
-
-    Whole parts and fractions (in units of 1e-15) are added up as decimals and
-    brought together at the end.
-    """
-    column = as_column(value)
-    whole = F.floor(column)
-    fraction = F.floor((column - whole) * F.lit(PARTS))
-    return joined_sum(F.sum(whole.cast("decimal(20,0)")), F.sum(fraction.cast("decimal(20,0)")))
-
-
-def joined_sum(whole: Column, fraction: Column) -> Column:
-    return whole.cast("double") + fraction.cast("double") / F.lit(PARTS)
-
-
 def zero_as_null(value: Operand) -> Column:
     return F.nullif(as_column(value), F.lit(0))
 

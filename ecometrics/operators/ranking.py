@@ -8,15 +8,18 @@ the local numbers into ranks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ecometrics.operators.exact import scaled_by
 from ecometrics.session import settle
 
-BUCKETS = 4096
+BUCKET_BITS = 12
+BUCKETS = 1 << BUCKET_BITS
+ROUNDS = (52, 40, 28, 16, 4, 0)  # the lowest bit that each round looks at; the last has four bits left
 SLOT_BITS = 33  # monotonically_increasing_id keeps the row number of a task in its low 33 bits
 
 
@@ -57,46 +60,90 @@ def descending(value: str, *ties: str) -> list[Column]:
     return [F.desc_nulls_last(value), *[F.col(tie).asc_nulls_first() for tie in ties]]
 
 
-def middle_values(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """(by..., low, high): the two middle values of each class (the same one for odd sizes), exactly and unsorted.
+def ordered_key(value: Column) -> Column:
+    """A long in the order of doubles: the bits of the size, negated below zero; -0.0 equals 0.0, NaN is the greatest.
 
-    Rows are counted per class and equal-width bucket between the extremes; the
-    bucket that holds the wanted rank is refined between its own extremes until
-    these agree.  A round is one aggregation, and a window over at most
-    ``BUCKETS`` rows per class.
+    Exponent and fraction are taken apart by exact scaling; the logarithm, which may be one off beside a power of
+    two, only proposes the exponent.
+    """
+    number = value.cast("double")
+    size = F.abs(number)
+    lifted = F.when(size < SMALLEST_NORMAL, size * 2.0**600).otherwise(size)
+    guess = F.floor(F.log2(lifted))
+    fraction = scaled_by(lifted, -guess)
+    exponent = guess + F.when(fraction >= 2, 1).when(fraction < 1, -1).otherwise(0)
+    normal = (exponent + 1023) * F.lit(1 << 52) + ((scaled_by(size, -exponent) - 1) * 2.0**52).cast("bigint")
+    subnormal = (size * 2.0**600 * 2.0**474).cast("bigint")
+    bits = (
+        F.when(F.isnan(number), INFINITE_BITS + 1).when(size == float("inf"), INFINITE_BITS).when(size == 0, 0)
+        .when(size < SMALLEST_NORMAL, subnormal).otherwise(normal)
+    ).cast("bigint")
+    return F.when(number.isNotNull(), F.when(number < 0, -bits).otherwise(bits))
+
+
+def of_key(key: Column) -> Column:
+    """The double of an ordered key."""
+    bits = F.abs(key)
+    exponent, fraction = F.shiftright(bits, 52), bits.bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
+    normal = scaled_by(F.lit(1.0) + fraction / 2.0**52, exponent - 1023)
+    size = F.when(exponent == 0, fraction / 2.0**537 / 2.0**537).otherwise(normal)
+    finite = F.when(key < 0, -size).otherwise(size)
+    return F.when(key > INFINITE_BITS, float("nan")).when(bits == INFINITE_BITS, F.when(key < 0, float("-inf")).otherwise(float("inf"))).otherwise(finite)
+
+
+SMALLEST_NORMAL = 2.0**-1022
+INFINITE_BITS = 2047 << 52
+
+
+def selected(df: DataFrame, by: Sequence[str], value: str, ranks: Callable[[Column], Sequence[Column]]) -> DataFrame:
+    """(by..., __side, value): of each class the values at the ranks (from 1) that ``ranks`` draws from its count.
+
+    Radix selection on ordered keys: rows are counted per class and the next 12 bits of the key, the bucket that
+    holds a rank is kept, and only rows with its prefix go on.  Six rounds settle any 64 bits whatever the values
+    are, all in one plan; a round is one scan and aggregation, and a window over at most ``BUCKETS`` rows per class
+    and rank.
     """
-    known = settle(df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("__value")), "known-values")
-    classes = [F.col(column).alias("__by_" + column) for column in by]
-    n = F.count(F.lit(1))
-    first = known.groupBy(*by).agg(
-        F.min("__value").alias("__low"), F.max("__value").alias("__high"),
-        F.array(F.floor((n + 1) / 2), F.ceil((n + 1) / 2)).alias("__ranks"),
-    )
-    goals = settle(first.select(*classes, F.posexplode("__ranks").alias("__side", "__rank"), "__low", "__high"), "goals")
+    known = df.filter(F.col(value).isNotNull()).select(*by, ordered_key(F.col(value)).alias("__key"))
+    known = settle(known, "known-keys")
     names = ["__by_" + column for column in by]
-    same = reduce(Column.__and__, [F.col(column).eqNullSafe(F.col("__by_" + column)) for column in by])
-    running = Window.partitionBy(*names, "__side").orderBy("__bucket")
-    while not goals.filter(F.col("__low") < F.col("__high")).isEmpty():
-        share = F.try_divide(F.col("__value") - F.col("__low"), F.col("__high") - F.col("__low"))
-        bucket = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * BUCKETS), F.lit(BUCKETS - 1))
-        counted = (
-            known.join(goals, same & F.col("__value").between(F.col("__low"), F.col("__high")))
-            .groupBy(*names, "__side", "__rank", bucket.alias("__bucket"))
-            .agg(n.alias("__n"), F.min("__value").alias("__low"), F.max("__value").alias("__high"))
-            .withColumn("__upto", F.sum("__n").over(running))
-        )
-        held = counted.filter((F.col("__upto") >= F.col("__rank")) & (F.col("__upto") - F.col("__n") < F.col("__rank")))
+    whole, running = Window.partitionBy(*names), Window.partitionBy(*names, "__side").orderBy("__bucket")
+    same = reduce(Column.__and__, [F.col(column).eqNullSafe(F.col(name)) for column, name in zip(by, names)], F.lit(True))
+    buckets = (
+        known.groupBy(*[F.col(column).alias(name) for column, name in zip(by, names)], F.shiftright("__key", ROUNDS[0]).alias("__bucket"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__size", F.sum("__n").over(whole))
+    )
+    places = F.posexplode(F.array(*[r.cast("bigint") for r in ranks(F.col("__size"))])).alias("__side", "__rank")
+    counted = buckets.select(*names, "__bucket", "__n", places)
+    for before, shift in zip((None, *ROUNDS), ROUNDS):
+        if before is not None:
+            counted = (
+                known.join(goals, same & (F.shiftright("__key", before) == F.col("__prefix")))
+                .groupBy(*names, "__side", "__rank", F.shiftright("__key", shift).alias("__bucket"))
+                .agg(F.count(F.lit(1)).alias("__n"))
+            )
+        upto = counted.withColumn("__upto", F.sum("__n").over(running))
+        held = upto.filter((F.col("__upto") >= F.col("__rank")) & (F.col("__upto") - F.col("__n") < F.col("__rank")))
         rank = F.col("__rank") - (F.col("__upto") - F.col("__n"))
-        goals = settle(held.select(*names, "__side", rank.alias("__rank"), "__low", "__high"), "goals")
-    sides = [F.max(F.when(F.col("__side") == i, F.col("__low"))).alias(side) for i, side in enumerate(("low", "high"))]
-    found = goals.groupBy(*names).agg(*sides)
-    return found.select(*[F.col("__by_" + column).alias(column) for column in by], "low", "high")
+        goals = held.select(*names, "__side", rank.alias("__rank"), F.col("__bucket").alias("__prefix"))
+    return goals.select(*[F.col(name).alias(column) for column, name in zip(by, names)], "__side", of_key(F.col("__prefix")).alias("value"))
+
+
+def middle_values(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """(by..., low, high): the two middle values of each class (the same one for odd sizes), exactly and unsorted."""
+    found = selected(df, by, value, lambda n: (F.floor((n + 1) / 2), F.ceil((n + 1) / 2)))
+    sides = [F.max(F.when(F.col("__side") == i, F.col("value"))).alias(side) for i, side in enumerate(("low", "high"))]
+    return found.groupBy(*by).agg(*sides)
 
 
 def exact_median(df: DataFrame, by: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    """Interpolated median per class; holds no class in memory."""
+    """Interpolated median per class; holds no class in memory.
+
+    Halves are added, so that two large values do not overflow; of an infinity and its opposite it is NaN.
+    """
     middle = middle_values(df, by, value)
-    return middle.select(*by, ((F.col("low") + F.col("high")) / 2).alias(name))
+    same = F.col("low").eqNullSafe(F.col("high"))
+    return middle.select(*by, F.when(same, F.col("low")).otherwise(F.col("low") / 2 + F.col("high") / 2).alias(name))
 
 
 def first_per_class(df: DataFrame, by: Sequence[str], order: Sequence[Column], count: int = 1) -> DataFrame:

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ecometrics.functions.measures import PARTS, divided, joined_sum, zero_as_null
+from ecometrics.functions.measures import divided, zero_as_null
+from ecometrics.operators import exact
 
 
 def multi_grain(
@@ -23,47 +24,47 @@ def multi_grain(
 ) -> DataFrame:
     """A row per value of each grain, and one for everything.
 
-    The detail is read and shuffled once, folded to sums and counts of the
-    combined grain; the grains and the total are built from that small table.
-    The total row exists for empty input too.  A ratio is a ratio of sums in
-    which a missing amount counts as zero.  Sums are the same in any order.
+    The detail is read and shuffled once, folded to the states of exact sums per combined grain; the grains and the
+    total are built from that small table.  The total row exists for empty input too.  A ratio is a ratio of sums in
+    which a missing amount counts as zero.  Sums are the same in any order (see ``exact``).  At least one mean, sum or
+    ratio is wanted.
     """
     sources = sorted({*means.values(), *sums.values(), *[c for r in ratios.values() for c in r[:2]]})
-
-    def fraction(name: str) -> Column:
-        return F.floor((F.col(name) - F.floor(name)) * F.lit(PARTS))
-
-    folded = df.groupBy(*grains).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.sum(F.floor(name).cast("decimal(20,0)")).alias("__whole_" + name) for name in sources],
-        *[F.sum(fraction(name).cast("decimal(20,0)")).alias("__part_" + name) for name in sources],
-        *[F.count(name).alias("__known_" + name) for name in sources],
-    )
+    place = {name: i for i, name in enumerate(sources)}
+    folded = exact.folded(df, grains, sources, keep=[F.count(F.lit(1)).alias("__rows")])
+    states = exact.stacked(folded, grains, sources, keep=["__rows"])
 
     def totals() -> list[Column]:
-        def known(name):
-            return F.sum("__known_" + name)
-
-        def amount(name):
-            return joined_sum(F.sum("__whole_" + name), F.sum("__part_" + name))
+        """Of one measure each, from states merged by bin."""
+        amounts = [exact.total_of(i, exact.entries_of(i)).alias(f"__sum_{name}") for name, i in place.items()]
+        known = [F.sum(F.when(F.col("__measure") == i, F.col("__n"))).alias(f"__known_{name}") for name, i in place.items()]
+        return [F.coalesce(F.sum("__rows"), F.lit(0)).alias(count), *amounts, *known]
 
+    def shown(label: Column) -> list[Column]:
         def filled(name):
-            return F.coalesce(amount(name), F.lit(0.0))
+            return F.coalesce(F.col(f"__sum_{name}"), F.lit(0.0))
 
         return [
-            F.coalesce(F.sum("__rows"), F.lit(0)).alias(count),
-            *[divided(amount(source), known(source)).alias(name) for name, source in means.items()],
-            *[amount(source).alias(name) for name, source in sums.items()],
+            label.alias("__label"),
+            count,
+            *[divided(f"__sum_{source}", f"__known_{source}").alias(name) for name, source in means.items()],
+            *[F.col(f"__sum_{source}").alias(name) for name, source in sums.items()],
             *[
                 (divided(filled(top), zero_as_null(filled(bottom))) * F.lit(float(factor))).alias(name)
                 for name, (top, bottom, factor) in ratios.items()
             ],
         ]
 
-    names = [count, *means, *sums, *ratios]
+    merged = [*exact.merged(), F.sum("__rows").alias("__rows")]
+    key = ["__measure", "__bin"]
     group_of = reduce(
         lambda rest, grain: F.when(F.grouping(grain) == 0, F.col(grain)).otherwise(rest), reversed(grains), F.lit(None)
     )
-    by_grain = folded.groupingSets([[grain] for grain in grains], *grains).agg(group_of.alias("__label"), *totals())
-    total = folded.agg(*totals()).withColumn("__label", F.lit(total_label))
-    return by_grain.select("__label", *names).unionByName(total.select("__label", *names)).withColumnRenamed("__label", label)
+    which = reduce(
+        lambda rest, i: F.when(F.grouping(grains[i]) == 0, F.lit(i)).otherwise(rest), reversed(range(len(grains))), F.lit(None)
+    )
+    sets = states.groupingSets([[grain, *key] for grain in grains], *grains, *key)
+    by_bin = sets.agg(group_of.alias("__of"), which.alias("__grain"), *merged)
+    by_grain = by_bin.groupBy("__grain", "__of").agg(*totals()).select(*shown(F.col("__of")))
+    total = states.groupBy(*key).agg(*merged).agg(*totals()).select(*shown(F.lit(total_label)))
+    return by_grain.unionByName(total).withColumnRenamed("__label", label)

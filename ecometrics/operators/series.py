@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ecometrics.functions.measures import exact_sum, floored, percent_change
+from ecometrics.functions.measures import floored, percent_change
+from ecometrics.operators import exact
 
 # Days of history behind each range label; None keeps everything.
 LOOKBACK_DAYS = {"1M": 30, "3M": 90, "6M": 180, "1A": 365, "Tout": None}
@@ -60,28 +61,30 @@ def with_returns(series: DataFrame, name: str = "daily_return") -> DataFrame:
     return series.withColumn(name, daily_return())
 
 
-def deviation(value: str) -> Column:
-    """Aggregate: the sample deviation, from exact sums of the values and their squares."""
-    known, total = F.count(value), exact_sum(value)
-    squares = exact_sum(F.col(value) * F.col(value))
-    return F.when(known > 1, F.sqrt(F.greatest(squares - total * total / known, F.lit(0.0)) / (known - 1)))
-
-
 def summary(series: DataFrame) -> DataFrame:
-    """First, last, extremes, mean volume, performance and volatility per key."""
-    first, last = F.min_by(PRICE, DATE), F.max_by(PRICE, DATE)
-    return (
-        with_returns(series)
-        .groupBy(KEY)
-        .agg(
-            first.alias("first_price"),
-            last.alias("last_price"),
-            F.min(PRICE).alias("lowest_price"),
-            F.max(PRICE).alias("highest_price"),
-            (exact_sum(VOLUME) / F.count(VOLUME)).alias("mean_volume"),
-            percent_change(last, first).alias("performance"),
-            deviation("daily_return").alias("volatility"),
-        )
+    """First, last, extremes, mean volume, performance and volatility per key.
+
+    The mean comes from an exact sum, the volatility from central moments (see ``exact``); the windows and the fold
+    share one shuffle by key.
+    """
+    dated = F.when(F.col(DATE).isNotNull(), F.struct(DATE, PRICE))
+    kept = {
+        "first": (F.min(dated), F.min),
+        "last": (F.max(dated), F.max),
+        "lowest_price": (F.min(PRICE), F.min),
+        "highest_price": (F.max(PRICE), F.max),
+    }
+    found = exact.totals(with_returns(series), [KEY], [VOLUME, "daily_return"], moments=["daily_return"], keep=kept)
+    first, last = F.col("first")[PRICE], F.col("last")[PRICE]
+    return found.select(
+        KEY,
+        first.alias("first_price"),
+        last.alias("last_price"),
+        "lowest_price",
+        "highest_price",
+        F.col(f"mean_{VOLUME}").alias("mean_volume"),
+        percent_change(last, first).alias("performance"),
+        F.col("deviation_daily_return").alias("volatility"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ecometrics.functions import measures
 from ecometrics.functions.bands import efficiency_band
+from ecometrics.operators import exact, sketches
 from ecometrics.operators.joins import enrich
 from ecometrics.operators.ranking import descending, middle_values, rank_within
 from ecometrics.session import settle
@@ -17,35 +18,30 @@ STATISTICS = ("avg_efficiency", "max_efficiency", "min_efficiency", "stddev_effi
 
 
 def group_stats(df: DataFrame, by: str, value: str) -> DataFrame:
-    """Mean, extremes, sample deviation and count of the known values of a class.
+    """Mean, extremes, sample deviation and count of the known values of a class, in one scan.
 
-    Two passes over the known values, so that the deviation is taken from the
-    mean; both add up exactly and give the same result in any order.
+    The mean is the quotient of the sum nearest to the true one and the count, whatever the order of the rows; the
+    deviation comes from central moments around it.  Classes without known values have no row.
     """
-    known = settle(df.filter(F.col(value).isNotNull()).select(by, F.col(value).alias("__value")), "known-values")
-    first = settle(
-        known.groupBy(by).agg(
-            (measures.exact_sum("__value") / F.count(F.lit(1))).alias("avg_efficiency"),
-            F.max("__value").alias("max_efficiency"),
-            F.min("__value").alias("min_efficiency"),
-            F.count(F.lit(1)).alias("count_assets"),
-        ),
-        "group-means",
-    )
-    spread = F.col("max_efficiency") - F.col("min_efficiency")
-    shares = F.coalesce(measures.divided(F.col("__value") - F.col("avg_efficiency"), spread), F.lit(0.0))
-    met = known.join(first.withColumnRenamed(by, "__by"), F.col(by).eqNullSafe(F.col("__by")))
-    squares = met.groupBy(F.col("__by").alias("__of")).agg(measures.exact_sum(shares * shares).alias("__squares"))
-    deviation = F.when(F.col("count_assets") > 1, spread * F.sqrt(F.col("__squares") / (F.col("count_assets") - 1)))
-    joined = first.join(squares, F.col(by).eqNullSafe(F.col("__of")))
-    return joined.select(
-        by, "avg_efficiency", "max_efficiency", "min_efficiency", deviation.alias("stddev_efficiency"), "count_assets"
+    known = df.filter(F.col(value).isNotNull()).select(by, F.col(value).alias("__value"))
+    extremes = {"max_efficiency": (F.max("__value"), F.max), "min_efficiency": (F.min("__value"), F.min)}
+    found = exact.totals(known, [by], ["__value"], moments=["__value"], keep=extremes)
+    return found.select(
+        by,
+        F.col("mean___value").alias("avg_efficiency"),
+        "max_efficiency",
+        "min_efficiency",
+        F.col("deviation___value").alias("stddev_efficiency"),
+        F.col("n___value").alias("count_assets"),
     )
 
 
-def with_median(stats: DataFrame, df: DataFrame, by: str, value: str) -> DataFrame:
-    """Adds the median of each class, the lower one of two."""
-    middle = middle_values(df, [by], value).select(F.col(by).alias("__by"), F.col("low").alias("median_efficiency"))
+def with_median(stats: DataFrame, df: DataFrame, by: str, value: str, k: int | None = None) -> DataFrame:
+    """Adds the median of each class, the lower one of two: exact, or with ``k`` from a sketch of that size in one pass."""
+    if k is None:
+        middle = middle_values(df, [by], value).select(F.col(by).alias("__by"), F.col("low").alias("median_efficiency"))
+    else:
+        middle = sketches.medians(df, [by], value, k, "median_efficiency").withColumnRenamed(by, "__by")
     return stats.join(middle, F.col(by).eqNullSafe(F.col("__by"))).drop("__by")
 
 

@@ -190,19 +190,6 @@ def test_filtered_maximum_shares_the_scan(spark):
     assert tuple(found) == (5.0, 9.0)
 
 
-def test_sums_do_not_depend_on_the_order(spark):
-    import math
-    import random
-
-    from ecometrics.functions.measures import exact_sum
-
-    values = [random.Random(i).uniform(-1, 1) * 10 ** (i % 13) for i in range(3000)]
-    sums = {
-        spark.createDataFrame([(x,) for x in sorted(values, key=order)], "x double").repartition(n).agg(exact_sum("x")).first()[0]
-        for n, order in ((1, abs), (7, float), (3, lambda x: -x))
-    }
-    assert len(sums) == 1 and math.isclose(sums.pop(), math.fsum(values), rel_tol=1e-12)
-
 
 def test_slices_of_a_ranking_grow_with_the_input(spark, tmp_path):
     from ecometrics.session import input_bytes, tune

@@ -12,7 +12,7 @@ from ecometrics.plans import marts
 from ecometrics.plans.build import LAYERS, Models
 from ecometrics.session import scratch_path
 from ecometrics.sources.tables import read_table
-from workload.registry import Star, exact_sum_sql, query
+from workload.registry import Star, agreed, agreed_sql, query
 from workload.star import BASE_SQL, RawTables, raw_sql
 
 LOADED_AT = "2025-03-01 06:00:00"
@@ -193,15 +193,10 @@ green_investment_overview AS (
 
 
 def stats_sql(overview: str) -> str:
-    """Mean, extremes and, from the mean, the deviation of each class."""
-    share = "coalesce((green_efficiency - mean) / nullif(high - low, 0), 0)"
-    return f"""SELECT asset_type, mean, high, low, peers,
-      CASE WHEN peers > 1 THEN (high - low) * sqrt({exact_sum_sql(f'({share} * {share})')} / (peers - 1)) END AS deviation
-    FROM {overview} JOIN (
-      SELECT asset_type, {exact_sum_sql('green_efficiency')} / count(*) AS mean, max(green_efficiency) AS high,
-             min(green_efficiency) AS low, count(*) AS peers
-      FROM {overview} WHERE green_efficiency IS NOT NULL GROUP BY asset_type) USING (asset_type)
-    WHERE green_efficiency IS NOT NULL GROUP BY asset_type, mean, high, low, peers"""
+    """Mean, extremes, deviation and count of each class."""
+    return f"""SELECT asset_type, avg(green_efficiency) AS mean, max(green_efficiency) AS high, min(green_efficiency) AS low,
+      stddev_samp(green_efficiency) AS deviation, count(*) AS peers
+    FROM {overview} WHERE green_efficiency IS NOT NULL GROUP BY asset_type"""
 
 
 def metrics_sql(overview: str) -> str:
@@ -228,16 +223,11 @@ carbon_efficiency_metrics AS (
 
 
 def comparison_sql(overview: str) -> str:
-    co2, cap, energy = (exact_sum_sql(c) for c in ("co2_emissions_mt", "market_cap", "energy_consumption"))
-
-    def mean(c: str) -> str:
-        return f"{exact_sum_sql(c)} / nullif(count({c}), 0)"
-
-    totals = f"""count(*) AS total_assets, {mean('co2_emissions_mt')} AS avg_co2_emissions,
-         {co2} AS total_co2_emissions, {mean('green_efficiency')} AS avg_efficiency,
-         {mean('environmental_score')} AS avg_environmental_score, {cap} AS total_market_cap,
-         coalesce({co2}, 0) / nullif(coalesce({cap}, 0), 0) * 1e6::DOUBLE AS carbon_intensity_per_million_usd,
-         coalesce({energy}, 0) / nullif(coalesce({cap}, 0), 0) * 1e6::DOUBLE AS energy_intensity_per_million_usd"""
+    totals = """count(*) AS total_assets, avg(co2_emissions_mt) AS avg_co2_emissions,
+         sum(co2_emissions_mt) AS total_co2_emissions, avg(green_efficiency) AS avg_efficiency,
+         avg(environmental_score) AS avg_environmental_score, sum(market_cap) AS total_market_cap,
+         coalesce(sum(co2_emissions_mt), 0) / nullif(coalesce(sum(market_cap), 0), 0) * 1e6::DOUBLE AS carbon_intensity_per_million_usd,
+         coalesce(sum(energy_consumption), 0) / nullif(coalesce(sum(market_cap), 0), 0) * 1e6::DOUBLE AS energy_intensity_per_million_usd"""
     return f"""
 environmental_impact_comparison AS (
   SELECT asset_type, {totals} FROM {overview} GROUP BY asset_type
@@ -245,6 +235,17 @@ environmental_impact_comparison AS (
   UNION ALL SELECT 'Tous actifs', {totals} FROM {overview})"""
 
 
+METRIC_DIGITS, METRIC_PLACES = ("relative_efficiency",), ("efficiency_z_score",)
+COMPARISON_DIGITS = (
+    "avg_co2_emissions",
+    "total_co2_emissions",
+    "avg_efficiency",
+    "avg_environmental_score",
+    "total_market_cap",
+    "carbon_intensity_per_million_usd",
+    "energy_intensity_per_million_usd",
+)
+
 PRELUDE = ",".join(
     [
         "WITH " + BASE_SQL,
@@ -261,10 +262,10 @@ def from_models(selected: str, table: str) -> str:
     return f"{PRELUDE}\nSELECT {selected} FROM {table}"
 
 
-def _register(name: str, extra: str = "") -> None:
-    @query(from_models("*" + extra, name), name=name)
+def _register(name: str, extra: str = "", digits: tuple[str, ...] = (), places: tuple[str, ...] = ()) -> None:
+    @query(from_models((agreed_sql(*digits, places=places) if digits else "*") + extra, name), name=name)
     def build(star: Star) -> DataFrame:
-        return models(star)[name]
+        return agreed(models(star)[name], *digits, places=places)
 
 
 for plain in (
@@ -283,8 +284,8 @@ for plain in (
     "green_investment_overview",
 ):
     _register(plain)
-_register("carbon_efficiency_metrics", f", TIMESTAMP '{LOADED_AT}' AS analysis_timestamp")
-_register("environmental_impact_comparison")
+_register("carbon_efficiency_metrics", f", TIMESTAMP '{LOADED_AT}' AS analysis_timestamp", METRIC_DIGITS, METRIC_PLACES)
+_register("environmental_impact_comparison", digits=COMPARISON_DIGITS)
 
 
 def failures_sql(model: str, check: str, column: str, count: str) -> str:

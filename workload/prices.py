@@ -10,7 +10,7 @@ from ecometrics.operators import series as s
 from ecometrics.operators.joins import enrich
 from ecometrics.operators.screening import peers
 from ecometrics.session import settle
-from workload.registry import exact_sum_sql, query
+from workload.registry import agreed, agreed_sql, query
 
 # Whole cents: sums and means of them are exact in any order.
 AMOUNT = "CAST(round(o_totalprice * 100) AS BIGINT)"
@@ -72,16 +72,14 @@ def rebased_prices(star):
 
 @query(
     SERIES_SQL
-    + f""" SELECT key, arg_min(price, date) AS first_price, arg_max(price, date) AS last_price, min(price) AS lowest_price,
-        max(price) AS highest_price, sum(volume)::DOUBLE / count(volume) AS mean_volume,
-        (arg_max(price, date) / arg_min(price, date) - 1) * 100 AS performance,
-        CASE WHEN count(daily_return) > 1 THEN sqrt(greatest({exact_sum_sql('(daily_return * daily_return)')}
-          - {exact_sum_sql('daily_return')} * {exact_sum_sql('daily_return')} / count(daily_return), 0.0::DOUBLE)
-          / (count(daily_return) - 1)) END AS volatility
-      FROM returns GROUP BY key"""
+    + f""" SELECT {agreed_sql('mean_volume', 'volatility')} FROM (
+      SELECT key, arg_min(price, date) AS first_price, arg_max(price, date) AS last_price, min(price) AS lowest_price,
+        max(price) AS highest_price, avg(volume) AS mean_volume,
+        (arg_max(price, date) / arg_min(price, date) - 1) * 100 AS performance, stddev_samp(daily_return) AS volatility
+      FROM returns GROUP BY key)"""
 )
 def period_summary(star):
-    return s.summary(order_series(star))
+    return agreed(s.summary(order_series(star)), "mean_volume", "volatility")
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ecometrics.session import input_bytes, tune
 
@@ -57,9 +58,20 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
-def exact_sum_sql(x: str) -> str:
-    """The counterpart of ``measures.exact_sum``: whole parts and fractions are added up as integers."""
-    return (
-        f"(CAST(sum(CAST(floor({x}) AS BIGINT)) AS DOUBLE)"
-        f" + CAST(sum(CAST(floor(({x} - floor({x})) * 1e15::DOUBLE) AS BIGINT)) AS DOUBLE) / 1e15::DOUBLE)"
-    )
+MOVED = 1.00000000001
+
+
+def agreed(df: DataFrame, *columns: str, places: tuple[str, ...] = ()) -> DataFrame:
+    """Columns to nine significant digits, ``places`` to nine decimals: other engines add doubles up with an error.
+
+    Values are moved by a hundredth of the last digit first, because engines print exact halves differently.
+    """
+    moved = {c: F.col(c).cast("double") * F.lit(MOVED) for c in columns}
+    digits = {c: F.when(F.col(c).isNotNull(), F.format_string("%.8e", moved[c]).cast("double")) for c in columns}
+    return df.withColumns(digits | {c: F.round(c, 9) for c in places})
+
+
+def agreed_sql(*columns: str, places: tuple[str, ...] = ()) -> str:
+    """The same for ``SELECT *`` in SQL."""
+    digits = [f"CAST(printf('%.8e', CAST({c} AS DOUBLE) * {MOVED}::DOUBLE) AS DOUBLE) AS {c}" for c in columns]
+    return f"* REPLACE ({', '.join([*digits, *(f'round({c}, 9) AS {c}' for c in places)])})"

@@ -8,14 +8,14 @@ from ecometrics.functions import bands as b
 from ecometrics.functions import measures as m
 from ecometrics.functions.numbers import rounded_long
 from ecometrics.functions.text import join_key
-from ecometrics.operators import ranking, statistics
+from ecometrics.operators import ranking, sketches, statistics
 from ecometrics.operators.joins import enrich, filled, highest, merge_sections, not_yet_in
 from ecometrics.operators.rollup import multi_grain
 from ecometrics.plans import marts
 from ecometrics.session import settle
 from ecometrics.sources.tables import literal_table
 from workload import models
-from workload.registry import query
+from workload.registry import agreed, agreed_sql, query
 from workload.star import BASE_SQL, QUANTITY, REVENUE_CENTS, customer_base, supplier_base
 
 POSITIVE = models.sql_positive
@@ -208,13 +208,28 @@ def asset_overview(star):
 @query(
     f"""{OVERVIEW_SQL}, stats AS ({models.stats_sql('star_overview')}),
     middle AS (SELECT asset_type, quantile_disc(green_efficiency, 0.5) AS median_efficiency FROM star_overview GROUP BY asset_type)
-    SELECT asset_type, mean AS avg_efficiency, high AS max_efficiency, low AS min_efficiency, median_efficiency,
-      deviation AS stddev_efficiency, peers AS count_assets FROM stats JOIN middle USING (asset_type)"""
+    SELECT {agreed_sql('avg_efficiency', 'stddev_efficiency')} FROM (
+      SELECT asset_type, mean AS avg_efficiency, high AS max_efficiency, low AS min_efficiency, median_efficiency,
+        deviation AS stddev_efficiency, peers AS count_assets FROM stats JOIN middle USING (asset_type))"""
 )
 def group_stats(star):
     measured = settle(overview(star).select("asset_type", "green_efficiency"), "measured")
     stats = statistics.group_stats(measured, "asset_type", "green_efficiency")
-    return statistics.with_median(stats, measured, "asset_type", "green_efficiency")
+    found = statistics.with_median(stats, measured, "asset_type", "green_efficiency")
+    return agreed(found, "avg_efficiency", "stddev_efficiency")
+
+
+@query(
+    """SELECT priority, share, value, n FROM (
+      SELECT o_orderpriority AS priority, year(o_orderdate) AS y, unnest([0.1::DOUBLE, 0.5::DOUBLE, 0.9::DOUBLE]) AS share,
+        unnest(quantile_disc(o_totalprice, [0.1, 0.5, 0.9])) AS value, count(*) AS n FROM orders GROUP BY 1, 2)
+    WHERE y = 1995"""
+)
+def sketch_quantiles(star):
+    """Prices of one year out of monthly sketches, which up to ``k`` values are exact."""
+    stored = settle(sketches.period_sketches(star.orders, ["o_orderpriority"], "o_totalprice", "o_orderdate", "month", 8192), "sketches")
+    year = stored.filter(F.col("period").between(F.lit("1995-01-01").cast("date"), F.lit("1995-12-31").cast("date")))
+    return sketches.quantiles(year, ["o_orderpriority"], [0.1, 0.5, 0.9]).withColumnRenamed("o_orderpriority", "priority")
 
 
 @query(
@@ -225,14 +240,21 @@ def group_median(star):
     return ranking.exact_median(overview(star), ["asset_type"], "green_efficiency", "median_efficiency")
 
 
-@query(f"{OVERVIEW_SQL}, {models.metrics_sql('star_overview')} SELECT * FROM carbon_efficiency_metrics")
+@query(
+    f"""{OVERVIEW_SQL}, {models.metrics_sql('star_overview')}
+    SELECT {agreed_sql(*models.METRIC_DIGITS, places=models.METRIC_PLACES)} FROM carbon_efficiency_metrics"""
+)
 def efficiency_metrics(star):
-    return statistics.efficiency_metrics(settle(overview(star), "overview"))
+    found = statistics.efficiency_metrics(settle(overview(star), "overview"))
+    return agreed(found, *models.METRIC_DIGITS, places=models.METRIC_PLACES)
 
 
-@query(f"{OVERVIEW_SQL}, {models.comparison_sql('star_overview')} SELECT * FROM environmental_impact_comparison")
+@query(
+    f"""{OVERVIEW_SQL}, {models.comparison_sql('star_overview')}
+    SELECT {agreed_sql(*models.COMPARISON_DIGITS)} FROM environmental_impact_comparison"""
+)
 def impact_comparison(star):
-    return marts.environmental_impact_comparison(overview(star))
+    return agreed(marts.environmental_impact_comparison(overview(star)), *models.COMPARISON_DIGITS)
 
 
 @query(
