@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -13,7 +12,7 @@ from pyspark.sql import types as T
 
 from ecometrics.operators.joins import not_yet_in
 from ecometrics.operators.ranking import first_per_class
-from ecometrics.session import settle
+from ecometrics.sources import versions
 
 
 def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -24,28 +23,32 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(name) for name in partition_by]) if partition_by else df
 
 
-def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    """Replace the table at ``path``; publishing twice leaves one copy.
-
-    The new table is written beside the old one and takes its name when it is
-    complete, so a write that fails leaves the old table as it was.
-    """
-    spark, mark = df.sparkSession, uuid.uuid4().hex
-    new, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
-    place = spark._jvm.org.apache.hadoop.fs.Path
-    files = place(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+def publishing(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Iterator[str]:
+    """The steps of ``publish``: a caller that stops after any of them leaves a readable table."""
+    files, state = versions.Files(df.sparkSession, path), versions.current(df.sparkSession, path)
+    folder = versions.new_folder(state)
     try:
-        balanced(df, partition_by).write.partitionBy(*partition_by).parquet(new)
+        balanced(df, partition_by).write.partitionBy(*partition_by).parquet(f"{files.root}/{folder}")
     except Exception:
-        files.delete(place(new), True)
+        files.delete(folder)
         raise
-    replaced = files.exists(place(path)) and files.rename(place(path), place(old))
-    if not files.rename(place(new), place(path)):
-        if replaced:
-            files.rename(place(old), place(path))
-        raise OSError(f"{new} could not be renamed")
-    if replaced:
-        files.delete(place(old), True)
+    yield "written"
+    yield from versions.committing(files, versions.State(state.number + 1, (folder,), stored_schema(df, partition_by)))
+
+
+def stored_schema(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
+    """As Spark reads it back: everything may be NULL, and the columns of the folders come last."""
+    fields = [T.StructField(f.name, f.dataType) for f in df.schema.fields]
+    return T.StructType([*(f for f in fields if f.name not in partition_by), *(f for f in fields if f.name in partition_by)])
+
+
+def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Replace the table at ``path``; publishing twice leaves one copy, a crash the old table or the new one.
+
+    Read it with ``read_table``.  ``df`` may read the table that it replaces.
+    """
+    for _ in publishing(df, path, partition_by):
+        pass
     return path
 
 
@@ -56,29 +59,72 @@ def publish_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     return observed.get["n"]
 
 
-def accumulate(fresh: DataFrame, path: str, key: str, schema: T.StructType) -> DataFrame:
-    """Add rows with new keys to the table at ``path`` and rewrite it.
+def accumulate(
+    fresh: DataFrame, path: str, key: str, schema: T.StructType, buckets: int = 64, most_folders: int = 64
+) -> DataFrame:
+    """Add rows with new keys to the table at ``path``; the same batch twice changes nothing.
 
-    Of fresh rows that share a key, the first in the order of the other columns
-    is added; rows without a key are not, as they could never be found again.
+    Of fresh rows that share a key, the first in the order of the other columns is added; rows without a key are
+    not, as they could never be found again.  The table lies in buckets by the hash of the key: a batch reads the
+    keys of the buckets that it falls in and writes its new rows alone, into a folder of its own beside the others.  A
+    table that was published whole is put into buckets once; after ``most_folders`` batches the folders are
+    made one.
     """
-    spark = fresh.sparkSession
-    before = spark.read.schema(schema).parquet(path)
-    order = [F.col(c).asc_nulls_last() for c in before.columns if c != key]
-    added = not_yet_in(fresh.filter(F.col(key).isNotNull()), before, key).select(before.columns)
-    added = first_per_class(added, [key], order or [F.col(key)])
-    grown = settle(before.unionByName(added), "accumulated")
-    publish(grown, path)
+    spark, files = fresh.sparkSession, versions.Files(fresh.sparkSession, path)
+    state = versions.current(spark, path)
+    if not state.buckets:
+        before = spark.read.schema(schema).parquet(path) if not state.number else read_table(spark, path)
+        state = _rebucketed(before.select(*schema.names), path, key, buckets)
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(state.buckets)).cast("int")
+    keyed = fresh.filter(F.col(key).isNotNull()).select(*schema.names).withColumn(versions.BUCKET, bucket)
+    touched = [row[0] for row in keyed.select(versions.BUCKET).distinct().collect()]  # at most ``buckets``
+    before = versions.read(spark, path, state).filter(F.col(versions.BUCKET).isin(touched)).select(key)
+    order = [F.col(c).asc_nulls_last() for c in schema.names if c != key]
+    added = first_per_class(not_yet_in(keyed, before, key), [key], order or [F.col(key)])
+    folder = versions.new_folder(state)
+    try:
+        balanced(added, [versions.BUCKET]).write.partitionBy(versions.BUCKET).parquet(f"{files.root}/{folder}")
+    except Exception:
+        files.delete(folder)
+        raise
+    if not any(name.startswith(f"{versions.BUCKET}=") for name in files.names(folder)):  # no new rows
+        files.delete(folder)
+        return read_table(spark, path)
+    state = state._replace(number=state.number + 1, folders=(*state.folders, folder))
+    for _ in versions.committing(files, state):
+        pass
+    if len(state.folders) > most_folders:
+        _rebucketed(read_table(spark, path), path, key, state.buckets)
     return read_table(spark, path)
 
 
+def _rebucketed(df: DataFrame, path: str, key: str, buckets: int) -> versions.State:
+    """The whole table in one folder, in buckets by ``key``; rows without a key lie in a bucket like any other."""
+    files, state = versions.Files(df.sparkSession, path), versions.current(df.sparkSession, path)
+    folder, bucket = versions.new_folder(state), F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    placed = df.withColumn(versions.BUCKET, bucket)
+    try:
+        balanced(placed, [versions.BUCKET]).write.partitionBy(versions.BUCKET).parquet(f"{files.root}/{folder}")
+    except Exception:
+        files.delete(folder)
+        raise
+    state = versions.State(state.number + 1, (folder,), stored_schema(df, ()), buckets)
+    for _ in versions.committing(files, state):
+        pass
+    return state
+
+
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
     balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).json(path)
     return path
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The current version of a published table; other Parquet folders as they are."""
+    state = versions.current(spark, path)
+    if not state.number:
+        return spark.read.parquet(path)
+    return versions.read(spark, path, state).select(*state.schema.names)
 
 
 def count_loaded(tables: Mapping[str, DataFrame]) -> dict[str, int]:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ecometrics.operators import exact, ranking, rollup, sketches, statistics
+from ecometrics.sources.tables import read_table
 
 INF, NAN = float("inf"), float("nan")
 CASES = {
@@ -195,7 +196,7 @@ def test_small_sketches_are_exact_and_nothing_has_none(spark, tmp_path):
     rows = [("a", float(i), "2024-01-0%d" % (1 + i % 3)) for i in range(1, 8)] + [("a", NAN, "2024-01-01"), ("a", None, "2024-01-01"), ("a", 9.0, None), ("z", None, "2024-01-02")]
     df = spark.createDataFrame(rows, "k string, x double, d string").withColumn("d", F.to_date("d"))
     path = sketches.store(df, str(tmp_path / "s"), ["k"], "x", "d")
-    stored = spark.read.parquet(path)
+    stored = read_table(spark, path)
     found = [(r.k, r.share, r.value, r.n) for r in sketches.quantiles(stored, ["k"], [0.0, 0.5, 1.0]).collect()]
     assert found == [("a", 0.0, 1.0, 7), ("a", 0.5, 4.0, 7), ("a", 1.0, 7.0, 7)]
     one_day = sketches.quantiles(stored.filter(F.col("period") == F.lit("2024-01-01").cast("date")), ["k"], [1.0])

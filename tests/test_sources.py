@@ -1,9 +1,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ecometrics.sources import documents, files, tables
+from ecometrics.sources import documents, files, tables, versions
 from ecometrics.sources.schemas import COMPANIES, CRYPTO_FOOTPRINT, NETWORK_RECORD, SOURCES
 
 # The header is a fixed value; the coins are invented.
@@ -131,6 +132,69 @@ def test_a_failed_publish_leaves_the_old_table(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["table"]
 
 
+@pytest.mark.parametrize("last", ["written", "described", "committed", "cleaned"])
+def test_a_writer_killed_after_any_step_leaves_a_readable_table(spark, tmp_path, last):
+    path = str(tmp_path / "table")
+    tables.publish(spark.range(10), path)
+    for step in tables.publishing(spark.range(20, 23), path):
+        if step == last:
+            break
+    done = last in ("committed", "cleaned")
+    assert tables.read_table(spark, path).count() == (3 if done else 10)
+    tables.publish(spark.range(5), path)  # the next writer goes on, and cleans up
+    assert tables.read_table(spark, path).count() == 5
+    folders = [p.name for p in (tmp_path / "table").iterdir() if p.name.startswith(versions.VERSION)]
+    assert len(folders) == 2 and len(list((tmp_path / "table" / "_versions").glob("*.json"))) == 2
+
+
+def test_a_table_can_be_replaced_by_what_is_read_from_it(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.publish(spark.range(6).selectExpr("id", "id % 2 AS p"), path, ["p"])
+    for _ in range(3):
+        tables.publish(tables.read_table(spark, path).selectExpr("id + 1 AS id", "p"), path, ["p"])
+    assert sorted(map(tuple, tables.read_table(spark, path).collect())) == [(i + 3, i % 2) for i in range(6)]
+    tables.publish(spark.range(6).selectExpr("id", "id % 2 AS p").filter("false"), path, ["p"])
+    assert tables.read_table(spark, path).columns == ["id", "p"] and tables.read_table(spark, path).count() == 0
+
+
+def test_accumulating_writes_the_batch_and_not_the_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    first = spark.range(20_000).selectExpr("id AS k", "uuid() AS v")
+    tables.publish(first, path)
+    schema = first.schema
+    tables.accumulate(first.limit(1), path, "k", schema, buckets=8)
+    files, before = versions.Files(spark, path), versions.current(spark, path)
+    batch = spark.range(20_000, 20_003).selectExpr("id AS k", "uuid() AS v").unionByName(spark.range(5).selectExpr("id AS k", "'other' AS v"))
+    grown = tables.accumulate(batch, path, "k", schema)
+    after = versions.current(spark, path)
+    assert after.folders[:-1] == before.folders and after.buckets == 8
+    assert files.size(after.folders[-1]) < files.size(before.folders[0]) / 20
+    assert grown.count() == 20_003 and grown.filter("v = 'other'").count() == 0
+    for _ in range(2):
+        assert tables.accumulate(batch, path, "k", schema).count() == 20_003
+    assert versions.current(spark, path) == after
+    assert not [p.name for p in (tmp_path / "table").iterdir() if p.name.startswith(versions.VERSION) and p.name not in {*before.folders, *after.folders}]
+
+
+def test_a_batch_reads_only_the_buckets_it_falls_in(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.publish(spark.range(1000).selectExpr("id AS k"), path)
+    tables.accumulate(spark.range(1000, 1001).selectExpr("id AS k"), path, "k", spark.range(1).selectExpr("id AS k").schema, buckets=16)
+    found = versions.read(spark, path, versions.current(spark, path)).filter(F.col(versions.BUCKET).isin([3]))
+    assert 0 < len(found.inputFiles()) and found.count() < 200
+    assert all(f"{versions.BUCKET}=3/" in x for x in {r[0] for r in found.select(F.input_file_name()).collect()})
+
+
+def test_many_batches_are_made_one_folder(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = spark.range(1).selectExpr("id AS k").schema
+    tables.publish(spark.range(3).selectExpr("id AS k"), path)
+    for i in range(4):
+        grown = tables.accumulate(spark.range(10 * i, 10 * i + 2).selectExpr("id AS k"), path, "k", schema, buckets=2, most_folders=3)
+    assert sorted(r.k for r in grown.collect()) == [0, 1, 2, 10, 11, 20, 21, 30, 31]
+    assert len(versions.current(spark, path).folders) <= 3
+
+
 def test_rows_are_counted_by_the_write(spark, tmp_path):
     assert tables.publish_counted(spark.range(7), str(tmp_path / "t")) == 7
 
