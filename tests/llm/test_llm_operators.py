@@ -13,7 +13,10 @@ import xxhash
 from compare import connection, differences
 from pyspark.sql import functions as F
 
-from ecometrics.llm import bpe, deep_shallow, elias_fano, language, lm, mixing, order_minhash, privacy, quality, repeats, simhash, token_counts
+from ecometrics.llm import (
+    bpe, deep_shallow, elias_fano, language, lm, mixing, order_minhash, privacy, quality, repeats, secrets, simhash, spelling,
+    token_counts, vector_codes,
+)
 from ecometrics.llm.common import Summary, components, frequent_items
 from ecometrics.llm.queries import QUERIES, SQL, tokenizer_path
 
@@ -85,6 +88,7 @@ PER_ROW = {
     "lm": lm.score,
     "simhash": simhash.near_duplicates,
     "token_counts": lambda d: token_counts.count_tokens(d, tokenizer_path("byte_bpe_50k.json")),
+    "secrets": secrets.scan,
 }
 STAGES = {"reject": language.reject, "keep_first": simhash.keep_first, "sanitise": privacy.sanitise, "take": mixing.take}
 
@@ -108,6 +112,7 @@ def test_untidy_rows_all_have_a_result(untidy, name):
         "privacy": lambda: empty.spans == "" and empty.base_sha256 == sha(""),
         "lm": lambda: empty.n_tokens == 1 and math.isclose(empty.score, by_id[2][0].score),
         "simhash": lambda: empty.fingerprint == "0" * 16 and empty.component_id == 2,
+        "secrets": lambda: (empty.spans, empty.base_sha256) == ("", sha("")),
         "token_counts": lambda: (empty.n_bytes, empty.n_tokens, empty.over_limit) == (0, 0, False),
     }
     assert expected[name]()
@@ -784,3 +789,217 @@ def test_pivots_discard_no_link():
     i, j = np.triu_indices(400, 1)
     kept = set(simhash.linked(fps, table, i, j, 4).tolist())
     assert kept == set(np.flatnonzero(np.bitwise_count(fps[i] ^ fps[j]) <= 4).tolist()) and len(kept) >= 200
+
+
+def test_long_runs_are_merged_as_the_library_does(spark):
+    from tokenizers import Tokenizer
+
+    encoder = Tokenizer.from_file(word_bpe())
+    encoder.no_truncation()
+    rng = random.Random(8)
+    runs = ["".join(rng.choice(letters) for _ in range(n)) for letters in ("etaoin", "abcdefghijklmnopqrstuvwxyz") for n in (64, 65, 3000)]
+    vocabulary = bpe.Vocabulary(word_bpe())
+    assert all(vocabulary.merge(x) == encoder.encode(x, add_special_tokens=False).ids for x in [*runs, "ab" * 500, "a" * 999])
+    text = "".join(rng.choice("abcdefgh") for _ in range(300_000))
+    row = bpe.encode(spark.createDataFrame([(1, text)], "doc_id int, text string"), word_bpe()).first()
+    assert row.ids_sha256 == sha(" ".join(map(str, encoder.encode(text, add_special_tokens=False).ids)))
+
+
+# --- 11: vector codes ----------------------------------------------------------------------------------------------
+
+
+def test_vector_codes_agree_with_sql(spark):
+    assert differences(QUERIES["op11_vector_codes"](spark, FOLDER), connection(FOLDER), SQL["op11_vector_codes"]) == []
+
+
+@pytest.mark.parametrize("rows, entries, width, size", [(1, 1, 4, 5), (3, 2, 2, 2), (700, 64, 4, 200), (3000, 37, 3, 3), (9000, 64, 2, 60)])
+def test_dual_trees_assign_as_brute_force_does(rows, entries, width, size):
+    """Small values make many ties, which go to the lower entry."""
+    rng = np.random.default_rng(rows)
+    points, books = rng.integers(-size, size, (rows, 16, width)), rng.integers(-size, size, (16, entries, width))
+    sums, counts = np.zeros(books.shape, np.int64), np.zeros(books.shape[:2], np.int64)
+    codes, errors = vector_codes.code_block(points, books, sums, counts)
+    distances = ((points.transpose(1, 0, 2)[:, :, None] - books[:, None]) ** 2).sum(axis=3)
+    nearest = distances.argmin(axis=2)
+    assert (codes.T == nearest).all() and (errors == distances.min(axis=2).sum(axis=0)).all()
+    for part in range(16):
+        assert (counts[part] == np.bincount(nearest[part], minlength=entries)).all()
+        assert all((sums[part, j] == points[nearest[part] == j, part].sum(axis=0)).all() for j in range(entries))
+
+
+def brute_codes(rows, entries):
+    """(id, label, integers) in order of ids, two rounds, then codes."""
+    books = [[v[4 * i : 4 * i + 4] for _, _, v in rows[:entries]] for i in range(16)]
+
+    def near(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), j) for j, e in enumerate(book))
+
+    for _ in range(2):
+        for i, book in enumerate(books):
+            members = defaultdict(list)
+            for _, _, v in rows:
+                members[near(v[4 * i : 4 * i + 4], book)[1]].append(v[4 * i : 4 * i + 4])
+            books[i] = [[sum(c) // len(c) for c in zip(*members[j])] if j in members else e for j, e in enumerate(book)]
+    coded = []
+    for name, label, v in rows:
+        parts = [near(v[4 * i : 4 * i + 4], books[i]) for i in range(16)]
+        coded.append((name, label, "".join(f"{j:02x}" for _, j in parts), sum(d for d, _ in parts)))
+    return coded, sha(",".join(str(x) for book in books for e in book for x in e))
+
+
+def test_vector_codes_of_untidy_tables(spark):
+    rng = random.Random(11)
+    nan, inf = float("nan"), float("inf")
+    good = [(i, i % 3 if i % 4 else None, [rng.gauss(0, 0.3) for _ in range(64)]) for i in range(150)]
+    good[20:25] = [(5, 1, good[20][2])] * 5  # repeated rows
+    good[30] = (30, 2, [1e7 * (-1) ** i for i in range(64)])  # beyond what 64-bit distances allow
+    bad = [(1, 1, None), (2, 1, []), (3, 1, [0.5] * 63 + [None]), (4, 1, [nan] * 64), (6, 1, [0.1] * 63 + [inf]), (7, 1, [0.1] * 32), (None, 1, None)]
+    kept = [*good, (None, None, [0.25] * 64)]
+    df = spark.createDataFrame([*bad, *kept], "vec_id bigint, label int, embedding array<double>").repartition(4)
+    df = df.withColumns({k: F.lit("x") for k in ("code", "error", "vector", "part", "entry", "total")})
+    found = vector_codes.compress(df).collect()
+    ordered = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    coded, digest = brute_codes([(i, label, [math.floor(256 * x) for x in v]) for i, label, v in ordered], 64)
+    assert sorted(map(str, ((r.vec_id, r.code, r.error) for r in found))) == sorted(str((i, c, e)) for i, _, c, e in coded)
+    by_label = Counter()
+    for _, label, _, error in coded:
+        by_label[label] += error
+    labels = {(i, c): label for i, label, c, _ in coded}
+    assert all(r.label_error == by_label[labels[r.vec_id, r.code]] for r in found)
+    assert {r.codebooks_sha256 for r in found} == {digest}
+    assert vector_codes.compress(df.filter("vec_id < 5 AND code = 'y'")).count() == 0
+    few = vector_codes.compress(df.filter("vec_id IN (9, 10)")).collect()
+    assert {r.error for r in few} == {0} and {r.code for r in few} == {"00" * 16, "01" * 16}
+
+
+def test_errors_beyond_longs_are_null(spark):
+    df = spark.createDataFrame([(i, 0, [float(i) * 1e30] * 16) for i in range(70)] + [(99, 1, [0.0] * 16)], "vec_id bigint, label int, embedding array<float>")
+    rows = {r.vec_id: r for r in vector_codes.compress(df).collect()}
+    assert len(rows) == 71 and rows[99].error == 0 and rows[99].label_error == 0
+    assert any(r.error is None for r in rows.values()) and all(r.label_error is None for i, r in rows.items() if i != 99)
+
+
+# --- 12: secrets ---------------------------------------------------------------------------------------------------
+
+
+def brute_base(text):
+    """The fixed kinds by the letter of their definition: leftmost, non-overlapping, failing matches dropped."""
+    key = re.compile("(" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in x) for x in ("password", "passwd", "secret", "token", "api_?key"))
+                     + ")[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+    spans = [(m.start(), 0, m.end()) for m in key.finditer(text) if len(m.group(2)) >= 8]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 32]
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(spans))
+
+
+def test_base_secrets_against_their_definition(docs, found):
+    rng = random.Random(12)
+    hard = ["ToKeN = 'abcdefgh' ſecret=abcdefghij toKen:x apikey==abcdefg api_key=\"a.b-c_d/e+f\"", "AKIAKIA0123456789AB AKIA0123 " + "a" * 31 + "g" + "0" * 32,
+            "é password: " + "".join(rng.choice("abcdef0123456789") for _ in range(40)) + " secret=secret=secret=12345678"]
+    for text in hard:
+        assert ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in secrets.base_spans(text)) == brute_base(text)
+    rows = found("op12_secrets")
+    for d in docs:
+        row, expected = rows[d.doc_id], brute_base(d.text or "")
+        assert row.base_sha256 == sha(expected)
+        assert [x for x in row.spans.split(",") if x and not x.startswith("random")] == [x for x in expected.split(",") if x]
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(expected.count(k + ":") for k in ("assign", "access", "hex"))
+
+
+@pytest.mark.parametrize("name", ["decimal", "hex", "lower", "base32", "lower36", "base62", "base64"])
+def test_battery_accepts_even_draws_and_rejects_order(name):
+    rng = random.Random(name)
+    letters, place = secrets.ENCODINGS[name], list(secrets.ENCODINGS).index(name)
+    scores = np.array([secrets.score("".join(rng.choice(letters) for _ in range(40)), place) for _ in range(600)])
+    assert (scores < 0.01).mean() < 0.04 and 0.4 < scores.mean() < 0.6  # near to uniform
+    ordered = (letters * 4)[:40]
+    assert secrets.score(ordered, place) < 0.01 and secrets.score(letters[0] * 40, place) < 1e-4
+
+
+def test_random_strings_are_found_among_ordinary_text(spark):
+    """Keys of three alphabets, among names and paths of the same lengths; copies count once."""
+    rng = random.Random(13)
+    words = [w for r in spark.read.parquet(f"{FOLDER}/documents.parquet").limit(150).collect() for w in re.findall("[a-z]{4,9}", r.text or "")]
+    base62 = secrets.ENCODINGS["base62"]
+    keys = ["".join(rng.choice(base62) for _ in range(rng.randint(40, 60))) for _ in range(60)]
+    names = ["".join(rng.choice(words).title() for _ in range(8)) for _ in range(200)]
+    texts = []
+    for i in range(300):
+        hidden = keys[i % 60] if i % 3 == 0 else names[i % 200]
+        texts.append(" ".join(rng.choices(words, k=120)) + f" {hidden} " + " ".join(rng.choices(words, k=120)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(5)
+    hits = {r.doc_id: r.spans for r in secrets.scan(df).collect()}
+    right = sum(f"random:{texts[i].index(keys[i % 60])}:" in hits[i] for i in range(0, 300, 3))
+    wrong = sum("random" in hits[i] for i in range(300) if i % 3)
+    assert right >= 90 and wrong <= 5
+    doubled = {r.doc_id: r.spans for r in secrets.scan(df.unionByName(df.filter("doc_id % 3 = 0"))).collect()}
+    assert sum(doubled[i] != hits[i] for i in hits) <= 5
+
+
+# --- 13: spelling --------------------------------------------------------------------------------------------------
+
+
+def brute_spelling(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+    near, wild = defaultdict(set), defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            wild[w[:i] + "*" + w[i + 1 :]].add(w)
+            if w[:i] + w[i + 1 :] in words:
+                near[w].add(w[:i] + w[i + 1 :])
+                near[w[:i] + w[i + 1 :]].add(w)
+    for group in wild.values():
+        for w in group:
+            near[w] |= group - {w}
+    form = {}
+    for w in words:
+        if near[w]:
+            best = min(near[w], key=lambda x: (-words[x], x))
+            if words[best] >= 2 * words[w]:
+                form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {w: (form.get(w), root(w), n, len(near[w]), words[form[w]] if w in form else None) for w, n in words.items()}
+
+
+def test_spelling_against_brute_force(spark, docs):
+    rows = QUERIES["op13_spelling"](spark, FOLDER).collect()
+    found = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in rows}
+    assert len(rows) == len(found) and found == brute_spelling([(d.doc_id, d.text) for d in docs])
+    assert sum(x[0] is not None for x in found.values()) > 50
+
+
+def test_spelling_of_untidy_tables(spark, untidy):
+    rng = random.Random(14)
+    rows = [(i if i % 5 else None, " ".join(rng.choice(["Xyzzy", "xyzzys", "xyzz", "plugh\u00e9", "PLUGHÉ", "plugh×", "aaaaaaa", "aaaaaa", "aaaab", "abcde", "abdce"]) for _ in range(30))) for i in range(60)]
+    rows += [(99, "q" * 30_000 + " ") for _ in range(4)] + [(98, "q" * 29_999), (98, "q" * 29_999), (98, "q" * 29_999)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({k: F.lit("x") for k in ("word", "n", "form", "root", "near")})
+    found = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in spelling.group_variants(df.repartition(7)).collect()}
+    assert found == brute_spelling(rows)
+    before = [(r.doc_id, r.text) for r in untidy.collect()]
+    assert {r.word: r.n for r in spelling.group_variants(untidy).collect()} == {w: x[2] for w, x in brute_spelling(before).items()}
+    assert spelling.group_variants(untidy.filter("false")).count() == 0
+
+
+def test_signatures_cover_every_edit():
+    rng = random.Random(15)
+    ranks = {c: i for i, c in enumerate("abcdefgh")}
+    for _ in range(400):
+        w = "".join(rng.choice("abcdefgh") for _ in range(rng.randint(5, 14)))
+        i, c = rng.randrange(len(w)), rng.choice("abcdefgh")
+        replaced, shorter = w[:i] + c + w[i + 1 :], w[:i] + w[i + 1 :]
+        own = spelling.signatures(w, ranks)
+        assert set(own[spelling.SAME]) & set(spelling.signatures(replaced, ranks)[spelling.SAME])
+        assert set(own[spelling.LONGER]) & set(spelling.signatures(shorter, ranks)[spelling.SHORTER])
