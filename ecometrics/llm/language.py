@@ -5,8 +5,8 @@ kernel of two texts is the size of the sets' intersection over the geometric mea
 A Nyström map over a few landmark texts makes kernel ridge regression, one language against the
 rest, a small linear model; scoring a batch of documents is two matrix products.
 
-The fit uses a bounded sample: at most ``per_language`` training texts of at most ``sample_chars``
-characters for each of the ``languages`` most frequent labels.  Every document is scored whole.
+The fit uses a bounded sample of every label: ``sample_rows`` rows shared evenly, at most ``per_language`` and at
+least ``LEAST_ROWS`` each, and of a longer text an excerpt of ``sample_chars`` characters.  Documents are scored whole.
 """
 
 from __future__ import annotations
@@ -21,9 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ecometrics.llm.common import held_out, prepared, worker_state
+from ecometrics.operators.ranking import first_per_class
+from ecometrics.session import settle
 
 NO_LANGUAGE = "und"
 BLANK = np.uint32(32)
+LEAST_ROWS, LEAST_LANDMARKS = 8, 2  # of each label
+BLOCK_GRAMS = 65_536  # columns of a matrix product, whatever the size of the alphabet
 
 
 @cache
@@ -68,13 +72,12 @@ class Model:
                 by_label.setdefault(label, []).append(i)
         self.labels = sorted(by_label)
         # Landmarks: the same number of each language, in the order of the sample.
-        share = max(1, landmarks // max(1, len(self.labels)))
+        share = max(LEAST_LANDMARKS, landmarks // max(1, len(self.labels)))
         chosen = [i for label in self.labels for i in by_label[label][:share]]
         self.alphabet = np.unique(np.concatenate([sets[i] for i in chosen])) if chosen else np.empty(0, np.uint64)
         self.sizes = np.sqrt(np.array([sets[i].size for i in chosen], np.float32))
-        self.rows = np.zeros((len(chosen), self.alphabet.size), np.float32)
-        for row, i in enumerate(chosen):
-            self.rows[row, np.searchsorted(self.alphabet, sets[i])] = 1
+        self.places = [np.searchsorted(self.alphabet, sets[i]).astype(np.int32) for i in chosen]
+        self.first_block = self.rows(0)
         used = [i for i in range(len(samples)) if sets[i].size]
         if not used:
             self.weights = np.zeros((0, 0), np.float32)
@@ -87,15 +90,28 @@ class Model:
         left = across.T @ (weight * across) + ridge * among + 1e-6 * np.eye(len(chosen))
         self.weights = np.linalg.solve(left, across.T @ (weight * goal)).astype(np.float32)
 
+    def rows(self, at: int) -> np.ndarray:
+        """Landmarks by the grams of the block that begins at ``at``."""
+        block = np.zeros((len(self.places), min(BLOCK_GRAMS, self.alphabet.size - at)), np.float32)
+        for row, places in enumerate(self.places):
+            low, high = np.searchsorted(places, (at, at + BLOCK_GRAMS))
+            block[row, places[low:high] - at] = 1
+        return block
+
     def kernel(self, sets: list[np.ndarray]) -> np.ndarray:
-        """Texts by landmarks."""
-        present = np.zeros((len(sets), self.alphabet.size), np.float32)
-        sizes = np.empty(len(sets), np.float32)
-        for row, found in enumerate(sets):
-            at = np.minimum(np.searchsorted(self.alphabet, found), max(self.alphabet.size - 1, 0))
-            present[row, at[self.alphabet[at] == found]] = 1
-            sizes[row] = max(found.size, 1) ** 0.5
-        return (present @ self.rows.T) / (sizes[:, None] * self.sizes[None, :])
+        """Texts by landmarks: presence times presence, a block of the alphabet at a time."""
+        out = np.zeros((len(sets), len(self.places)), np.float32)
+        sizes = np.array([max(found.size, 1) for found in sets], np.float32) ** 0.5
+        for at in range(0, self.alphabet.size, BLOCK_GRAMS):
+            grams_here = self.alphabet[at : at + BLOCK_GRAMS]
+            present = np.zeros((len(sets), grams_here.size), np.float32)
+            for row, found in enumerate(sets):
+                low, high = np.searchsorted(found, (grams_here[0], grams_here[-1]))
+                found = found[low : high + 1]
+                places = np.minimum(np.searchsorted(grams_here, found), grams_here.size - 1)
+                present[row, places[grams_here[places] == found]] = 1
+            out += present @ (self.rows(at) if at else self.first_block).T
+        return out / (sizes[:, None] * self.sizes[None, :])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         sets = [grams(x) for x in texts]
@@ -117,31 +133,30 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     id_col: str = "doc_id",
-    languages: int = 32,
     per_language: int = 300,
+    sample_rows: int = 9_600,
     sample_chars: int = 20_000,
     landmarks: int = 128,
     ridge: float = 1e-3,
 ) -> Model:
-    """Learn from rows where ``training`` holds and the label is known; the same rows in every run."""
-    known = docs.select(
-        docs[text_col].alias("text"), docs[lang_col].alias("lang"),
-        F.xxhash64(docs[id_col].cast("string"), F.md5(docs[text_col])).alias("order"), training.alias("training"),
-    ).where(F.col("training") & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= sample_chars))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    samples: list[tuple[str, str]] = []
-    if counts:
-        # A share of hashes that is expected to hold a few rows more than are wanted.
-        cut = F.lit(False)
-        for row in counts:
-            share = min(1.0, (1.5 * per_language + 50) / row["count"])
-            below = int(-(2**63) + share * (2**64 - 1))
-            cut = cut | ((F.col("lang") == row["lang"]) & (F.col("order") <= F.lit(min(below, 2**63 - 1))))
-        seen: dict[str, int] = {}
-        for row in known.where(cut).orderBy("order", "lang", "text").limit(len(counts) * per_language * 2).collect():
-            seen[row["lang"]] = seen.get(row["lang"], 0) + 1
-            if seen[row["lang"]] <= per_language:
-                samples.append((row["text"], row["lang"]))
+    """Learn from rows where ``training`` holds and the label is known; the same rows in every run.
+
+    Labels are counted over all data and all learned; of each the rows of least hash are taken.  An excerpt begins where
+    the row's hash says, so that long texts are not known by their beginnings alone.
+    """
+    order = F.xxhash64(docs[id_col].cast("string"), F.md5(docs[text_col]))
+    known = docs.select(docs[text_col].alias("text"), docs[lang_col].alias("lang"), order.alias("order"), training.alias("training")).where(
+        F.col("training") & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    )
+    counts = settle(known.groupBy(F.col("lang").alias("label")).agg(F.count("*").alias("n")), "labels")
+    each = max(LEAST_ROWS, min(per_language, sample_rows // max(1, counts.count())))
+    # A share of hashes that is expected to hold a few rows more than are wanted, so that few texts are sorted.
+    share = F.least(F.lit(1.0), F.lit(1.5 * each + 50) / F.col("n"))
+    begin = F.pmod("order", F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1).cast("int") + 1
+    near = known.join(counts, F.col("lang") == F.col("label")).where(F.col("order").cast("double") <= share * 2.0**64 - 2.0**63)
+    cut = near.select(F.substring("text", begin, F.lit(sample_chars)).alias("text"), "lang", "order")
+    rows = first_per_class(cut, ["lang"], [F.col("order"), F.col("text")], each).orderBy("order", "lang", "text").collect()
+    samples = [(row["text"], row["lang"]) for row in rows]
     return Model(samples, landmarks, ridge)
 
 
@@ -207,7 +222,7 @@ def reject(
     but not their sequences scores less.  A text stays if its score reaches the ``rare`` quantile of the scores of
     all labelled texts, which is held between ``lowest`` and ``highest``: labelled noise can't lower it to the score of
     unlike texts, and texts well above that are never lost.  The fit learns from all labelled rows within its
-    bounds.  Rows stay as they are.
+    bounds.  Rows stay as they are, repeated ones too; null, empty and letterless texts go; an empty table gives no rows.
     """
     prepared(docs.sparkSession)
     model = fit(docs, F.lit(True), text_col=text_col, lang_col=lang_col, id_col=id_col)

@@ -805,6 +805,53 @@ def test_long_runs_are_merged_as_the_library_does(spark):
     assert row.ids_sha256 == sha(" ".join(map(str, encoder.encode(text, add_special_tokens=False).ids)))
 
 
+# --- 4, further: every label, long texts, large alphabets -----------------------------------------------------------
+
+
+def invented(rng, letters, n):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+
+def test_forty_labels_and_labels_of_long_texts_are_learned(spark):
+    rng = random.Random(41)
+    alphabets = {f"l{i:02d}": rng.sample("abcdefghijklmnopqrstuvwxyzàéîõüçñøß", 9) for i in range(40)}
+    rows = [(100 * k + j, invented(rng, letters, 60), name) for k, (name, letters) in enumerate(alphabets.items()) for j in range(12)]
+    rows += [(9000 + j, invented(rng, "кляузник", 6000), "long") for j in range(12)]
+    rows += [(9100 + j, invented(rng, [chr(0x4E00 + x) for x in range(3000)], 40), "cjk") for j in range(12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    truth = {r[0]: r[2] for r in rows}
+    found = language.identify(df).collect()
+    assert {r.lang_pred for r in found} == set(truth.values())
+    right = [r.lang_pred == truth[r.doc_id] for r in found if r.held_out]
+    assert sum(right) >= 0.9 * len(right)
+    assert all(r.lang_pred == truth[r.doc_id] for r in found if truth[r.doc_id] in ("long", "cjk"))
+
+
+def test_predictions_equal_a_dense_ridge(docs):
+    """Weights, labels and scores from the definition, with one dense matrix over all n-grams; and in small blocks."""
+    samples = [(d.text, d.lang) for d in docs if d.text and d.lang][:60]
+    model = language.Model(samples, 12, 1e-3)
+    sets = [{tuple(x) for x in map(lambda g: (int(g),), language.grams(t))} for t, _ in samples]
+    labels = sorted({lang for _, lang in samples})
+    chosen = [i for label in labels for i in [i for i, x in enumerate(samples) if x[1] == label][: 12 // len(labels)]]
+    kernel = np.array([[len(a & sets[i]) / math.sqrt(len(a) * len(sets[i])) for i in chosen] for a in sets])
+    goal = np.array([[1.0 if lang == label else -1.0 for label in labels] for _, lang in samples])
+    weight = np.diag([1 / sum(x[1] == lang for x in samples) for _, lang in samples])
+    weights = np.linalg.solve(kernel.T @ weight @ kernel + 1e-3 * kernel[chosen] + 1e-6 * np.eye(len(chosen)), kernel.T @ weight @ goal)
+    tested = [d.text for d in docs if d.text][:200]
+    parts = [{(int(g),) for g in language.grams(t)} for t in tested]
+    values = np.array([[len(a & sets[i]) / math.sqrt(max(len(a), 1) * len(sets[i])) for i in chosen] for a in parts]) @ weights
+    expected = [labels[j] for j in values.argmax(axis=1)]
+    for block in (language.BLOCK_GRAMS, 500):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(language, "BLOCK_GRAMS", block)
+            found, scores = language.Model(samples, 12, 1e-3).predict(tested)
+        sure = [i for i, a in enumerate(parts) if a and np.diff(np.sort(values[i])[-2:])[0] > 1e-3]
+        assert len(sure) > 150 and all(found[i] == expected[i] for i in sure)
+        assert np.allclose([scores[i] for i in sure], np.clip((values.max(axis=1)[sure] + 1) / 2, 0, 1), atol=1e-3)
+    assert model.labels == labels
+
+
 # --- 11: vector codes ----------------------------------------------------------------------------------------------
 
 
