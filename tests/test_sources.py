@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ecometrics.sources import documents, files, tables, versions
+from ecometrics.sources import documents, files, large_documents, tables, versions
 from ecometrics.sources.schemas import COMPANIES, CRYPTO_FOOTPRINT, NETWORK_RECORD, SOURCES
 
 # The header is a fixed value; the coins are invented.
@@ -249,3 +249,54 @@ def test_literal_table_is_small_enough_to_broadcast(spark):
     assert joined.count() == 2
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().explainString(mode)
+
+
+HARD = {
+    "stocks": {
+        "A": {"profile": {"name": 'quote " and } brace { and [ ] \\\\'}, "news": [{"day": "1", "headline": "}"}, {"day": "2", "headline": '{"'}]},
+        'B "}': {"profile": {"name": "\\\\"}, "news": []},
+        "C": {},
+        "D": {"profile": None, "news": [[{"x": {}}]]},
+        "E": 5,
+        "F": {"profile": {"name": "é漢 \\n\\u00e9"}},
+    },
+    "ipo_calendar": {"A": {"profile": {"name": "not a stock"}}},
+    "empty": {},
+}
+SHAPE = T.StructType([
+    T.StructField("profile", T.StructType([T.StructField("name", T.StringType())])),
+    T.StructField("news", T.ArrayType(T.StructType([T.StructField("headline", T.StringType())]))),
+])
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("plain", [{}, {"version": 3, "name": "a, } b", "none": None}])
+def test_large_documents_are_read_as_small_ones(spark, tmp_path, indent, plain):
+    (tmp_path / "doc.json").write_text(json.dumps({**plain, **HARD}, indent=indent, ensure_ascii=False), encoding="utf-8")
+    for root in ("stocks", "ipo_calendar", "empty", "absent"):
+        found = large_documents.explode_large_document(spark, str(tmp_path / "doc.json"), SHAPE, root).collect()
+        assert sorted(r.symbol for r in found) == sorted(HARD.get(root, {}))
+        for r in found:
+            truth = HARD[root][r.symbol]
+            truth = truth if isinstance(truth, dict) else {}
+            assert (r.profile and r.profile.name) == (truth.get("profile") or {}).get("name")
+            if r.symbol != "D":
+                assert r.news is None if "news" not in truth else [x.headline for x in r.news] == [x["headline"] for x in truth["news"]]
+
+
+def test_one_large_document_is_read_by_many_tasks(spark, tmp_path):
+    section = {"profile": {"name": 'a "quoted" } name'}, "news": [{"headline": "{" * 20}] * 3}
+    symbols = {f"S{i}": section for i in range(3000)}
+    (tmp_path / "doc.json").write_text(json.dumps({"stocks": symbols, "other": {"X": {}}}))
+    (tmp_path / "second.json").write_text(json.dumps({"stocks": {"second": section}}))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        parts = large_documents.pieces(spark, str(tmp_path / "doc.json")).select("__block", F.spark_partition_id()).distinct().count()
+        rows = large_documents.explode_large_document(spark, str(tmp_path), SHAPE).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert parts > 10 and sorted(r.symbol for r in rows) == sorted([*symbols, "second"])
+    assert {(r.profile.name, tuple(x.headline for x in r.news)) for r in rows} == {('a "quoted" } name', ("{" * 20,) * 3)}

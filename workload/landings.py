@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ecometrics.operators.joins import enrich
 from ecometrics.session import scratch_path
-from ecometrics.sources import documents, files, tables
+from ecometrics.sources import documents, files, large_documents, tables
 from ecometrics.sources.schemas import COMPANY_FOOTPRINT, NETWORK_RECORD
 from workload.registry import query
 from workload.star import money
@@ -136,6 +136,19 @@ def nested_news(star):
     return documents.explode_items(rows.select("symbol", "news"), "news")
 
 
+@query("SELECT 'C' || c_custkey AS symbol, c_name AS name, c_acctbal AS price FROM customer")
+def large_document(star):
+    """All customers as entries of a single indented file, which is read by byte ranges."""
+    entry = F.regexp_extract(_nested(star)["document"], r'^\{"stocks":\{(.*)\}\}$', 1)
+    lines = _nested(star).select(F.lit(1).alias("n"), F.concat(F.lit("    "), entry, F.lit(",")).alias("value"))
+    ends = [(0, '{"version": 1, "stocks": {'), (2, '    "last": {}'), (3, '  }, "ipo_calendar": {"a": {"profile": {"name": "}\\\\"}}}}')]
+    whole = lines.unionByName(star.spark.createDataFrame(ends, "n int, value string"))
+    path = scratch_path(star.spark, "document")
+    whole.coalesce(1).sortWithinPartitions("n").select("value").write.text(path)
+    rows = large_documents.explode_large_document(star.spark, path, SECTION).filter("symbol <> 'last'")
+    return rows.select("symbol", F.col("profile.name").alias("name"), F.col("quote.c").alias("price"))
+
+
 def _payloads(star):
     symbol = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
     good = F.to_json(F.create_map(symbol, F.create_map(F.lit("price"), F.col("c_acctbal").cast("string"))))
