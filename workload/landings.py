@@ -139,7 +139,7 @@ def nested_news(star):
 @query("SELECT 'C' || c_custkey AS symbol, c_name AS name, c_acctbal AS price FROM customer")
 def large_document(star):
     """All customers as entries of a single indented file, which is read by byte ranges."""
-    entry = F.regexp_extract(_nested(star)["document"], r'^\{"stocks":\{(.*)\}\}$', 1)
+    entry = F.regexp_extract("document", r'^\{"stocks":\{(.*)\}\}$', 1)
     lines = _nested(star).select(F.lit(1).alias("n"), F.concat(F.lit("    "), entry, F.lit(",")).alias("value"))
     ends = [(0, '{"version": 1, "stocks": {'), (2, '    "last": {}'), (3, '  }, "ipo_calendar": {"a": {"profile": {"name": "}\\\\"}}}}')]
     whole = lines.unionByName(star.spark.createDataFrame(ends, "n int, value string"))
