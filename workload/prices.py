@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ecometrics.functions import measures as m
+from ecometrics.operators import long_series as long
 from ecometrics.operators import series as s
 from ecometrics.operators.joins import enrich
 from ecometrics.operators.screening import peers
@@ -114,6 +115,22 @@ def compounded_index(star):
     )
 
 
+@query(
+    f"""SELECT event_id, event_type AS key, CASE WHEN count(cents) OVER f = 20 THEN avg(cents) OVER f END AS ma20,
+      (cents / nullif(lag(cents) OVER w, 0) - 1) * 100 AS change, coalesce(cents > lag(cents) OVER w, false) AS rise,
+      cents / nullif(first(cents) OVER w, 0) * 100 AS rebased
+    FROM (SELECT *, CAST({VALUE} AS DOUBLE) AS cents FROM events)
+    WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id), f AS (PARTITION BY event_type ORDER BY ts, event_id ROWS 19 PRECEDING)"""
+)
+def intraday_series(star):
+    """Every event, without a fold by day: a type's events are cut into chunks that run in tasks of their own."""
+    events = star.events.select("event_id", "ts", F.col("event_type").alias("key"), F.expr(VALUE).cast("double").alias("cents"))
+    placed = long.chunked(events, "key", ["ts", "event_id"], 1000)
+    columns = {"ma20": long.moving_average(20, "cents"), "change": long.change("cents"), "rise": long.is_rise("cents")}
+    shown = long.with_rebased(long.with_frames(placed, "key", columns, 19, 1000), "key", "cents", "rebased")
+    return shown.select("event_id", "key", "ma20", "change", "rise", "rebased")
+
+
 def _counted(starts, star) -> DataFrame:
     """Each row of the series goes into all its ranges in one pass over a written series."""
     series = settle(order_series(star).select("key", "date"), "series")
