@@ -20,15 +20,11 @@ from pyspark.sql import functions as F
 BITS, DIGITS = 20, 4  # a bin spans as many exponents as a digit has bits
 LOWEST = 53  # weight of digit j: 2 ** (BITS * j - LOWEST), so that the last bit of any value of bin j is whole
 BASE = 1 << BITS
+STATE = [*(f"__d{i}" for i in range(DIGITS)), "__n", "__up", "__down", "__nan"]
 
 Merge = Callable[[str], Column]
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def power_of_two(exponent: Column) -> Column:
     """Exact for whole exponents of normal doubles."""
     return F.pow(F.lit(2.0), exponent.cast("double"))
@@ -40,140 +36,111 @@ def scaled_by(value: Column, exponent: Column) -> Column:
     return value * power_of_two(half) * power_of_two(exponent - half)
 
 
-def state_names(value: str) -> list[str]:
-    return [f"__{part}_{value}" for part in (*(f"d{i}" for i in range(DIGITS)), "n", "up", "down", "nan")]
+# The expressions below are written as SQL, which Spark parses at once; built up call by call they take seconds.
+
+
+def scaled_sql(value: str, exponent: str) -> str:
+    half = f"floor(({exponent}) / 2)"
+    return f"({value}) * pow(2D, {half}) * pow(2D, ({exponent}) - {half})"
 
 
 def with_digits(df: DataFrame, values: Sequence[str]) -> DataFrame:
     """``df`` with the bin (NULL where nothing is to be added) and the signed digits of every value."""
-    size, infinite = {v: F.abs(F.col(v).cast("double")) for v in values}, F.lit(float("inf"))
-    added = {v: (size[v] > 0) & (size[v] < infinite) for v in values}  # NaN is above infinity
-    # The logarithm may be one off beside a power of two; LOWEST leaves a bit for it on either side.
-    df = df.withColumns({f"__bin_{v}": F.when(added[v], F.floor(F.log2(size[v]) / BITS).cast("int")) for v in values})
-    df = df.withColumns({f"__rest_{v}": scaled_by(size[v], F.lit(LOWEST) - F.col(f"__bin_{v}") * BITS) for v in values})
-    for i in reversed(range(1, DIGITS)):
-        weight = float(BASE**i)
-        df = df.withColumns({f"__d{i}_{v}": F.floor(F.col(f"__rest_{v}") / weight) for v in values})
-        df = df.withColumns({f"__rest_{v}": F.col(f"__rest_{v}") - F.col(f"__d{i}_{v}") * weight for v in values})
-    df = df.withColumns({f"__d0_{v}": F.floor(f"__rest_{v}") for v in values})
-    signed = {f"__d{i}_{v}": F.when(F.col(v) < 0, -F.col(f"__d{i}_{v}")).otherwise(F.col(f"__d{i}_{v}")) for v in values for i in range(DIGITS)}
-    return df.withColumns(signed).drop(*[f"__rest_{v}" for v in values])
-
-
-def folded(df: DataFrame, by: Sequence[str | Column], values: Sequence[str], moments: Sequence[str] = (), keep: Sequence[Column] = ()) -> DataFrame:
+    bins, sizes, digits = [], [], []
+    for v in values:
+        size = f"abs(CAST(`{v}` AS DOUBLE))"
+        # The logarithm may be one off beside a power of two; LOWEST leaves a bit for it on either side.  NaN is above infinity.
+        bins.append(f"CASE WHEN {size} > 0 AND {size} < double('infinity') THEN CAST(floor(log2({size}) / {BITS}) AS INT) END AS `__bin_{v}`")
+        sizes.append(f"{scaled_sql(size, f'{LOWEST} - `__bin_{v}` * {BITS}')} AS `__size_{v}`")
+        sign, whole = f"IF(`{v}` < 0, -1L, 1L)", f"`__size_{v}`"
+        parts = [f"CAST({whole} - CAST(floor({whole} / {BASE}D) AS DOUBLE) * {BASE}D AS BIGINT)"]
+        parts += [f"(floor({whole} / {BASE**i}D) & {BASE - 1}L)" for i in range(1, DIGITS - 1)]
+        parts += [f"floor({whole} / {BASE ** (DIGITS - 1)}D)"]
+        digits += [f"{sign} * {part} AS `__d{i}_{v}`" for i, part in enumerate(parts)]
+    placed = df.selectExpr("*", *bins).selectExpr("*", *sizes).selectExpr("*", *digits)
+    return placed.drop(*[f"__size_{v}" for v in values])
+
+
+def folded(df: DataFrame, by: Sequence[str], values: Sequence[str], moments: Sequence[str] = (), keep: Sequence[Column] = ()) -> DataFrame:
     """A row per class and bins of the values: their states, and the aggregates ``keep``."""
-    infinite = float("inf")
-
-    def states(v: str) -> list[Column]:
-        number = F.col(v).cast("double")
-        counted = (number.isNotNull(), number == infinite, number == -infinite, F.isnan(number))
-        return [
-            *[F.coalesce(F.sum(f"__d{i}_{v}"), F.lit(0)).alias(f"__d{i}_{v}") for i in range(DIGITS)],
-            *[F.count(F.when(test, 1)).alias(f"__{name}_{v}") for name, test in zip(("n", "up", "down", "nan"), counted)],
-        ]
-
-    spread = [x for v in moments for x in (F.avg(v).alias(f"__mean_{v}"), (F.var_pop(v) * F.count(v)).alias(f"__m2_{v}"))]
-    marked = with_digits(df, values)
-    return marked.groupBy(*by, *[f"__bin_{v}" for v in values]).agg(*[x for v in values for x in states(v)], *spread, *keep)
+    states = []
+    for v in values:
+        number = f"CAST(`{v}` AS DOUBLE)"
+        tests = {"n": f"{number} IS NOT NULL", "up": f"{number} = double('infinity')", "down": f"{number} = double('-infinity')", "nan": f"isnan({number})"}
+        states += [f"coalesce(sum(`__d{i}_{v}`), 0L) AS `__d{i}_{v}`" for i in range(DIGITS)]
+        states += [f"count(CASE WHEN {test} THEN 1 END) AS `__{name}_{v}`" for name, test in tests.items()]
+    for v in moments:
+        states += [f"avg(`{v}`) AS `__mean_{v}`", f"var_pop(`{v}`) * count(`{v}`) AS `__m2_{v}`"]
+    return with_digits(df, values).groupBy(*by, *[f"__bin_{v}" for v in values]).agg(*map(F.expr, states), *keep)
 
 
 def stacked(df: DataFrame, keys: Sequence[str], values: Sequence[str], moments: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """(keys..., __measure, __bin, the state's columns, keep...): a row per value of a folded row; ``keep`` stays with the first."""
-    parts = []
+    kinds, rows = {name: df.schema[name].dataType.simpleString() for name in keep}, []
     for i, v in enumerate(values):
-        spread = [F.col(f"__{x}_{v}") if v in moments else F.lit(None).cast("double") for x in ("mean", "m2")]
-        parts.append(
-            F.struct(
-                F.lit(i).alias("__measure"), F.col(f"__bin_{v}").alias("__bin"),
-                *[F.col(name).alias(name.removesuffix(f"_{v}")) for name in state_names(v)],
-                spread[0].alias("__mean"), spread[1].alias("__m2"),
-                *[(F.col(name) if i == 0 else F.lit(None).cast(df.schema[name].dataType)).alias(name) for name in keep],
-            )
-        )
-    return df.select(*keys, F.inline(F.array(*parts)))
+        spread = [f"`__{x}_{v}`" if v in moments else "CAST(NULL AS DOUBLE)" for x in ("mean", "m2")]
+        kept = [f"{f'`{name}`' if i == 0 else f'CAST(NULL AS {kind})'} AS `{name}`" for name, kind in kinds.items()]
+        state = [f"`{name}_{v}` AS {name}" for name in STATE]
+        rows.append(f"struct({', '.join([f'{i} AS __measure', f'`__bin_{v}` AS __bin', *state, f'{spread[0]} AS __mean', f'{spread[1]} AS __m2', *kept])})")
+    return df.select(*keys, F.expr(f"inline(array({', '.join(rows)}))"))
 
 
-STATE = [*(f"__d{i}" for i in range(DIGITS)), "__n", "__up", "__down", "__nan"]
-
-
-def merged(states: Sequence[str] = STATE) -> list[Column]:
+def merged() -> list[Column]:
     """Aggregates that bring the digits and counts of one measure and bin together."""
-    return [F.sum(name).alias(name) for name in states]
-
-
-def entries_of(measure: int) -> Column:
-    """Aggregate: the bins of a measure, with their digits; at most 106 where states are merged by bin."""
-    wanted = (F.col("__measure") == measure) & F.col("__bin").isNotNull()
-    return F.collect_list(F.when(wanted, F.struct("__bin", *STATE[:DIGITS])))
-
-
-def total_of(measure: int, entries: Column) -> Column:
-    """Aggregate: the sum of a measure; NULL without any known value."""
-    up, down, nan, n = (F.sum(F.when(F.col("__measure") == measure, F.col(x))) for x in ("__up", "__down", "__nan", "__n"))
-    return (
-        F.when(F.coalesce(n, F.lit(0)) == 0, None)
-        .when((nan > 0) | ((up > 0) & (down > 0)), float("nan"))
-        .when(up > 0, float("inf")).when(down > 0, float("-inf"))
-        .otherwise(rounded(entries))
-    )
+    return [F.sum(name).alias(name) for name in STATE]
 
 
-def rounded(entries: Column) -> Column:
-    """The double nearest to what bins with their digits add up to, halves to even."""
-    bins = F.transform(entries, lambda e: e["__bin"])
-    # Three blank digits below for the reading of the top four, and four above for what longs can carry.
-    places = F.sequence(F.array_min(bins) - 3, F.array_max(bins) + DIGITS + 4)
-
-    def digit(place: Column) -> Column:
-        def add(total: Column, e: Column) -> Column:
-            part = F.lit(0)
-            for i in range(DIGITS):
-                part = F.when(place - e["__bin"] == i, e[f"__d{i}"]).otherwise(part)
-            return total + part
-
-        return F.aggregate(entries, F.lit(0).cast("bigint"), add)
-
-    def carry(state: Column, digit: Column) -> Column:
-        total = state["carry"] + digit
-        out = F.concat(state["out"], F.array(total.bitwiseAND(F.lit(BASE - 1).cast("bigint"))))
-        return F.struct(F.shiftright(total, BITS).alias("carry"), out.alias("out"))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
-    settled = F.aggregate(F.transform(places, digit), start, carry)
-
-    def read(state: Column) -> Column:
-        sign, out = state["carry"], state["out"]  # the digits are those of a two's complement, the last carry is 0 or -1
-        blank = F.when(sign < 0, F.lit(BASE - 1)).otherwise(F.lit(0))
-        filled = F.filter(F.transform(out, lambda x, i: F.when(x != blank, i)), lambda i: i.isNotNull())
-        top = F.greatest(F.coalesce(F.array_max(filled), F.lit(3)), F.lit(3)).cast("int")
+def gathered(values: Sequence[str], moments: Sequence[str] = ()) -> list[Column]:
+    """Aggregates per class, over rows merged by bin: at most 106 bins of each measure, and its counts."""
+    out = []
+    for i, v in enumerate(values):
+        digits = ", ".join(["__bin", *STATE[:DIGITS]])
+        out.append(f"collect_list(CASE WHEN __measure = {i} AND __bin IS NOT NULL THEN struct({digits}) END) AS `__entries_{v}`")
+        out += [f"sum(CASE WHEN __measure = {i} THEN {name} END) AS `{name}_of_{v}`" for name in STATE[DIGITS:]]
+        if v in moments:
+            known = f"__measure = {i} AND __n > 0"
+            out.append(f"sort_array(collect_list(CASE WHEN {known} THEN struct(__bin, __n, __mean, __m2) END)) AS `__moments_{v}`")
+    return [F.expr(x) for x in out]
 
-        def number(t: Column) -> Column:
-            def at(i):
-                return F.element_at(out, t - i + 1)
 
-            below = F.exists(F.slice(out, F.lit(1), F.greatest(t - 3, F.lit(0))), lambda x: x != 0)
-            high = (sign * BASE + at(0)) * BASE + at(1)
-            low = (at(2) * BASE + at(3)).bitwiseOR(below.cast("bigint"))
-            # Both halves are exact doubles, with the rest told by the last bit: one addition, one rounding.
-            top_four = high.cast("double") * float(BASE**2) + low.cast("double")
-            return scaled_by(top_four, (F.array_min(bins) - 3 + t - 3) * BITS - LOWEST)
+def count_sql(v: str) -> str:
+    return f"coalesce(`__n_of_{v}`, 0L)"
 
-        return let(top, number)
 
-    return F.when(F.size(entries) == 0, F.lit(0.0)).otherwise(let(settled, read))
+def total_sql(v: str) -> str:
+    """The sum of a measure out of what ``gathered`` gives; NULL without any known value."""
+    up, down, nan = (f"`{x}_of_{v}` > 0" for x in ("__up", "__down", "__nan"))
+    return f"""CASE WHEN {count_sql(v)} = 0 THEN NULL
+      WHEN {nan} OR ({up} AND {down}) THEN double('NaN') WHEN {up} THEN double('infinity') WHEN {down} THEN double('-infinity')
+      ELSE {rounded_sql(f'`__entries_{v}`')} END"""
 
 
-def deviation_of(measure: int, mean: Column) -> Callable[[Column], Column]:
+def rounded_sql(entries: str) -> str:
+    """The double nearest to what bins with their digits add up to, halves to even."""
+    first = f"array_min(transform({entries}, e -> e.__bin)) - 3"  # three blank digits below for the reading of the top four
+    last = f"array_max(transform({entries}, e -> e.__bin)) + {DIGITS + 4}"  # and four above for what longs can carry
+    of_place = " ".join(f"WHEN {i} THEN e.__d{i}" for i in range(DIGITS))
+    digits = f"transform(sequence({first}, {last}), j -> aggregate({entries}, 0L, (total, e) -> total + CASE j - e.__bin {of_place} ELSE 0L END))"
+    carry = f"""(s, d) -> named_struct('carry', shiftright(s.carry + d, {BITS}), 'out', concat(s.out, array((s.carry + d) & {BASE - 1}L)))"""
+    settled = f"aggregate({digits}, named_struct('carry', 0L, 'out', CAST(array() AS ARRAY<BIGINT>)), {carry})"
+    # The digits are those of a two's complement, the last carry is 0 or -1; top is the first that tells something.
+    blank = f"CASE WHEN s.carry < 0 THEN {BASE - 1}L ELSE 0L END"
+    top = f"greatest(coalesce(array_max(filter(transform(s.out, (x, i) -> CASE WHEN x <> {blank} THEN i END), i -> i IS NOT NULL)), 3), 3)"
+    below = "CASE WHEN exists(slice(s.out, 1, greatest(t - 3, 0)), x -> x <> 0) THEN 1L ELSE 0L END"
+    high = f"(s.carry * {BASE}L + element_at(s.out, t + 1)) * {BASE}L + element_at(s.out, t)"
+    low = f"((element_at(s.out, t - 1) * {BASE}L + element_at(s.out, t - 2)) | {below})"
+    # Both halves are exact doubles, with the rest told by the last bit: one addition, one rounding.
+    top_four = f"CAST({high} AS DOUBLE) * {BASE**2}D + CAST({low} AS DOUBLE)"
+    number = scaled_sql(top_four, f"({first} + t - 3) * {BITS} - {LOWEST}")
+    read = f"element_at(transform(array({top}), t -> {number}), 1)"
+    return f"IF(size({entries}) = 0, 0D, element_at(transform(array({settled}), s -> {read}), 1))"
+
+
+def deviation_sql(v: str) -> str:
     """Sample deviation out of the moments of bins (count, mean, squares), around the mean of the class."""
-
-    def squares(moments: Column) -> Column:
-        total = F.aggregate(
-            moments, F.lit(0.0), lambda t, x: t + x["__m2"] + x["__n"] * (x["__mean"] - mean) * (x["__mean"] - mean)
-        )
-        n = F.aggregate(moments, F.lit(0).cast("bigint"), lambda t, x: t + x["__n"])
-        return F.when(n > 1, F.sqrt(total / (n - 1)))
-
-    return squares
+    apart = f"(x.__mean - `mean_{v}`)"
+    squares = f"aggregate(`__moments_{v}`, 0D, (t, x) -> t + x.__m2 + x.__n * {apart} * {apart})"
+    return f"CASE WHEN `n_{v}` > 1 THEN sqrt({squares} / (`n_{v}` - 1)) END"
 
 
 def totals(
@@ -193,23 +160,18 @@ def totals(
     rows = folded(df, by, values, moments, [made.alias(name) for name, (made, _) in keep.items()])
     rows = stacked(rows, by, values, moments, list(keep))
     if len(values) > 1:  # several folded rows may share a bin of one measure
-        n, m2, mean = F.sum("__n"), F.sum("__m2"), F.sum(F.col("__mean") * F.col("__n")) / F.sum("__n")
-        between = F.collect_list(F.struct("__n", "__mean"))
-        rows = rows.groupBy(*by, "__measure", "__bin").agg(
-            *merged(), mean.alias("__mean"), m2.alias("__m2"), between.alias("__between"),
-            *[merge(name).alias(name) for name, (_, merge) in keep.items()],
-        )
-        apart = F.aggregate(
-            "__between", F.lit(0.0), lambda t, x: t + x["__n"] * (x["__mean"] - F.col("__mean")) * (x["__mean"] - F.col("__mean"))
-        )
-        rows = rows.withColumn("__m2", F.col("__m2") + F.when(F.size("__between") > 1, apart).otherwise(F.lit(0.0))).drop("__between")
-    made = []
-    for i, v in enumerate(values):
-        made += [total_of(i, entries_of(i)).alias(f"sum_{v}"), F.coalesce(F.sum(F.when(F.col("__measure") == i, F.col("__n"))), F.lit(0)).alias(f"n_{v}")]
-        if v in moments:
-            known = (F.col("__measure") == i) & (F.col("__n") > 0)
-            made.append(F.sort_array(F.collect_list(F.when(known, F.struct("__bin", "__n", "__mean", "__m2")))).alias(f"__moments_{v}"))
-    out = rows.groupBy(*by).agg(*made, *[merge(name).alias(name) for name, (_, merge) in keep.items()])
-    out = out.withColumns({f"mean_{v}": F.try_divide(f"sum_{v}", f"n_{v}") for v in values})
-    out = out.withColumns({f"deviation_{v}": deviation_of(i, F.col(f"mean_{v}"))(F.col(f"__moments_{v}")) for i, v in enumerate(values) if v in moments})
+        mean, apart = "sum(__mean * __n) / sum(__n) AS __mean", "(x.__mean - __mean) * (x.__mean - __mean)"
+        kept = [merge(name).alias(name) for name, (_, merge) in keep.items()]
+        spread = [F.expr(x) for x in (mean, "sum(__m2) AS __m2", "collect_list(struct(__n, __mean)) AS __between")]
+        rows = rows.groupBy(*by, "__measure", "__bin").agg(*merged(), *spread, *kept)
+        between = f"__m2 + IF(size(__between) > 1, aggregate(__between, 0D, (t, x) -> t + x.__n * {apart}), 0D)"
+        rows = rows.withColumn("__m2", F.expr(between))
+    out = rows.groupBy(*by).agg(*gathered(values, moments), *[merge(name).alias(name) for name, (_, merge) in keep.items()])
+    hidden = [f"`__moments_{v}`" for v in moments]
+    sums = [x for v in values for x in (f"{total_sql(v)} AS `sum_{v}`", f"{count_sql(v)} AS `n_{v}`")]
+    keys = [f"`{x}`" for x in (*by, *keep)]
+    out = out.selectExpr(*keys, *sums, *hidden)
+    out = out.selectExpr("*", *[f"try_divide(`sum_{v}`, `n_{v}`) AS `mean_{v}`" for v in values])
+    if moments:
+        out = out.selectExpr("*", *[f"{deviation_sql(v)} AS `deviation_{v}`" for v in moments])
     return out.drop(*[f"__moments_{v}" for v in moments])

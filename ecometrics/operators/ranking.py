@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ecometrics.operators.exact import scaled_by
+from ecometrics.operators.exact import scaled_by, scaled_sql
 from ecometrics.session import settle
 
 BUCKET_BITS = 12
@@ -60,25 +60,29 @@ def descending(value: str, *ties: str) -> list[Column]:
     return [F.desc_nulls_last(value), *[F.col(tie).asc_nulls_first() for tie in ties]]
 
 
-def ordered_key(value: Column) -> Column:
-    """A long in the order of doubles: the bits of the size, negated below zero; -0.0 equals 0.0, NaN is the greatest.
+SMALLEST_NORMAL = 2.0**-1022
+INFINITE_BITS = 2047 << 52
+
 
-    Exponent and fraction are taken apart by exact scaling; the logarithm, which may be one off beside a power of
-    two, only proposes the exponent.
+def with_key(df: DataFrame, value: str, name: str = "__key") -> DataFrame:
+    """``df`` with a long in the order of doubles: the bits of the size, negated below zero; NULL stays NULL.
+
+    -0.0 equals 0.0, NaN is the greatest.  Exponent and fraction are taken apart by exact scaling; the logarithm, which
+    may be one off beside a power of two, only proposes the exponent.
     """
-    number = value.cast("double")
-    size = F.abs(number)
-    lifted = F.when(size < SMALLEST_NORMAL, size * 2.0**600).otherwise(size)
-    guess = F.floor(F.log2(lifted))
-    fraction = scaled_by(lifted, -guess)
-    exponent = guess + F.when(fraction >= 2, 1).when(fraction < 1, -1).otherwise(0)
-    normal = (exponent + 1023) * F.lit(1 << 52) + ((scaled_by(size, -exponent) - 1) * 2.0**52).cast("bigint")
-    subnormal = (size * 2.0**600 * 2.0**474).cast("bigint")
-    bits = (
-        F.when(F.isnan(number), INFINITE_BITS + 1).when(size == float("inf"), INFINITE_BITS).when(size == 0, 0)
-        .when(size < SMALLEST_NORMAL, subnormal).otherwise(normal)
-    ).cast("bigint")
-    return F.when(number.isNotNull(), F.when(number < 0, -bits).otherwise(bits))
+    number, lifted = f"CAST(`{value}` AS DOUBLE)", 2.0**600
+    normal = f"(__exponent + 1023) * {1 << 52}L + CAST(({scaled_sql('__size', '-__exponent')} - 1) * {2.0**52!r}D AS BIGINT)"
+    bits = f"""CASE WHEN isnan(__size) THEN {INFINITE_BITS + 1}L WHEN __size = double('infinity') THEN {INFINITE_BITS}L WHEN __size = 0 THEN 0L
+      WHEN __size < {SMALLEST_NORMAL!r}D THEN CAST(__size * {lifted!r}D * {2.0**474!r}D AS BIGINT) ELSE {normal} END"""
+    return (
+        df.selectExpr("*", f"abs({number}) AS __size")
+        .selectExpr("*", f"CASE WHEN __size < {SMALLEST_NORMAL!r}D THEN __size * {lifted!r}D WHEN __size < double('infinity') THEN __size END AS __lifted")
+        .selectExpr("*", "floor(log2(__lifted)) AS __guess")
+        .selectExpr("*", f"{scaled_sql('__lifted', '-__guess')} AS __fraction")
+        .selectExpr("*", "__guess + CASE WHEN __fraction >= 2 THEN 1 WHEN __fraction < 1 THEN -1 ELSE 0 END AS __exponent")
+        .selectExpr("*", f"IF({number} < 0, -1L, 1L) * {bits} AS `{name}`")
+        .drop("__size", "__lifted", "__guess", "__fraction", "__exponent")
+    )
 
 
 def of_key(key: Column) -> Column:
@@ -91,10 +95,6 @@ def of_key(key: Column) -> Column:
     return F.when(key > INFINITE_BITS, float("nan")).when(bits == INFINITE_BITS, F.when(key < 0, float("-inf")).otherwise(float("inf"))).otherwise(finite)
 
 
-SMALLEST_NORMAL = 2.0**-1022
-INFINITE_BITS = 2047 << 52
-
-
 def selected(df: DataFrame, by: Sequence[str], value: str, ranks: Callable[[Column], Sequence[Column]]) -> DataFrame:
     """(by..., __side, value): of each class the values at the ranks (from 1) that ``ranks`` draws from its count.
 
@@ -103,8 +103,8 @@ def selected(df: DataFrame, by: Sequence[str], value: str, ranks: Callable[[Colu
     are, all in one plan; a round is one scan and aggregation, and a window over at most ``BUCKETS`` rows per class
     and rank.
     """
-    known = df.filter(F.col(value).isNotNull()).select(*by, ordered_key(F.col(value)).alias("__key"))
-    known = settle(known, "known-keys")
+    known = with_key(df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("__value")), "__value")
+    known = settle(known.select(*by, "__key"), "known-keys")
     names = ["__by_" + column for column in by]
     whole, running = Window.partitionBy(*names), Window.partitionBy(*names, "__side").orderBy("__bucket")
     same = reduce(Column.__and__, [F.col(column).eqNullSafe(F.col(name)) for column, name in zip(by, names)], F.lit(True))

@@ -30,22 +30,18 @@ def multi_grain(
     ratio is wanted.
     """
     sources = sorted({*means.values(), *sums.values(), *[c for r in ratios.values() for c in r[:2]]})
-    place = {name: i for i, name in enumerate(sources)}
     folded = exact.folded(df, grains, sources, keep=[F.count(F.lit(1)).alias("__rows")])
     states = exact.stacked(folded, grains, sources, keep=["__rows"])
+    totals = [F.coalesce(F.sum("__rows"), F.lit(0)).alias(count), *exact.gathered(sources)]
 
-    def totals() -> list[Column]:
-        """Of one measure each, from states merged by bin."""
-        amounts = [exact.total_of(i, exact.entries_of(i)).alias(f"__sum_{name}") for name, i in place.items()]
-        known = [F.sum(F.when(F.col("__measure") == i, F.col("__n"))).alias(f"__known_{name}") for name, i in place.items()]
-        return [F.coalesce(F.sum("__rows"), F.lit(0)).alias(count), *amounts, *known]
-
-    def shown(label: Column) -> list[Column]:
+    def shown(gathered: DataFrame) -> DataFrame:
         def filled(name):
             return F.coalesce(F.col(f"__sum_{name}"), F.lit(0.0))
 
-        return [
-            label.alias("__label"),
+        amounts = [f"{exact.total_sql(v)} AS `__sum_{v}`" for v in sources]
+        known = [f"{exact.count_sql(v)} AS `__known_{v}`" for v in sources]
+        return gathered.selectExpr("__label", f"`{count}`", *amounts, *known).select(
+            "__label",
             count,
             *[divided(f"__sum_{source}", f"__known_{source}").alias(name) for name, source in means.items()],
             *[F.col(f"__sum_{source}").alias(name) for name, source in sums.items()],
@@ -53,7 +49,7 @@ def multi_grain(
                 (divided(filled(top), zero_as_null(filled(bottom))) * F.lit(float(factor))).alias(name)
                 for name, (top, bottom, factor) in ratios.items()
             ],
-        ]
+        )
 
     merged = [*exact.merged(), F.sum("__rows").alias("__rows")]
     key = ["__measure", "__bin"]
@@ -65,6 +61,6 @@ def multi_grain(
     )
     sets = states.groupingSets([[grain, *key] for grain in grains], *grains, *key)
     by_bin = sets.agg(group_of.alias("__of"), which.alias("__grain"), *merged)
-    by_grain = by_bin.groupBy("__grain", "__of").agg(*totals()).select(*shown(F.col("__of")))
-    total = states.groupBy(*key).agg(*merged).agg(*totals()).select(*shown(F.lit(total_label)))
-    return by_grain.unionByName(total).withColumnRenamed("__label", label)
+    by_grain = by_bin.groupBy("__grain", F.col("__of").alias("__label")).agg(*totals).drop("__grain")
+    total = states.groupBy(*key).agg(*merged).agg(*totals).withColumn("__label", F.lit(total_label))
+    return shown(by_grain.unionByName(total)).withColumnRenamed("__label", label)

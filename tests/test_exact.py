@@ -142,7 +142,7 @@ def test_ordered_keys_are_the_bits_and_lead_back(spark):
     edges = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, math.nextafter(2.0**-1022, 0), 1.0, -1.0, INF, -INF, NAN, 1.7976931348623157e308]
     powers = [y for k in range(-1074, 1024, 13) for y in (2.0**k, math.nextafter(2.0**k, 0), math.nextafter(2.0**k, INF))]
     values = [*edges, *powers, *(rng.choice((1, -1)) * rng.random() * 10.0 ** rng.uniform(-310, 308) for _ in range(2000))]
-    df = spark.createDataFrame([(x,) for x in values], "x double").withColumn("key", ranking.ordered_key(F.col("x")))
+    df = ranking.with_key(spark.createDataFrame([(x,) for x in values], "x double"), "x", "key")
     rows = df.withColumn("back", ranking.of_key(F.col("key"))).collect()
     assert all(r.key == key_of(r.x) and same(r.x, r.back) for r in rows)
 
