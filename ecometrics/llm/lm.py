@@ -1,31 +1,31 @@
-"""Language-model scores from an Elias-Fano trie of n-grams.
-
-Words, pairs and triples are counted over all training documents.  Pairs and triples travel as
-sorted, compressed blocks, one per task and hash bucket.  The model keeps the words and n-grams of the
-highest counts that fit its size, interpolates them by absolute discounting, and gives the mass of all
-others to the shorter context.  The trie has a level per order: pointers to a context's successors are a
-monotone sequence, and so are the successors themselves once each context starts where the one
-before it ended.  A triple's last word is stored as its place among the successors of the middle word,
-which makes it a small number.  Looking up a word is a successor search in its context's range.
-The levels are one file that every executor maps into memory.
-
-Words outside the trie's vocabulary back off to add-one probabilities of their exact counts.  The counts of
-a bounded number of further words are broadcast, and a join brings all others from the full table.
+"""Language-model scores from an Elias-Fano trie of n-grams, in shards by context.
+
+Texts are read once, into chunks of whole documents: the hashes of a chunk's distinct words, and its words by
+their numbers among them.  A chunk sends each of its distinct words, pairs and triples once, with the times it
+occurs in training documents, to the shard of its context.  A shard adds the counts up, builds its part of the
+trie, and answers every chunk that asked; the chunk puts the answers where its words are.
+
+A level of the trie holds contexts (a word, or two), pointers from each context to its successors, the successors,
+and quantised probabilities.  Contexts and pointers are monotone sequences, and so are the successors once each context
+starts where the one before it ended; all three are Elias-Fano coded.  Looking up a word is a successor search in
+its context's range.  A shard's level is a file that its task maps into memory, and is kept with the answers.
+
+Probabilities interpolate by absolute discounting.  Pairs and triples that occur ``LEAST`` times or more are kept, however many
+there are, and the mass of the rest goes to the shorter context; counts of words are exact.  Nothing is broadcast and nothing but three
+sums reaches the driver: shards and chunks grow in number with the input, not in size.
 """
 
 from __future__ import annotations
 
-import math
-import os
 import tempfile
-import uuid
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark import SparkFiles
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,310 +33,401 @@ from ecometrics.llm.common import held_out, prepared, texts, worker_state
 from ecometrics.llm.elias_fano import Sequence, mapped, to_bytes
 from ecometrics.session import settle
 
-UNKNOWN, BEGIN, END, FIRST_WORD = 0, 1, 2, 3
-WORD_BITS = 16
-FURTHER = 1 << WORD_BITS  # ids from here on have a count but no place in the trie
-BITS = np.int64(WORD_BITS)
+BEGIN, END = b"\t", b"\n"  # no word holds white space
 DISCOUNT = 0.75
-CODES = 256
+LEAST = 2
+KEY_BITS, SUCCESSOR_BITS = 62, 48
+STEPS = 4096  # of a quantised probability, for each power of ten
+ABSENT = 65535
 
 
-class Ids(dict):
-    """Word to id; words that are not there are unknown."""
+class Numbers(dict):
+    """Word to number, in the order of first use."""
 
-    def __missing__(self, _word):
-        return UNKNOWN
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
 
 
 def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()  # of bytes: lowers A-Z alone
 
 
-def numbered(batch_texts: list[bytes], ids: Ids) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts in a row, each between BEGIN and END, and where each text begins."""
-    parts, starts, at = [], [], 0
-    for text in batch_texts:
-        words = words_of(text)
-        part = np.empty(len(words) + 2, np.int64)
-        part[0], part[-1] = BEGIN, END
-        part[1:-1] = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-        parts.append(part)
-        starts.append(at)
-        at += len(part)
-    return (np.concatenate(parts) if parts else np.empty(0, np.int64)), np.array(starts, np.int64)
+def word_keys(words) -> np.ndarray:
+    digest = xxhash.xxh3_64_intdigest
+    return (np.fromiter(map(digest, words), np.uint64, len(words)) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
 
-def in_trie(ids: np.ndarray) -> np.ndarray:
-    return np.where(ids < FURTHER, ids, UNKNOWN)
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    mixed = first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    mixed = (mixed + second.view(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return (mixed >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
 
-def bin_of(counts):
-    """Counts by eighths of powers of two, so that a histogram of any counts is short."""
-    return F.floor(F.log2(counts.cast("double") + 1e-9) * 8 + 1e-6).cast("int")
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """The keys' range is cut evenly, so keys in order are in order of their shards."""
+    return ((keys >> (KEY_BITS - 32)) * shards) >> 32
+
+
+# --- packed arrays -------------------------------------------------------------------------------------------------
 
 
-def least_count(histogram: list[tuple[int, int]], most: int) -> int:
-    """The least count for which the items of at least that count are at most ``most``."""
-    kept, least = 0, None
-    for place, items in sorted(histogram, reverse=True):
-        kept += items
-        if kept > most:
-            break
-        least = place
-    return 2**62 if least is None else max(2, math.ceil(2 ** (least / 8) - 1e-6))
+def planes(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of longs, first bytes first."""
+    return np.ascontiguousarray(values.astype(np.int64).view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def word_counts(rows: DataFrame, flush: int = 400_000) -> DataFrame:
-    """(word, n) over all texts; tasks send one row per word they met."""
+def from_planes(raw: bytes, at: int, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
+    return out.view(np.int64).ravel()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
 
-        def out() -> pa.RecordBatch:
-            record = pa.RecordBatch.from_pydict({"word": pa.array(list(counts), pa.binary()).cast(pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
-            counts.clear()
-            return record
+def pack(*columns: tuple[np.ndarray, int]) -> bytes:
+    """Columns of longs with the bytes that each needs, compressed."""
+    head = np.array([len(columns), *(x for values, width in columns for x in (len(values), width))], np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes(*x) for x in columns))
 
-        for batch in batches:
-            for text in texts(batch):
-                counts.update(words_of(text))
-            if len(counts) > flush:
-                yield out()
-        yield out()
 
-    return rows.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+def unpack(block: bytes) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(block)
+    columns = int(np.frombuffer(raw, np.int64, 1)[0])
+    shape = np.frombuffer(raw, np.int64, 2 * columns, 8)
+    at, out = 8 + 16 * columns, []
+    for n, width in shape.reshape(-1, 2).tolist():
+        out.append(from_planes(raw, at, n, width))
+        at += n * width
+    return out
 
 
-def pack(codes: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted codes as differences, and their counts."""
-    steps = np.diff(codes, prepend=np.int64(0))
-    raw = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes() + counts.astype(np.uint32).tobytes()
-    return len(codes).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(raw)
+# --- chunks --------------------------------------------------------------------------------------------------------
 
 
-def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = int.from_bytes(block[:8], "little")
-    raw = zstandard.ZstdDecompressor().decompress(block[8:])
-    steps = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n).reshape(8, n).T).view(np.int64).ravel()
-    return np.cumsum(steps), np.frombuffer(raw, np.uint32, n, 8 * n).astype(np.int64)
+@dataclass
+class Grams:
+    """Distinct grams in the order of their contexts' keys and then their successors'."""
 
+    codes: np.ndarray  # place of the context, place of the word
+    contexts: np.ndarray  # keys, each once
+    runs: np.ndarray  # successors of each context
+    successors: np.ndarray
+    counts: np.ndarray  # in training documents
+    number: np.ndarray  # of the gram at each place
 
-def folded(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(codes, kind="stable")
-    codes, counts = codes[order], counts[order]
-    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.empty(0, np.int64)
-    return codes[first], np.add.reduceat(counts, first) if len(first) else counts
+    @classmethod
+    def of(cls, context: np.ndarray, word: np.ndarray, context_keys: np.ndarray, word_keys: np.ndarray, trained: np.ndarray) -> Grams:
+        """``context`` and ``word``, by place, are places among sorted keys."""
+        codes, number = np.unique(context * np.int64(len(word_keys)) + word, return_inverse=True)
+        contexts, runs = np.unique(codes // len(word_keys), return_counts=True)
+        counts = np.bincount(number, weights=trained, minlength=len(codes)).astype(np.int64)
+        successors = word_keys[codes % len(word_keys)] >> (KEY_BITS - SUCCESSOR_BITS)
+        return cls(codes, context_keys[contexts], runs, successors, counts, number)
 
+    def blocks(self, shards: int) -> Iterator[tuple[int, bytes]]:
+        shard = shard_of(self.contexts, shards)
+        cuts = np.searchsorted(shard, np.arange(shards + 1))
+        ends = np.append(0, np.cumsum(self.runs))
+        for i in np.unique(shard).tolist():
+            a, b = cuts[i], cuts[i + 1]
+            c, d = ends[a], ends[b]
+            keys = np.diff(self.contexts[a:b], prepend=0)
+            yield i, pack((keys, 8), (self.runs[a:b], 4), (self.successors[c:d], SUCCESSOR_BITS // 8), (self.counts[c:d], 4))
 
-def gram_counts(rows: DataFrame, codes_of, buckets: int, flush: int = 3_000_000) -> DataFrame:
-    """(items, block): for each hash bucket the codes met twice or more, packed, and (bin, items) of all their counts."""
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+class Chunk:
+    """The words of whole documents, by their places among the sorted keys of the distinct ones."""
+
+    def __init__(self, vocabulary: np.ndarray, words: np.ndarray, sizes: np.ndarray, held: np.ndarray):
+        order = np.argsort(vocabulary, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.keys, self.words, self.sizes = vocabulary[order], place[words], sizes
+        self.starts = np.cumsum(sizes + 2) - sizes - 2
+        self.trained = np.repeat(~held, sizes + 2).astype(np.float64)
+        scored = np.ones(len(words), bool)
+        scored[self.starts] = False
+        self.at = np.flatnonzero(scored)  # where a probability is asked for
+        self.third = np.flatnonzero(scored[self.at - 1])  # of these, where two words precede
+
+    def word_counts(self) -> np.ndarray:
+        return np.bincount(self.words[self.at], weights=self.trained[self.at], minlength=len(self.keys)).astype(np.int64)
+
+    def word_blocks(self, shards: int) -> Iterator[tuple[int, bytes]]:
+        shard, counts = shard_of(self.keys, shards), self.word_counts()
+        cuts = np.searchsorted(shard, np.arange(shards + 1))
+        for i in np.unique(shard).tolist():
+            part = slice(cuts[i], cuts[i + 1])
+            yield i, pack((np.diff(self.keys[part], prepend=0), 8), (counts[part], 8))
+
+    def grams(self) -> tuple[Grams, Grams]:
+        before, word, trained = self.words[self.at - 1], self.words[self.at], self.trained[self.at]
+        pairs = Grams.of(before, word, self.keys, self.keys, trained)
+        # The pair that ends before each third word, numbered by the order of the pairs' keys.
+        keys = pair_keys(self.keys[pairs.codes // len(self.keys)], self.keys[pairs.codes % len(self.keys)])
+        order = np.argsort(keys, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        context = place[pairs.number[self.third - 1]]
+        return pairs, Grams.of(context, word[self.third], keys[order], self.keys, trained[self.third])
+
+
+CHUNK_SCHEMA = "chunk bigint, doc_ids array<{kind}>, held array<boolean>, sizes array<bigint>, trained bigint, body binary"
+
+
+def chunks(rows: DataFrame, chunk_words: int) -> DataFrame:
+    """Whole documents in chunks of about ``chunk_words`` words, a longer document in one of its own."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("lm")
+        name = TaskContext.get().partitionId() << 32
+        numbers, parts, ids, held, size = Numbers({BEGIN: 0, END: 1}), [], [], [], 0
 
         def out() -> pa.RecordBatch:
-            codes = np.sort(np.concatenate(held)) if held else np.empty(0, np.int64)
-            held.clear()
-            first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.empty(0, np.int64)
-            counts = np.diff(np.append(first, len(codes)))
-            codes = codes[first]
-            bucket = ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % buckets
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            blocks = [(i, pack(codes[p], counts[p])) for i in range(buckets) if len(p := order[cuts[i] : cuts[i + 1]])]
-            return pa.RecordBatch.from_pydict({"bucket": pa.array([x[0] for x in blocks], pa.int32()), "block": pa.array([x[1] for x in blocks], pa.binary())})
+            nonlocal name, numbers, size
+            sizes = np.array([len(x) - 2 for x in parts], np.int64)
+            outside = pa.concat_arrays(held)
+            trained = int((sizes + 1)[~outside.to_numpy(zero_copy_only=False)].sum())
+            body = pack((word_keys(numbers), 8), (np.concatenate(parts), 4))
+            record = pa.RecordBatch.from_pydict({
+                "chunk": pa.array([name], pa.int64()), "doc_ids": one_list(pa.concat_arrays(ids)), "held": one_list(outside),
+                "sizes": one_list(pa.array(sizes)), "trained": pa.array([trained], pa.int64()), "body": pa.array([body], pa.binary()),
+            })
+            name, numbers, size = name + 1, Numbers({BEGIN: 0, END: 1}), 0
+            parts.clear(), ids.clear(), held.clear()
+            return record
 
         for batch in batches:
-            codes = codes_of(texts(batch))
-            held.append(codes)
-            size += len(codes)
-            if size > flush:
-                size = 0
-                yield out()
-        yield out()
-
-    def merge(table: pa.Table) -> pa.Table:
-        codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        held, waiting = [], 0
-        for block in table.column("block").to_pylist():
-            held.append(unpack(block))
-            waiting += len(held[-1][0])
-            if waiting > max(1_000_000, len(codes)):
-                codes, counts = folded(np.concatenate([codes, *(x[0] for x in held)]), np.concatenate([counts, *(x[1] for x in held)]))
-                held, waiting = [], 0
-        codes, counts = folded(np.concatenate([codes, *(x[0] for x in held)]), np.concatenate([counts, *(x[1] for x in held)]))
-        twice = counts > 1
-        codes, counts = codes[twice], np.minimum(counts[twice], 2**32 - 1)
-        bins, items = np.unique(np.floor(np.log2(counts + 1e-9) * 8 + 1e-6).astype(np.int32), return_counts=True)
-        return pa.table({
-            "bins": pa.array([bins.tolist()], pa.list_(pa.int32())), "items": pa.array([items.tolist()], pa.list_(pa.int64())),
-            "block": pa.array([pack(codes, counts)], pa.binary()),
-        })
+            begun = 0
+            for i, text in enumerate(texts(batch)):
+                words = words_of(text)
+                part = np.zeros(len(words) + 2, np.int32)
+                part[-1] = 1
+                part[1:-1] = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
+                parts.append(part)
+                size += len(part)
+                if size >= chunk_words or i + 1 == batch.num_rows:
+                    ids.append(batch.column("doc_id").slice(begun, i + 1 - begun))
+                    held.append(batch.column("held_out").slice(begun, i + 1 - begun))
+                    begun = i + 1
+                if size >= chunk_words:
+                    yield out()
+        if parts:
+            yield out()
 
-    sent = rows.mapInArrow(send, "bucket int, block binary")
-    return sent.groupBy("bucket").applyInArrow(merge, "bins array<int>, items array<bigint>, block binary")
+    return rows.mapInArrow(run, CHUNK_SCHEMA.format(kind=kind))
 
 
-def kept_grams(counted: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The codes and counts of the at most ``most`` grams of highest count, by code."""
-    histogram = counted.select(F.explode(F.arrays_zip("bins", "items")).alias("x")).groupBy("x.bins").agg(F.sum("x.items").alias("n")).collect()
-    least = least_count([(row["bins"], row["n"]) for row in histogram], most)
+def one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def read_chunk(columns, i: int) -> Chunk:
+    vocabulary, words = unpack(columns.column("body")[i].as_py())
+    sizes, held = (np.array(columns.column(x)[i].as_py()) for x in ("sizes", "held"))
+    return Chunk(vocabulary, words, sizes.astype(np.int64), held.astype(bool))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for block in batch.column("block").to_pylist():
-                codes, counts = unpack(block)
-                out.append(pack(codes[counts >= least], counts[counts >= least]))
-            yield pa.RecordBatch.from_pydict({"block": pa.array(out, pa.binary())})
 
-    blocks = [unpack(row["block"]) for row in counted.select("block").mapInArrow(cut, "block binary").toLocalIterator()]
-    if not blocks:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return folded(np.concatenate([x[0] for x in blocks]), np.concatenate([x[1] for x in blocks]))
+# --- shards --------------------------------------------------------------------------------------------------------
 
 
-def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A byte per value and the values that bytes stand for: the means of equally filled bins."""
-    if not len(values):
-        return np.empty(0, np.uint8), np.zeros(CODES, np.float32)
-    order = np.argsort(values, kind="stable")
-    codes = np.empty(len(values), np.uint8)
-    codes[order] = np.arange(len(values)) * CODES // len(values)
-    sums = np.bincount(codes, weights=values, minlength=CODES)
-    return codes, (sums / np.maximum(np.bincount(codes, minlength=CODES), 1)).astype(np.float32)
+def quantised(values: np.ndarray) -> np.ndarray:
+    """Steps of a 4096th of a power of ten down from 1, the same in every shard."""
+    return np.clip(np.rint(-np.log10(np.maximum(values, 1e-15)) * STEPS), 0, ABSENT - 1).astype(np.uint16)
+
+
+def value_of(codes: np.ndarray) -> np.ndarray:
+    return np.where(codes == ABSENT, 0.0, 10.0 ** (-codes / STEPS))
+
+
+def find(sequence: Sequence, values: np.ndarray) -> np.ndarray:
+    """The place of each value, or -1."""
+    out = np.full(len(values), -1, np.int64)
+    if sequence.n:
+        inside = np.flatnonzero(values <= sequence.access(np.array([sequence.n - 1]))[0])
+        out[inside] = sequence.find(values[inside])
+    return out
 
 
 class Level:
-    """The successors of each context: pointers, relative ids, quantised log10 probabilities."""
-
-    def __init__(self, arrays: dict[str, np.ndarray], name: str):
-        self.pointers = Sequence({x: arrays[f"{name}.pointers.{x}"] for x in Sequence.PARTS})
-        self.ids = Sequence({x: arrays[f"{name}.ids.{x}"] for x in Sequence.PARTS})
-        self.codes, self.book = arrays[f"{name}.codes"], arrays[f"{name}.book"]
-        self.back_codes, self.back_book = arrays[f"{name}.back_codes"], arrays[f"{name}.back_book"]
-        self.last = int(self.ids.access(np.array([self.ids.n - 1]))[0]) if self.ids.n else -1
-
-    @staticmethod
-    def build(name: str, context: np.ndarray, ids: np.ndarray, contexts: int, log_p: np.ndarray, log_back: np.ndarray) -> dict[str, np.ndarray]:
-        """``context`` and ``ids`` in order; ``log_back`` by context."""
-        pointers = np.searchsorted(context, np.arange(contexts + 1))
-        last = np.flatnonzero(np.append(context[1:] != context[:-1], True)) if len(context) else np.empty(0, np.int64)
-        ends = np.cumsum(ids[last] + 1)
-        base = np.append(0, ends)[:-1] if len(last) else ends
-        relative = ids + np.repeat(base, np.diff(np.append(-1, last)))
-        out = {f"{name}.pointers.{k}": v for k, v in Sequence.build(pointers).parts.items()}
-        out |= {f"{name}.ids.{k}": v for k, v in Sequence.build(relative).parts.items()}
-        out[f"{name}.codes"], out[f"{name}.book"] = quantised(log_p)
-        out[f"{name}.back_codes"], out[f"{name}.back_book"] = quantised(log_back)
-        return out
+    """Contexts, their successors, and what the grams and contexts are worth."""
 
-    def start(self, context: np.ndarray) -> np.ndarray:
-        return self.pointers.access(context)
+    SEQUENCES = ("contexts", "words", "pointers", "ids")
+
+    def __init__(self, arrays: dict[str, np.ndarray]):
+        self.contexts, self.words, self.pointers, self.ids = (
+            Sequence({x: arrays[f"{name}.{x}"] for x in Sequence.PARTS}) for name in self.SEQUENCES
+        )
+        self.share, self.left = arrays["share"], arrays["left"]
+
+    @classmethod
+    def build(cls, contexts: np.ndarray, successors: np.ndarray, counts: np.ndarray, least: int = LEAST) -> dict[str, np.ndarray]:
+        """From all grams and their counts, in order; grams below ``least`` count in their context's total alone."""
+        first = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1])) if len(contexts) else np.empty(0, np.int64)
+        totals = np.add.reduceat(counts, first) if len(first) else counts
+        context = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(contexts))))
+        kept = np.flatnonzero(counts >= least)
+        share = (counts[kept] - DISCOUNT) / totals[context[kept]]
+        used, context = np.unique(context[kept], return_inverse=True)
+        left = np.clip(1 - np.bincount(context, weights=share, minlength=len(used)), 1e-9, 1)
+        words, ids = np.unique(successors[kept], return_inverse=True)
+        last = np.flatnonzero(np.append(context[1:] != context[:-1], True)) if len(kept) else np.empty(0, np.int64)
+        base = np.append(0, np.cumsum(ids[last] + 1))[: len(last)]
+        relative = ids + np.repeat(base, np.diff(np.append(-1, last)))
+        sequences = (contexts[first][used], words, np.searchsorted(context, np.arange(len(used) + 1)), relative)
+        out = {f"{name}.{k}": v for name, values in zip(cls.SEQUENCES, sequences) for k, v in Sequence.build(values).parts.items()}
+        return out | {"share": quantised(share), "left": quantised(left)}
 
     def find(self, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """The place of each successor in its context's range, or -1."""
-        out = np.full(len(context), -1, np.int64)
-        if not self.ids.n or not len(context):
-            return out
         begin, end = self.pointers.access(context), self.pointers.access(context + 1)
-        some = np.flatnonzero(begin < end)
-        base = np.zeros(len(some), np.int64)
-        later = np.flatnonzero(begin[some] > 0)
-        base[later] = self.ids.access(begin[some[later]] - 1) + 1
-        wanted = base + ids[some]
-        inside = np.flatnonzero(wanted <= self.last)
-        places = self.ids.find(wanted[inside])
-        hit = (places >= 0) & (places < end[some[inside]])
-        out[some[inside[hit]]] = places[hit]
-        return out
-
-    def log_p(self, places: np.ndarray) -> np.ndarray:
-        return self.book[self.codes[places]].astype(np.float64)
-
-    def log_back(self, context: np.ndarray) -> np.ndarray:
-        return self.back_book[self.back_codes[context]].astype(np.float64)
-
-
-def discounted(context: np.ndarray, counts: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each gram's discounted share of its context, and the mass left to each context."""
-    share = (counts - DISCOUNT) / totals[context]
-    return share, np.clip(1 - np.bincount(context, weights=share, minlength=len(totals)), 1e-9, 1)
-
-
-def pair_level(codes: np.ndarray, counts: np.ndarray, word_p: np.ndarray, context_totals: np.ndarray) -> tuple[dict, np.ndarray]:
-    """The level of pairs and their probabilities before quantising."""
-    first, second = codes >> BITS, codes & ((1 << WORD_BITS) - 1)
-    share, left = discounted(first, counts, np.maximum(context_totals, 1))
-    p = share + left[first] * word_p[second]
-    return Level.build("pairs", first, second, len(word_p), np.log10(p), np.log10(left)), p
-
-
-def triple_level(codes: np.ndarray, counts: np.ndarray, pairs: np.ndarray, pair_n: np.ndarray, pair_p: np.ndarray) -> dict:
-    """The level of triples over places of pairs; every triple's two pairs are in ``pairs``."""
-    context = np.searchsorted(pairs, codes >> BITS)
-    lower = np.searchsorted(pairs, codes & ((1 << 2 * WORD_BITS) - 1))
-    middle_start = np.searchsorted(pairs, pairs[lower] >> BITS << BITS) if len(pairs) else lower
-    share, left = discounted(context, counts, pair_n) if len(pairs) else (counts.astype(float), np.empty(0))
-    p = share + left[context] * pair_p[lower] if len(pairs) else share
-    return Level.build("triples", context, lower - middle_start, len(pairs), np.log10(p), np.log10(left))
-
-
-class Trie:
-    """A mapped model; scores whole arrays of ids."""
-
-    def __init__(self, path: str):
-        arrays = mapped(path)
-        self.word_p = arrays["words.log_p"]
-        self.pairs = Level(arrays, "pairs")
-        self.triples = Level(arrays, "triples") if "triples.codes" in arrays else None
-
-    def pair_places(self, ids: np.ndarray) -> np.ndarray:
-        """For each place the pair that ends there, or -1; BEGIN ends none."""
-        out = np.full(len(ids), -1, np.int64)
-        if len(ids) > 1:
-            at = np.flatnonzero((ids[1:] > BEGIN) & (ids[:-1] != UNKNOWN) & (ids[:-1] != END)) + 1
-            out[at] = self.pairs.find(ids[at - 1], ids[at])
-        return out
-
-    def score(self, ids: np.ndarray) -> np.ndarray:
-        """log10 probability of the id at each place; 0 at BEGIN; unknown words count their back-off alone."""
-        pair = self.pair_places(ids)
-        before = np.append(BEGIN, ids[:-1]) if len(ids) else ids
-        out = np.where(pair >= 0, 0.0, self.word_p[ids])
-        found, missed = np.flatnonzero(pair >= 0), np.flatnonzero((pair < 0) & (before != UNKNOWN) & (before != END))
-        out[found] = self.pairs.log_p(pair[found])
-        out[missed] += self.pairs.log_back(before[missed])
-        if self.triples is not None:
-            context = np.append(-1, pair[:-1]) if len(ids) else pair
-            context = np.where(ids == BEGIN, -1, context)
-            some = np.flatnonzero(context >= 0)
-            place = np.full(len(some), -1, np.int64)
-            both = np.flatnonzero(pair[some] >= 0)
-            at = some[both]
-            place[both] = self.triples.find(context[at], pair[at] - self.pairs.start(before[at]))
-            hit = place >= 0
-            out[some[hit]] = self.triples.log_p(place[hit])
-            out[some[~hit]] += self.triples.log_back(context[some[~hit]])
-        out[ids == BEGIN] = 0
-        return out
-
-
-def trie(name: str) -> Trie:
-    state = worker_state("lm")
-    if state.get("name") != name:
-        state.update(name=name, trie=Trie(SparkFiles.get(name)))
-    return state["trie"]
-
-
-def ship(spark, arrays: dict[str, np.ndarray]) -> str:
-    """Write the arrays to a file that every executor fetches; its name."""
-    name = f"trie-{uuid.uuid4().hex}.bin"
-    path = os.path.join(os.path.realpath(tempfile.mkdtemp()), name)
-    with open(path, "wb") as file:
-        file.write(to_bytes(arrays))
-    spark.sparkContext.addFile(path)
-    return name
+        base = np.zeros(len(context), np.int64)
+        later = np.flatnonzero(begin > 0)
+        base[later] = self.ids.access(begin[later] - 1) + 1
+        places = find(self.ids, base + ids)
+        return np.where((places >= begin) & (places < end), places, -1)
+
+    def answer(self, contexts: np.ndarray, runs: np.ndarray, successors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of the mass that each context leaves, and of each gram's share of its context."""
+        known = find(self.contexts, contexts)
+        left = np.zeros(len(contexts), np.int64)
+        left[known >= 0] = self.left[known[known >= 0]]
+        context, word = np.repeat(known, runs), find(self.words, successors)
+        share = np.full(len(successors), ABSENT, np.int64)
+        both = np.flatnonzero((context >= 0) & (word >= 0))
+        places = self.find(context[both], word[both])
+        share[both[places >= 0]] = self.share[places[places >= 0]]
+        return left, share
+
+
+class Shard:
+    """Adds up the counts of one order's blocks and answers them; the blocks wait in their packed form."""
+
+    def __init__(self, order: int):
+        self.order, self.blocks, self.held, self.waiting = order, [], [], 0
+        self.total = tuple(np.empty(0, np.int64) for _ in range(2 if order == 1 else 3))
+
+    def columns(self, block: bytes) -> list[np.ndarray]:
+        found = unpack(block)
+        return [np.cumsum(found[0]), *found[1:]]
+
+    def add(self, chunk: int, block: bytes) -> None:
+        self.blocks.append((chunk, block))
+        found = self.columns(block)
+        if self.order > 1:
+            found = [np.repeat(found[0], found[1]), *found[2:]]
+        trained = found[-1] > 0
+        self.held.append([x[trained] for x in found])
+        self.waiting += int(trained.sum())
+        if self.waiting > max(500_000, len(self.total[0])):
+            self.fold()
+
+    def fold(self) -> None:
+        *keys, counts = (np.concatenate(x) for x in zip(self.total, *self.held))
+        order = np.argsort(keys[0], kind="stable") if self.order == 1 else np.lexsort(keys[::-1])
+        keys, counts = [x[order] for x in keys], counts[order]
+        changes = np.zeros(len(counts), bool)
+        changes[:1] = True
+        for x in keys:
+            changes[1:] |= x[1:] != x[:-1]
+        first = np.flatnonzero(changes)
+        self.total = (*(x[first] for x in keys), np.add.reduceat(counts, first) if len(first) else counts)
+        self.held, self.waiting = [], 0
+
+    def built(self) -> dict[str, np.ndarray]:
+        self.fold()
+        if self.order > 1:
+            return Level.build(*self.total)
+        return {f"words.{k}": v for k, v in Sequence.build(self.total[0]).parts.items()} | {"counts": self.total[1]}
+
+    def answers(self, arrays: dict[str, np.ndarray]) -> Iterator[tuple[int, bytes]]:
+        if self.order > 1:
+            level = Level(arrays)
+            for chunk, block in self.blocks:
+                contexts, runs, successors, _ = self.columns(block)
+                left, share = level.answer(contexts, runs, successors)
+                yield chunk, pack((left, 2), (share, 2))
+            return
+        words = Sequence({x: arrays[f"words.{x}"] for x in Sequence.PARTS})
+        for chunk, block in self.blocks:
+            places = find(words, self.columns(block)[0])
+            counts = np.zeros(len(places), np.int64)
+            counts[places >= 0] = arrays["counts"][places[places >= 0]]
+            yield chunk, pack((counts, 8))
+
+
+def level_file(raw: bytes) -> dict[str, np.ndarray]:
+    """The arrays, mapped from a file in the executor's own folder that lives as long as the mapping."""
+    with tempfile.NamedTemporaryFile(dir=SparkFiles.getRootDirectory()) as file:
+        file.write(raw)
+        file.flush()
+        return mapped(file.name)
+
+
+def answered(chunked: DataFrame, shards: int) -> DataFrame:
+    """(shard, chunk, types, body): for each shard its answers by chunk, and its level with no chunk and the number of its words.
+
+    Shards of words come first, then those of pairs and of triples.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("lm")
+        for batch in batches:
+            for i in range(batch.num_rows):
+                chunk = read_chunk(batch, i)
+                pairs, triples = chunk.grams()
+                for order, blocks in enumerate((chunk.word_blocks(shards), pairs.blocks(shards), triples.blocks(shards))):
+                    found = list(blocks)
+                    yield pa.RecordBatch.from_pydict({
+                        "shard": pa.array([order * shards + x for x, _ in found], pa.int32()),
+                        "chunk": pa.array([batch.column("chunk")[i].as_py()] * len(found), pa.int64()),
+                        "body": pa.array([x for _, x in found], pa.binary()),
+                    })
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("lm")
+        name, shard = None, None
+
+        def rows(found: list[tuple[int | None, int, bytes]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({
+                "shard": pa.array([name] * len(found), pa.int32()), "chunk": pa.array([x for x, _, _ in found], pa.int64()),
+                "types": pa.array([x for _, x, _ in found], pa.int64()), "body": pa.array([x for _, _, x in found], pa.binary()),
+            })
+
+        def out() -> Iterator[pa.RecordBatch]:
+            raw = to_bytes(shard.built())
+            yield rows([(None, len(shard.total[0]) if shard.order == 1 else 0, raw)])
+            shard.total = ()
+            for chunk, body in shard.answers(level_file(raw)):
+                yield rows([(chunk, 0, body)])
+
+        for batch in batches:
+            for i, place in enumerate(batch.column("shard").to_pylist()):
+                if place != name:
+                    if shard is not None:
+                        yield from out()
+                    name, shard = place, Shard(1 + place // shards)
+                shard.add(batch.column("chunk")[i].as_py(), batch.column("body")[i].as_py())
+        if shard is not None:
+            yield from out()
+
+    sent = chunked.mapInArrow(send, "shard int, chunk bigint, body binary")
+    dealt = sent.repartition("shard").sortWithinPartitions("shard")
+    return dealt.mapInArrow(answer, "shard int, chunk bigint, types bigint, body binary")
+
+
+def scored(chunk: Chunk, counts: np.ndarray, answers: list[tuple[np.ndarray, np.ndarray]], denominator: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By document: known words, log10 probability by words alone, log10 probability by the model."""
+    p = (counts[chunk.words[chunk.at]] + 1) / denominator
+    base = np.log10(p)
+    for grams, (left, share), at in zip(chunk.grams(), answers, (slice(None), chunk.third)):
+        p[at] = value_of(share)[grams.number] + value_of(np.repeat(left, grams.runs))[grams.number] * p[at]
+    begin = np.cumsum(chunk.sizes + 1) - chunk.sizes - 1
+    known = counts[chunk.words[chunk.at]] > 0
+    return tuple(np.add.reduceat(x, begin) for x in (known.astype(np.int64), base, np.log10(p)))
 
 
 def score(
@@ -346,100 +437,42 @@ def score(
     text_col: str = "text",
     folds: int = 7,
     fold: int = 2,
-    vocabulary: int = FURTHER - FIRST_WORD,
-    further: int = 400_000,
-    pairs: int = 2_000_000,
-    triples: int = 2_000_000,
+    chunk_words: int = 1_000_000,
+    shard_words: int = 1_000_000,
 ) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from rows whose crc32 of the id as text is not ``fold`` modulo ``folds`` (a null id hashes
-    the empty text).  ``vocabulary``, ``further``, ``pairs`` and ``triples`` bound what is shipped to workers; counts
-    cover every training document, and words that are not shipped get theirs from a join.  Null and empty texts are one end token; without training documents
-    every probability of a word is 1; repeated rows count and are scored one by one; an empty table gives no
-    rows; other columns are not read.
+    the empty text); all of its counts and all grams that occur twice are used, at every size of the input.
+    ``chunk_words`` and ``shard_words`` say how many words there are to a chunk and, on average, to a shard; results
+    do not depend on them.  Null and empty texts are one end token; without training documents every probability of a
+    word is 1; repeated rows count and are scored one by one; an empty table gives no rows; other columns are not read.
     """
     spark = prepared(docs.sparkSession)
-    outside = held_out(id_col, folds, fold)
-    rows = docs.select(docs[id_col].alias("doc_id"), outside.alias("held_out"), docs[text_col].alias("text"))
-    training = rows.where(~F.col("held_out")).select("text")
-    counts = settle(word_counts(training), "word-counts")
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("types")).first()
-    ends = training.count()
-    n, v = totals["tokens"] + ends, totals["types"] + (ends > 0)
+    rows = docs.select(docs[id_col].alias("doc_id"), held_out(id_col, folds, fold).alias("held_out"), docs[text_col].alias("text"))
+    chunked = settle(chunks(rows, chunk_words), "chunks")
+    sums = chunked.select(F.sum("trained").alias("trained"), F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b + 1)).alias("all")).first()
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(sums["all"] or 0) // shard_words))
+    replies = settle(answered(chunked, shards), "answers")
+    n, v = sums["trained"] or 0, replies.agg(F.sum("types").alias("types")).first()["types"] or 0
     denominator = float(n + v + 1)
-    histogram = counts.groupBy(bin_of(F.col("n")).alias("bin")).count().collect()
-    bins = [(row["bin"], row["count"]) for row in histogram]
-    least, least_further = least_count(bins, vocabulary), least_count(bins, vocabulary + further)
-    shipped = sorted((row["word"].encode(), row["n"]) for row in counts.where(F.col("n") >= least_further).toLocalIterator())
-    known = [x for x in shipped if x[1] >= least]
-    others = [x for x in shipped if x[1] < least]
-    ids = Ids({word: i + FIRST_WORD for i, (word, _) in enumerate(known)})
-    ids.update((word, i + FURTHER) for i, (word, _) in enumerate(others))
-    shared = spark.sparkContext.broadcast(ids)
-    count_of = np.array([0, 0, ends, *(c for _, c in known)], np.float64)
-    word_p = (count_of + 1) / denominator
-    log_count_p = np.zeros(FURTHER + len(others))
-    log_count_p[END : len(word_p)] = np.log10(word_p[END:])
-    log_count_p[FURTHER:] = np.log10((np.array([c for _, c in others], np.float64) + 1) / denominator)
-
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-
-    def pair_codes(batch_texts: list[bytes]) -> np.ndarray:
-        found = in_trie(numbered(batch_texts, shared.value)[0])
-        a, b = found[:-1], found[1:]
-        return (a << BITS | b)[(a != UNKNOWN) & (a != END) & (b > BEGIN)]
-
-    pair_codes_kept, pair_n = kept_grams(settle(gram_counts(training, pair_codes, buckets), "pairs"), pairs)
-    context_totals = count_of.copy()
-    context_totals[BEGIN] = ends
-    arrays, pair_p = pair_level(pair_codes_kept, pair_n, word_p, context_totals)
-    log_word_p = np.log10(word_p)
-    log_word_p[[UNKNOWN, BEGIN]] = 0
-    arrays["words.log_p"] = log_word_p
-    pair_file = ship(spark, arrays)
-
-    def triple_codes(batch_texts: list[bytes]) -> np.ndarray:
-        found = in_trie(numbered(batch_texts, shared.value)[0])
-        place = trie(pair_file).pair_places(found)
-        at = np.flatnonzero((place[1:] >= 0) & (place[:-1] >= 0)) + 1
-        return (found[at - 2] << BITS | found[at - 1]) << BITS | found[at]
-
-    codes, n3 = kept_grams(settle(gram_counts(training, triple_codes, buckets), "triples"), triples)
-    arrays |= triple_level(codes, n3, pair_codes_kept, pair_n, pair_p)
-    full_file = ship(spark, arrays)
-
-    def score_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, lookup = trie(full_file), shared.value
-        for batch in batches:
-            raw = texts(batch)
-            found, starts = numbered(raw, lookup)
-            by_count = log_count_p[found]
-            by_model = model.score(in_trie(found)) + np.where(found >= FURTHER, by_count, 0)
-            by_model, by_count = (np.add.reduceat(x, starts) if len(starts) else np.empty(0) for x in (by_model, by_count))
-            counted = found > BEGIN
-            sizes = np.diff(np.append(starts, len(found))) - 1
-            there = np.add.reduceat(counted & (found != END), starts) if len(starts) else np.empty(0, np.int64)
-            rare = [Counter(w for w in words_of(x) if w not in lookup) if s - 1 > t else {} for x, s, t in zip(raw, sizes, there)]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "n_tokens": pa.array(sizes, pa.int64()),
-                "n_known": pa.array(there + (ends > 0), pa.int64()), "base_score": pa.array(by_count), "score": pa.array(by_model),
-                "rare": pa.array([[(w.decode(), c) for w, c in x.items()] for x in rare], pa.map_(pa.string(), pa.int64())),
-            })
+
+    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        chunk = read_chunk(left, 0)
+        right = right.sort_by("shard")
+        found: list[list[list[np.ndarray]]] = [[], [], []]
+        for shard, body in zip(right.column("shard").to_pylist(), right.column("body").to_pylist()):
+            found[shard // shards].append(unpack(body))
+        counts, *answers = ([np.concatenate(x) for x in zip(*part)] or [np.empty(0, np.int64)] * 2 for part in found)
+        known, base, model = scored(chunk, counts[0], answers, denominator)
+        size = len(known)
+        return pa.table({
+            "doc_id": left.column("doc_ids").combine_chunks().flatten(), "held_out": left.column("held").combine_chunks().flatten(),
+            "n_tokens": pa.array(chunk.sizes + 1), "n_known": pa.array(known), "train_tokens": pa.array(np.full(size, n, np.int64)),
+            "base_score": pa.array(base), "score": pa.array(model),
+        })
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, rare map<string,bigint>"
-    partial = settle(rows.mapInArrow(score_known, schema).withColumn("row", F.monotonically_increasing_id()), "partial-scores")
-    unknown = partial.select("row", F.explode("rare").alias("word", "times"))
-    rest = (
-        unknown.join(counts, "word", "left")
-        .groupBy("row").agg(
-            F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(denominator))).alias("rest"),
-            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rest_known"),
-        )
-    )
-    extra = F.coalesce("rest", F.lit(0.0))
-    return partial.join(rest, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("bigint").alias("train_tokens"), (F.col("base_score") + extra).alias("base_score"), (F.col("score") + extra).alias("score"),
-    )
+    schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    asked = replies.where(F.col("chunk").isNotNull()).select("chunk", "shard", "body")
+    return chunked.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(finish, schema)

@@ -688,41 +688,73 @@ def test_model_scores(found, docs):
         text = [None, "<", *tokens_of(d.text), ">"]
         expected = math.fsum(math.log10(p(*t)) for t in zip(text, text[1:], text[2:]))
         row = found("op8_lm")[d.doc_id]
-        assert abs(row.score - expected) <= 0.02 * row.n_tokens  # probabilities are kept in a byte
+        assert abs(row.score - expected) <= row.n_tokens / lm.STEPS  # each of two factors is off by half a step at most
         base, model = base + row.base_score, model + row.score
     assert model > base
 
 
-def test_model_probabilities_add_up(tmp_path):
-    """After any two ids, all that can follow has probability 1; the share of unseen words goes to the unknown id."""
+def test_scores_do_not_depend_on_chunks_and_shards(spark, docs, found):
+    one = docs[:40]
+    rows = spark.createDataFrame([(d.doc_id, d.text) for d in one] + [(None, "x " * 3000 + "y")], "doc_id bigint, text string")
+    results = [
+        sorted(lm.score(rows, chunk_words=c, shard_words=s).collect(), key=str) for c, s in ((10**6, 10**6), (500, 300), (1, 10**6))
+    ]
+    assert len(results[0]) == len(one) + 1
+    for other in results[1:]:
+        for x, y in zip(results[0], other):
+            assert x[:5] == y[:5] and np.allclose(x[5:], y[5:], rtol=1e-12, atol=0)
+
+
+def test_unrelated_text_changes_no_share(spark):
+    """A corpus joined by one of other words: contexts and their successors are worth the same, words follow their counts."""
+    rng = random.Random(4)
+    first = [(i, " ".join(rng.choice(["ba", "bo", "bu", "be"]) for _ in range(30))) for i in range(60)]
+    second = [(i, " ".join(rng.choice(["xa", "xo", "xu", "xe"]) for _ in range(30))) for i in range(1000, 1300)]
+    alone, joined = (
+        {r.doc_id: r for r in lm.score(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()} for rows in (first, first + second)
+    )
+    for i, text in first:
+        words = len(text.split())
+        assert alone[i].n_tokens == joined[i].n_tokens == words + 1
+        # BEGIN is a context of both, so the first word is worth less; else only the words' own small part changes.
+        assert abs(alone[i].score - joined[i].score) < 1.5 + 0.02 * words
+        assert joined[i].base_score < alone[i].base_score - 0.5 * words
+
+
+def dense_level(contexts, successors, counts):
+    arrays = lm.Level.build(np.array(contexts, np.int64), np.array(successors, np.int64), np.array(counts, np.int64))
+    return lm.Level(arrays)
+
+
+def test_level_answers_as_dictionaries_do():
     rng = np.random.default_rng(2)
-    size, unseen = 40, 0.1
-    word_p = np.zeros(size)
-    word_p[lm.END :] = rng.dirichlet(np.ones(size - lm.END)) * (1 - unseen)
-    totals = rng.integers(400, 900, size).astype(float)
-    firsts = np.array([lm.BEGIN, *range(lm.FIRST_WORD, 20)])
-    pairs = np.unique(np.concatenate([a << lm.BITS | rng.choice(np.arange(lm.END, size), 9) for a in firsts]))
-    pair_n = rng.integers(2, 40, len(pairs))
-    arrays, pair_p = lm.pair_level(pairs, pair_n, word_p, totals)
-    known = set(pairs.tolist())
-    triples = [
-        (ab << 16 | c, 2)
-        for ab in known for c in range(lm.END, size)
-        if (ab & 0xFFFF) << 16 | c in known and rng.random() < 0.3
-    ]
-    codes = np.array(sorted(t for t, _ in triples))
-    room = Counter((codes >> 16).tolist())
-    pair_n = np.maximum(pair_n, [2 * room[p] for p in pairs.tolist()])  # a pair occurs at least as often as its triples
-    arrays, pair_p = lm.pair_level(pairs, pair_n, word_p, totals)
-    arrays |= lm.triple_level(codes, np.full(len(codes), 2), pairs, pair_n, pair_p)
-    with np.errstate(divide="ignore"):
-        arrays["words.log_p"] = np.where(word_p > 0, np.log10(word_p), 0)
-    path = tmp_path / "trie"
-    path.write_bytes(elias_fano.to_bytes(arrays))
-    trie = lm.Trie(str(path))
-    for a, b in [(lm.BEGIN, 5), (4, 7), (5, 30), (30, 6), (lm.UNKNOWN, 6), (6, lm.UNKNOWN), (7, 7)]:
-        p = {c: 10 ** trie.score(np.array([lm.BEGIN, a, b, c] if a != lm.BEGIN else [lm.BEGIN, b, c]))[-1] for c in [0, *range(lm.END, size)]}
-        assert math.isclose(p.pop(lm.UNKNOWN) * unseen + sum(p.values()), 1, abs_tol=0.05)
+    keys, words = np.unique(rng.integers(0, 2**62, 300)), np.unique(rng.integers(0, 2**48, 90))
+    grams = sorted({(int(rng.choice(keys)), int(rng.choice(words))): int(rng.integers(1, 9)) for _ in range(4000)}.items())
+    level = dense_level([k[0] for k, _ in grams], [k[1] for k, _ in grams], [n for _, n in grams])
+    counts, totals = dict(grams), Counter()
+    for (context, _), n in grams:
+        totals[context] += n
+    asked = np.sort(np.concatenate([keys, rng.integers(0, 2**62, 50)]))
+    every = np.concatenate([words, [0, 2**48 - 1]])
+    left, share = level.answer(asked, np.full(len(asked), len(every)), np.tile(every, len(asked)))
+    left, share = lm.value_of(left), lm.value_of(share).reshape(len(asked), -1)
+    for i, context in enumerate(asked.tolist()):
+        expected = [
+            (counts[context, w] - lm.DISCOUNT) / totals[context] if counts.get((context, w), 0) >= lm.LEAST else 0.0 for w in every.tolist()
+        ]
+        assert np.allclose(share[i], expected, rtol=3e-4, atol=0)
+        assert math.isclose(left[i], 1 - sum(expected), rel_tol=3e-4)
+        # What follows a context and what it leaves have probability 1.
+        assert math.isclose(left[i] + share[i].sum(), 1, rel_tol=1e-3)
+
+
+def test_levels_without_grams():
+    level = dense_level([], [], [])
+    left, share = level.answer(np.array([5, 9]), np.array([1, 2]), np.array([1, 2, 3]))
+    assert left.tolist() == [0, 0] and share.tolist() == [lm.ABSENT] * 3
+    level = dense_level([4, 4], [1, 2], [1, 1])  # nothing twice
+    left, share = level.answer(np.array([4]), np.array([2]), np.array([1, 2]))
+    assert left.tolist() == [0] and share.tolist() == [lm.ABSENT] * 2
 
 
 # --- 9: SimHash ----------------------------------------------------------------------------------------------------
