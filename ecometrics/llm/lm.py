@@ -19,14 +19,16 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import SparkFiles, TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ecometrics.llm.common import held_out, prepared, texts, worker_state
@@ -162,16 +164,21 @@ class Chunk:
             part = slice(cuts[i], cuts[i + 1])
             yield i, pack((np.diff(self.keys[part], prepend=0), 8), (counts[part], 8))
 
-    def grams(self) -> tuple[Grams, Grams]:
-        before, word, trained = self.words[self.at - 1], self.words[self.at], self.trained[self.at]
-        pairs = Grams.of(before, word, self.keys, self.keys, trained)
+    def pairs(self) -> Grams:
+        return Grams.of(self.words[self.at - 1], self.words[self.at], self.keys, self.keys, self.trained[self.at])
+
+    def triples(self, pairs: Grams, chosen=None) -> Grams:
+        """All, or those whose contexts' keys are ``chosen``."""
         # The pair that ends before each third word, numbered by the order of the pairs' keys.
         keys = pair_keys(self.keys[pairs.codes // len(self.keys)], self.keys[pairs.codes % len(self.keys)])
         order = np.argsort(keys, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        context = place[pairs.number[self.third - 1]]
-        return pairs, Grams.of(context, word[self.third], keys[order], self.keys, trained[self.third])
+        context, at, keys = place[pairs.number[self.third - 1]], self.at[self.third], keys[order]
+        if chosen is not None:
+            some = chosen(keys)[context]
+            context, at = context[some], at[some]
+        return Grams.of(context, self.words[at], keys, self.keys, self.trained[at])
 
 
 CHUNK_SCHEMA = "chunk bigint, doc_ids array<{kind}>, held array<boolean>, sizes array<bigint>, trained bigint, body binary"
@@ -367,10 +374,10 @@ def level_file(raw: bytes) -> dict[str, np.ndarray]:
         return mapped(file.name)
 
 
-def answered(chunked: DataFrame, shards: int) -> DataFrame:
+def answered(chunked: DataFrame, shards: int, low: int, high: int) -> DataFrame:
     """(shard, chunk, types, body): for each shard its answers by chunk, and its level with no chunk and the number of its words.
 
-    Shards of words come first, then those of pairs and of triples.
+    Of the shards of words, then of pairs, then of triples those from ``low`` on and below ``high``.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,15 +385,27 @@ def answered(chunked: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 chunk = read_chunk(batch, i)
-                pairs, triples = chunk.grams()
-                for order, blocks in enumerate((chunk.word_blocks(shards), pairs.blocks(shards), triples.blocks(shards))):
-                    found = list(blocks)
+                for order, blocks in enumerate(orders(chunk)):
+                    found = [(order * shards + x, block) for x, block in blocks]
                     yield pa.RecordBatch.from_pydict({
-                        "shard": pa.array([order * shards + x for x, _ in found], pa.int32()),
+                        "shard": pa.array([x for x, _ in found], pa.int32()),
                         "chunk": pa.array([batch.column("chunk")[i].as_py()] * len(found), pa.int64()),
                         "body": pa.array([x for _, x in found], pa.binary()),
                     })
 
+    def orders(chunk: Chunk) -> Iterator[Iterator[tuple[int, bytes]]]:
+        def chosen(order: int):
+            def within(keys: np.ndarray) -> np.ndarray:
+                shard = order * shards + shard_of(keys, shards)
+                return (shard >= low) & (shard < high)
+
+            return within
+
+        yield chunk.word_blocks(shards) if low == 0 else iter(())
+        pairs = chunk.pairs()
+        yield pairs.blocks(shards) if low <= shards < high else iter(())
+        yield chunk.triples(pairs, chosen(2)).blocks(shards) if high > 2 * shards else iter(())
+
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state("lm")
         name, shard = None, None
@@ -419,11 +438,24 @@ def answered(chunked: DataFrame, shards: int) -> DataFrame:
     return dealt.mapInArrow(answer, "shard int, chunk bigint, types bigint, body binary")
 
 
+@contextmanager
+def finished_shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run meanwhile remove their shuffle files when they end, instead of whenever the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def scored(chunk: Chunk, counts: np.ndarray, answers: list[tuple[np.ndarray, np.ndarray]], denominator: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By document: known words, log10 probability by words alone, log10 probability by the model."""
     p = (counts[chunk.words[chunk.at]] + 1) / denominator
     base = np.log10(p)
-    for grams, (left, share), at in zip(chunk.grams(), answers, (slice(None), chunk.third)):
+    pairs = chunk.pairs()
+    for grams, (left, share), at in zip((pairs, chunk.triples(pairs)), answers, (slice(None), chunk.third)):
         p[at] = value_of(share)[grams.number] + value_of(np.repeat(left, grams.runs))[grams.number] * p[at]
     begin = np.cumsum(chunk.sizes + 1) - chunk.sizes - 1
     known = counts[chunk.words[chunk.at]] > 0
@@ -453,7 +485,11 @@ def score(
     chunked = settle(chunks(rows, chunk_words), "chunks")
     sums = chunked.select(F.sum("trained").alias("trained"), F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b + 1)).alias("all")).first()
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(sums["all"] or 0) // shard_words))
-    replies = settle(answered(chunked, shards), "answers")
+    # Words and pairs, then triples by halves: the blocks of one round are gone before the next round sends its own.
+    cuts = (0, 2 * shards, 2 * shards + shards // 2, 3 * shards)
+    with finished_shuffles_removed(spark):
+        rounds = [settle(answered(chunked, shards, low, high), "answers") for low, high in zip(cuts, cuts[1:])]
+    replies = reduce(DataFrame.union, rounds)
     n, v = sums["trained"] or 0, replies.agg(F.sum("types").alias("types")).first()["types"] or 0
     denominator = float(n + v + 1)
 
