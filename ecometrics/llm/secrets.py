@@ -5,8 +5,8 @@ Three tests ask whether it could be drawn evenly from that alphabet: chi-squared
 of one character class, and the serial correlation of neighbours.  Their p-values are combined by Fisher's method.
 
 A short ordinary string may pass as well, so discoveries are controlled by length: all running text of the corpus,
-cut into pieces of the same length and mapped to the same alphabet, tells how often ordinary strings pass, and in each
-alphabet and length the procedure of Benjamini and Hochberg sets the p-value from which on a candidate is taken.
+cut into pieces of the same length, each mapped to alphabets of every size, tells how often ordinary strings pass, and in
+each alphabet and length the procedure of Benjamini and Hochberg sets the p-value from which on a candidate is taken.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ import hashlib
 import math
 import re
 import string
-import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,7 @@ ENCODINGS = {
 }
 LENGTHS = (16, 20, 24, 32, 40, 64)  # a candidate is judged with ordinary pieces of the greatest length up to its own
 BINS = 100
+LOWEST = 8.5  # a sum of weights from which on the combined p-value is in the lowest bin
 
 
 class Alphabet:
@@ -70,22 +71,28 @@ class Alphabet:
 
 
 ALPHABETS = [Alphabet(x) for x in ENCODINGS.values()]
-# Alphabets of one size share their ordinary pieces, which are mapped to the first of them.
+# Alphabets of one size share what ordinary pieces tell, which are mapped to the first of them.
 SIZES = sorted({x.size for x in ALPHABETS})
 FIRST = [next(x for x in ALPHABETS if x.size == k) for k in SIZES]
 
 
+PLAIN = (DIGITS + UPPER + LOWER).encode()  # what running text is made of
+SYMBOL = np.full(256, len(PLAIN), np.uint8)
+SYMBOL[list(PLAIN)] = np.arange(len(PLAIN))
+
+
 def mapping(alphabet: Alphabet) -> np.ndarray:
-    """Places for all byte codes: a character of the alphabet, in either case, has its own; others go by their code."""
-    places = np.arange(256) % alphabet.size
-    for x in DIGITS + UPPER + LOWER:
-        own = next((y for y in (x, x.lower(), x.upper()) if y in alphabet.place), None)
-        if own:
-            places[ord(x)] = alphabet.place[own]
-    return places
+    """Places for the letters and digits: one of the alphabet, in either case, has its own; others go by their code."""
+
+    def place(x: str) -> int:
+        return next((alphabet.place[y] for y in (x, x.lower(), x.upper()) if y in alphabet.place), ord(x) % alphabet.size)
+
+    return np.array([place(x) for x in PLAIN.decode()], np.uint8)
 
 
 MAPPINGS = [mapping(x) for x in FIRST]
+# Sums of places and of their squares are products with the counts of symbols; whole numbers this small are exact in floats.
+WEIGHTS = np.concatenate([[x, x**2] for x in (m.astype(np.float32) for m in MAPPINGS)])
 
 
 def normal_tail(z: np.ndarray) -> np.ndarray:
@@ -97,29 +104,89 @@ def normal_tail(z: np.ndarray) -> np.ndarray:
     return np.clip(np.where(z < 0, 1 - upper, upper), 1e-7, 1.0)
 
 
+def evenness(squares: np.ndarray, n: int, alphabet: Alphabet) -> np.ndarray:
+    """p-values of chi-squared, by the sum of the letters' squared counts (Wilson and Hilferty)."""
+    freedom = alphabet.size - 1.0
+    chi = squares * (alphabet.size / n) - n
+    return normal_tail((np.cbrt(chi / freedom) - (1 - 2 / (9 * freedom))) / math.sqrt(2 / (9 * freedom)))
+
+
+def runs(changes: np.ndarray, n: int, alphabet: Alphabet) -> np.ndarray:
+    """p-values of the number of changes of class."""
+    p, q = alphabet.change, alphabet.twice
+    variance = (n - 1) * p * (1 - p) + 2 * (n - 2) * (q - p * p)
+    return 2 * normal_tail(np.abs(changes - (n - 1) * p) / math.sqrt(variance))
+
+
+def serial(total: np.ndarray, squares: np.ndarray, products: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """p-values of the correlation of neighbours, by sums of places, their squares, neighbours' products, first and last place."""
+    mean = total / n
+    power = squares - total * mean
+    together = products - mean * (2 * total - ends) + (n - 1) * mean * mean
+    correlation = np.divide(together, power, out=np.ones(len(total)), where=power > 0)
+    return 2 * normal_tail(np.abs(correlation + 1 / n) * math.sqrt(n))
+
+
+def weight(p: np.ndarray) -> np.ndarray:
+    return -np.log(np.minimum(p, 1.0))
+
+
+def combined(weights: np.ndarray) -> np.ndarray:
+    """Fisher's method: the sum of three tests' weights is half of a chi-squared with six degrees."""
+    return np.exp(-weights) * (1 + weights + weights**2 / 2)
+
+
 def battery(strings: np.ndarray, alphabet: Alphabet) -> np.ndarray:
     """Combined p-value of each row of (rows, length) places under even, independent draws; near 0 for ordinary text."""
     rows, n = strings.shape
     k = alphabet.size
+    strings = strings.astype(np.int64)
     counts = np.bincount((np.arange(rows)[:, None] * k + strings).reshape(-1), minlength=rows * k).reshape(rows, k)
-    squares = (counts.astype(np.int64) ** 2).sum(axis=1) * (k / n) - n
-    freedom = k - 1.0
-    even = normal_tail((np.cbrt(squares / freedom) - (1 - 2 / (9 * freedom))) / math.sqrt(2 / (9 * freedom)))  # Wilson and Hilferty
-
     kinds = alphabet.kind[strings]
-    changes = (kinds[:, 1:] != kinds[:, :-1]).sum(axis=1)
-    p, q = alphabet.change, alphabet.twice
-    variance = (n - 1) * p * (1 - p) + 2 * (n - 2) * (q - p * p)
-    runs = 2 * normal_tail(np.abs(changes - (n - 1) * p) / math.sqrt(variance))
+    sums = (strings.sum(axis=1), (strings**2).sum(axis=1), (strings[:, 1:] * strings[:, :-1]).sum(axis=1))
+    return combined(
+        weight(evenness((counts**2).sum(axis=1), n, alphabet))
+        + weight(runs((kinds[:, 1:] != kinds[:, :-1]).sum(axis=1), n, alphabet))
+        + weight(serial(*sums, strings[:, 0] + strings[:, -1], n))
+    )
+
+
+@cache
+def weight_tables(size: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the two tests that depend on one whole number, for all of its values."""
+    alphabet = FIRST[size]
+    return weight(evenness(np.arange(n * n + 1), n, alphabet)), weight(runs(np.arange(n), n, alphabet))
+
+
+def batteries(symbols: np.ndarray) -> Iterator[np.ndarray]:
+    """Bins of the ``battery`` of each row of (rows, length) symbols of running text, mapped to the alphabet of every size in turn.
+
+    Symbols are counted once; a size adds up the counts of those that share a place.  Rows that chi-squared alone puts in
+    the lowest bin are spared the other tests, which can't raise a p-value.
+    """
+    rows, n = symbols.shape
+    across = symbols.T.astype(np.intp)
+    counts = np.bincount((across * rows + np.arange(rows)).reshape(-1), minlength=len(PLAIN) * rows).reshape(len(PLAIN), rows).astype(np.uint8)
+    sums = WEIGHTS @ counts.astype(np.float32)
+    for size, (alphabet, places) in enumerate(zip(FIRST, MAPPINGS)):
+        shared = np.zeros((alphabet.size, rows), np.uint8)
+        for place, count in zip(places, counts):
+            shared[place] += count
+        shared = shared.astype(np.uint16)
+        even, run = weight_tables(size, n)
+        even = even[(shared * shared).sum(axis=0, dtype=np.uint16)]
+        left = np.flatnonzero(even < LOWEST)
+        some = across[:, left]
+        kinds, x = alphabet.kind[places][some], places.astype(np.float32)[some]
+        changes = (kinds[1:] != kinds[:-1]).view(np.uint8).sum(axis=0, dtype=np.uint8)
+        moments = (*sums[2 * size : 2 * size + 2, left], np.einsum("ir,ir->r", x[1:], x[:-1]), x[0] + x[-1])
+        bins = np.zeros(rows, np.int64)
+        bins[left] = bins_of(combined(even[left] + run[changes] + weight(serial(*(m.astype(np.float64) for m in moments), n))))
+        yield bins
 
-    centred = strings - strings.mean(axis=1, keepdims=True, dtype=np.float64)
-    power = (centred * centred).sum(axis=1)
-    together = (centred[:, 1:] * centred[:, :-1]).sum(axis=1)
-    correlation = np.divide(together, power, out=np.ones(rows), where=power > 0)
-    serial = 2 * normal_tail(np.abs(correlation + 1 / n) * math.sqrt(n))
 
-    fisher = -np.log(np.minimum(np.stack([even, runs, serial]), 1.0)).sum(axis=0)  # half of a chi-squared with six degrees
-    return np.exp(-fisher) * (1 + fisher + fisher**2 / 2)
+def bins_of(p: np.ndarray) -> np.ndarray:
+    return np.minimum(p * BINS, BINS).astype(np.int64)
 
 
 def inferred(body: str) -> int | None:
@@ -154,31 +221,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 CANDIDATE_BYTES = re.compile(CANDIDATE.pattern.encode())
-PLAIN_BYTES = np.isin(np.arange(256), list((DIGITS + UPPER + LOWER).encode()))
+PIECES = 4096  # that are judged at once
 
 
-def ordinary_pieces(text: bytes) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(size, length class, pieces): letters and digits of a text without its candidates, cut at every length.
-
-    Pieces go round the sizes of alphabets, beginning with one that the text's checksum names.
-    """
-    codes = np.frombuffer(CANDIDATE_BYTES.sub(b"", text), np.uint8)
-    codes = codes[PLAIN_BYTES[codes]]
-    begin = zlib.crc32(text) % len(SIZES)
-    for i, n in enumerate(LENGTHS):
-        pieces = codes[: len(codes) // n * n].reshape(-1, n)
-        for at in range(min(len(SIZES), len(pieces))):
-            yield (begin + at) % len(SIZES), i, pieces[at :: len(SIZES)]
+def ordinary_symbols(text: bytes) -> np.ndarray:
+    """Letters and digits of a text without its candidates."""
+    symbols = SYMBOL[np.frombuffer(CANDIDATE_BYTES.sub(b"", text), np.uint8)]
+    return symbols[symbols < len(PLAIN)]
 
 
-def bins_of(p: np.ndarray) -> np.ndarray:
-    return np.minimum(p * BINS, BINS).astype(np.int64)
+def ordinary_pieces(symbols: np.ndarray, n: int) -> np.ndarray:
+    """All of a text in pieces of ``n``, the last of which may begin in the one before; none of a shorter text."""
+    pieces = symbols[: len(symbols) // n * n].reshape(-1, n)
+    return np.concatenate([pieces, symbols[None, -n:]]) if len(symbols) % n and len(pieces) else pieces
 
 
 def tallies(rows: DataFrame) -> DataFrame:
     """(size, length, bin, ordinary, found): ordinary pieces and distinct candidates by their combined p-value.
 
-    Tasks add pieces up; of candidates they hand on digests, so that a string counts once however often it occurs.
+    Every piece counts with every size.  Tasks add pieces up; of candidates they hand on digests, so that a string counts once however often it occurs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,20 +255,19 @@ def tallies(rows: DataFrame) -> DataFrame:
 
         for batch in batches:
             found: dict[bytes, tuple] = {}
-            pieces: dict[tuple[int, int], list[np.ndarray]] = {}
+            running = []
             for text in texts(batch):
-                for size, length, part in ordinary_pieces(text):
-                    pieces.setdefault((size, length), []).append(part)
+                running.append(ordinary_symbols(text))
                 for _, _, alphabet, length, body in candidates(text.decode()):
                     digest = hashlib.blake2b(body.encode(), digest_size=16).digest()
                     if digest not in found:
                         place = int(bins_of(score(body, alphabet)))
                         found[digest] = (SIZES.index(ALPHABETS[alphabet].size), length, place, 1, digest)
-            for (size, length), parts in pieces.items():
-                joined = np.concatenate(parts)
-                for at in range(0, len(joined), 65536):
-                    p = battery(MAPPINGS[size][joined[at : at + 65536]], FIRST[size])
-                    ordinary[size, length] += np.bincount(bins_of(p), minlength=BINS + 1)
+            for length, n in enumerate(LENGTHS):
+                pieces = np.concatenate([ordinary_pieces(x, n) for x in running] or [np.empty((0, n), np.uint8)])
+                for at in range(0, len(pieces), PIECES):
+                    for size, bins in enumerate(batteries(pieces[at : at + PIECES])):
+                        ordinary[size, length] += np.bincount(bins, minlength=BINS + 1)
             yield out(list(found.values()))
         yield out([(*map(int, x), int(ordinary[tuple(x)]), None) for x in np.argwhere(ordinary)])
 

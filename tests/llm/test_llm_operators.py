@@ -1015,6 +1015,25 @@ def test_random_strings_are_found_among_ordinary_text(spark):
     assert sum(doubled[i] != hits[i] for i in hits) <= 5
 
 
+def test_all_ordinary_text_counts_with_every_alphabet(spark):
+    """Each letter is in a piece of each length, and each piece is judged in alphabets of all sizes."""
+    texts = [r.text or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40).collect()] + ["", "short", "x" * 16, "Ab3" * 45]
+    df = spark.createDataFrame([(x,) for x in texts], "text string").repartition(3)
+    got = Counter({(r["size"], r["length"], r["bin"]): r["ordinary"] for r in secrets.tallies(df).collect() if r["ordinary"]})
+    expected = Counter()
+    for text in texts:
+        plain = re.sub("[^A-Za-z0-9]", "", re.sub("[A-Za-z0-9+/_-]{16,}={0,2}", "", text))
+        for length, n in enumerate(secrets.LENGTHS):
+            pieces = [plain[at : at + n] for at in range(0, len(plain) - n + 1, n)]
+            pieces += [plain[-n:]] if len(plain) % n and pieces else []
+            for size, alphabet in enumerate(secrets.FIRST):
+                own = {x: next((alphabet.place[y] for y in (x, x.lower(), x.upper()) if y in alphabet.place), ord(x) % alphabet.size) for x in set(plain)}
+                if pieces:
+                    p = secrets.battery(np.array([[own[x] for x in piece] for piece in pieces]), alphabet)
+                    expected.update((size, length, int(x)) for x in secrets.bins_of(p))
+    assert got == expected and got
+
+
 # --- 13: spelling --------------------------------------------------------------------------------------------------
 
 
