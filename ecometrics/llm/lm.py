@@ -41,14 +41,7 @@ LEAST = 2
 KEY_BITS, SUCCESSOR_BITS = 62, 48
 STEPS = 4096  # of a quantised probability, for each power of ten
 ABSENT = 65535
-
-
-class Numbers(dict):
-    """Word to number, in the order of first use."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
+ASKED, AT_ONCE = 500_000, 32_768  # grams that a shard answers together; of these, numbers looked up at once
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -191,38 +184,35 @@ def chunks(rows: DataFrame, chunk_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state("lm")
         name = TaskContext.get().partitionId() << 32
-        numbers, parts, ids, held, size = Numbers({BEGIN: 0, END: 1}), [], [], [], 0
+        words, ids, held, size = [], [], [], 0  # words of each document
 
         def out() -> pa.RecordBatch:
-            nonlocal name, numbers, size
-            sizes = np.array([len(x) - 2 for x in parts], np.int64)
+            nonlocal name, size
+            sizes = np.array([len(x) - 2 for x in words], np.int64)
             outside = pa.concat_arrays(held)
             trained = int((sizes + 1)[~outside.to_numpy(zero_copy_only=False)].sum())
-            body = pack((word_keys(numbers), 8), (np.concatenate(parts), 4))
+            coded = pa.concat_arrays(words).dictionary_encode()
+            body = pack((word_keys(coded.dictionary.to_pylist()), 8), (coded.indices.to_numpy(), 4))
             record = pa.RecordBatch.from_pydict({
                 "chunk": pa.array([name], pa.int64()), "doc_ids": one_list(pa.concat_arrays(ids)), "held": one_list(outside),
                 "sizes": one_list(pa.array(sizes)), "trained": pa.array([trained], pa.int64()), "body": pa.array([body], pa.binary()),
             })
-            name, numbers, size = name + 1, Numbers({BEGIN: 0, END: 1}), 0
-            parts.clear(), ids.clear(), held.clear()
+            name, size = name + 1, 0
+            words.clear(), ids.clear(), held.clear()
             return record
 
         for batch in batches:
             begun = 0
             for i, text in enumerate(texts(batch)):
-                words = words_of(text)
-                part = np.zeros(len(words) + 2, np.int32)
-                part[-1] = 1
-                part[1:-1] = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
-                parts.append(part)
-                size += len(part)
+                words.append(pa.array([BEGIN, *words_of(text), END], pa.large_binary()))
+                size += len(words[-1])
                 if size >= chunk_words or i + 1 == batch.num_rows:
                     ids.append(batch.column("doc_id").slice(begun, i + 1 - begun))
                     held.append(batch.column("held_out").slice(begun, i + 1 - begun))
                     begun = i + 1
                 if size >= chunk_words:
                     yield out()
-        if parts:
+        if words:
             yield out()
 
     return rows.mapInArrow(run, CHUNK_SCHEMA.format(kind=kind))
@@ -255,10 +245,18 @@ def find(sequence: Sequence, values: np.ndarray) -> np.ndarray:
     out = np.full(len(values), -1, np.int64)
     if sequence.n:
         inside = np.flatnonzero(values <= sequence.access(np.array([sequence.n - 1]))[0])
-        out[inside] = sequence.find(values[inside])
+        for at in range(0, len(inside), AT_ONCE):
+            some = inside[at : at + AT_ONCE]
+            out[some] = sequence.find(values[some])
     return out
 
 
+def find_repeated(sequence: Sequence, values: np.ndarray) -> np.ndarray:
+    """The same for values that come more than once, in any order: each is looked up once."""
+    distinct, number = np.unique(values, return_inverse=True)
+    return find(sequence, distinct)[number]
+
+
 class Level:
     """Contexts, their successors, and what the grams and contexts are worth."""
 
@@ -288,28 +286,38 @@ class Level:
         out = {f"{name}.{k}": v for name, values in zip(cls.SEQUENCES, sequences) for k, v in Sequence.build(values).parts.items()}
         return out | {"share": quantised(share), "left": quantised(left)}
 
-    def find(self, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """The place of each successor in its context's range, or -1."""
+    def ranges(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each context's successors begin and end, and what their ids count from."""
         begin, end = self.pointers.access(context), self.pointers.access(context + 1)
         base = np.zeros(len(context), np.int64)
         later = np.flatnonzero(begin > 0)
         base[later] = self.ids.access(begin[later] - 1) + 1
-        places = find(self.ids, base + ids)
-        return np.where((places >= begin) & (places < end), places, -1)
+        return begin, end, base
 
     def answer(self, contexts: np.ndarray, runs: np.ndarray, successors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The codes of the mass that each context leaves, and of each gram's share of its context."""
-        known = find(self.contexts, contexts)
+        known = find_repeated(self.contexts, contexts)
         left = np.zeros(len(contexts), np.int64)
-        left[known >= 0] = self.left[known[known >= 0]]
-        context, word = np.repeat(known, runs), find(self.words, successors)
+        some = np.flatnonzero(known >= 0)
+        left[some] = self.left[known[some]]
         share = np.full(len(successors), ABSENT, np.int64)
-        both = np.flatnonzero((context >= 0) & (word >= 0))
-        places = self.find(context[both], word[both])
-        share[both[places >= 0]] = self.share[places[places >= 0]]
+        at = np.flatnonzero(np.repeat(known >= 0, runs))  # grams whose context is known
+        context, number = np.unique(known[some], return_inverse=True)
+        begin, end, base = self.ranges(context)
+        number, word = np.repeat(number, runs[some]), find_repeated(self.words, successors[at])
+        both = np.flatnonzero(word >= 0)
+        number = number[both]
+        places = find(self.ids, base[number] + word[both])
+        hit = np.flatnonzero((places >= begin[number]) & (places < end[number]))
+        share[at[both[hit]]] = self.share[places[hit]]
         return left, share
 
 
+def parts(values: np.ndarray, blocks: list[np.ndarray]) -> list[np.ndarray]:
+    """The values that belong to each of the blocks."""
+    return np.split(values, np.cumsum([len(x) for x in blocks])[:-1])
+
+
 class Shard:
     """Adds up the counts of one order's blocks and answers them; the blocks wait in their packed form."""
 
@@ -353,17 +361,32 @@ class Shard:
     def answers(self, arrays: dict[str, np.ndarray]) -> Iterator[tuple[int, bytes]]:
         if self.order > 1:
             level = Level(arrays)
-            for chunk, block in self.blocks:
-                contexts, runs, successors, _ = self.columns(block)
-                left, share = level.answer(contexts, runs, successors)
-                yield chunk, pack((left, 2), (share, 2))
+            for names, (contexts, runs, successors) in self.together(3):
+                left, share = level.answer(*map(np.concatenate, (contexts, runs, successors)))
+                for name, a, b in zip(names, parts(left, contexts), parts(share, successors)):
+                    yield name, pack((a, 2), (b, 2))
             return
         words = Sequence({x: arrays[f"words.{x}"] for x in Sequence.PARTS})
-        for chunk, block in self.blocks:
-            places = find(words, self.columns(block)[0])
+        for names, (keys,) in self.together(1):
+            places = find_repeated(words, np.concatenate(keys))
             counts = np.zeros(len(places), np.int64)
             counts[places >= 0] = arrays["counts"][places[places >= 0]]
-            yield chunk, pack((counts, 8))
+            for name, a in zip(names, parts(counts, keys)):
+                yield name, pack((a, 8))
+
+    def together(self, columns: int) -> Iterator[tuple[list[int], list[list[np.ndarray]]]]:
+        """All blocks, some at a time: their chunks, and each of the first columns."""
+        names, held, size = [], [[] for _ in range(columns)], 0
+        for chunk, block in self.blocks:
+            names.append(chunk)
+            for column, values in zip(held, self.columns(block)):
+                column.append(values)
+            size += len(held[-1][-1])
+            if size >= ASKED:
+                yield names, held
+                names, held, size = [], [[] for _ in range(columns)], 0
+        if names:
+            yield names, held
 
 
 def level_file(raw: bytes) -> dict[str, np.ndarray]:

@@ -757,6 +757,41 @@ def test_levels_without_grams():
     assert left.tolist() == [0] and share.tolist() == [lm.ABSENT] * 2
 
 
+def test_a_shard_looks_up_each_gram_once_for_all_chunks(monkeypatch):
+    """Chunks that ask for the same grams are answered together, as if each had asked alone."""
+    rng = np.random.default_rng(8)
+    contexts, successors = np.sort(rng.integers(0, 1 << 62, 300)), np.sort(rng.integers(0, 1 << 48, 200))
+    shard, expected = lm.Shard(2), {}
+    grams = [np.sort(rng.choice(60_000, 20_000, replace=False)) for _ in range(8)]
+    total = np.bincount(np.concatenate(grams[:6]), minlength=60_000)
+    of_context = total.reshape(300, 200).sum(axis=1)
+    for chunk, codes in enumerate(grams):
+        context, runs = np.unique(codes // 200, return_counts=True)
+        counts = np.full(len(codes), int(chunk < 6))
+        keys = np.diff(contexts[context], prepend=0)
+        shard.add(chunk, lm.pack((keys, 8), (runs, 4), (successors[codes % 200], 6), (counts, 4)))
+        share = (total[codes] - lm.DISCOUNT) / np.maximum(of_context[codes // 200], 1)
+        expected[chunk] = np.where(total[codes] >= lm.LEAST, lm.quantised(share), lm.ABSENT)
+    asked, find = [], elias_fano.Sequence.find
+    monkeypatch.setattr(elias_fano.Sequence, "find", lambda self, x: asked.append(len(x)) or find(self, x))
+    for chunk, body in shard.answers(shard.built()):
+        assert np.array_equal(lm.unpack(body)[1], expected.pop(chunk))
+    assert not expected and sum(asked) < 300 + 200 + 8 * 20_000 + 1
+
+
+def test_runs_of_a_bucket_that_cross_words_are_found():
+    """Numbers close together fill the upper bits' words with ones."""
+    rng = np.random.default_rng(9)
+    for gap in (1, 2, 1 << 20):
+        values = np.cumsum(np.where(rng.random(5000) < 0.01, gap * 1000, 1))
+        sequence = elias_fano.Sequence.build(values)
+        assert np.array_equal(sequence.access(np.arange(5000)), values)
+        asked = np.unique(np.concatenate([values, values - 1, values + 1]))
+        asked = asked[(asked >= 0) & (asked <= values[-1])]
+        places = sequence.find(asked)
+        assert np.array_equal(places >= 0, np.isin(asked, values)) and np.array_equal(values[places[places >= 0]], asked[places >= 0])
+
+
 # --- 9: SimHash ----------------------------------------------------------------------------------------------------
 
 
